@@ -117,3 +117,162 @@ def _q_vas_daily(sensors, devices):
 @register("vehicle_active_sensor_pct_monthly")
 def _q_vas_monthly(sensors, devices):
     return kpis.vehicle_active_sensor_pct(sensors, S, E, "month")
+
+
+# ----------------------------- report tables -----------------------------
+
+@register("sensor_reports")
+def _q_sensor_reports(sensors, devices):
+    """The typed sensor report table (66 columns)."""
+    return sensors
+
+
+@register("device_reports")
+def _q_device_reports(sensors, devices):
+    """The typed hub report table (10 columns)."""
+    return devices
+
+
+# ----------------------------- mechanical failure report -----------------------------
+
+from tirepulse.operators import features as feat  # noqa: E402
+from tirepulse.operators import rules  # noqa: E402
+
+KEYS = ["id", "sensor_id", "report_date"]
+FEATURE_VIEWS = {
+    "rolling_regression_sums": ["sum_y_cold", "sum_y_temp", "sum_x", "sum_xy_cold", "sum_xy_temp",
+                                "sum_xx", "n"],
+    "rolling_variation": ["std_temp", "std_cold"],
+    "day_over_day": ["prev_cold", "prev_temp", "prev_hot", "prev_date", "delta_cold", "delta_temp",
+                     "delta_hot"],
+    "pressure_temperature_slopes": ["cold_pressure_slope", "temperature_slope"],
+    "thermal_pressure_ratio": ["thermal_pressure_ratio"],
+    "duration_indices": ["over_inflation_index", "high_temp_dur_ratio"],
+}
+
+
+def _features(sensors):
+    return feat.sensor_features(sensors, S, E)
+
+
+@register("sensor_features")
+def _q_sensor_features(sensors, devices):
+    return _features(sensors)
+
+
+for _name, _cols in FEATURE_VIEWS.items():
+    register(_name)((lambda cols: lambda sensors, devices: _features(sensors).select(*KEYS, *cols))(_cols))
+
+SENSOR_FLAGS = ["is_slow_leak", "is_puncture", "is_over_inflation", "is_thermal_stress",
+                "is_sensor_malfunction"]
+
+
+@register("sensor_issue_flags")
+def _q_sensor_flags(sensors, devices):
+    return rules.sensor_issue_flags(_features(sensors)).select(*KEYS, *SENSOR_FLAGS)
+
+
+def _sensor_issues(sensors):
+    return rules.classify_sensor_issues(_features(sensors))
+
+
+@register("sensor_issues")
+def _q_sensor_issues(sensors, devices):
+    """Flagship: one row per sensor report with issue category and risk score."""
+    return _sensor_issues(sensors).select("id", "report_date", "vehicle_id", "sensor_id", "wheel_position",
+                                          "wheel_id", "issue_category", "risk_score")
+
+
+@register("sensor_variables")
+def _q_sensor_variables(sensors, devices):
+    return _features(sensors).select("id", "report_date", "temperature_avg", "cold_pressure_avg",
+                                     "hot_pressure_avg")
+
+
+@register("sensor_statistics")
+def _q_sensor_statistics(sensors, devices):
+    return _features(sensors).select("id", "report_date", "transmitting_dur")
+
+
+def _device_features(sensors, devices):
+    return feat.device_features(devices, sensors, S, E)
+
+
+@register("device_features")
+def _q_device_features(sensors, devices):
+    return _device_features(sensors, devices)
+
+
+@register("device_issues")
+def _q_device_issues(sensors, devices):
+    return rules.classify_device_issues(_device_features(sensors, devices)).select(
+        "id", "report_date", "vehicle_id", "device_id", "issue_category", "risk_score")
+
+
+@register("device_statistics")
+def _q_device_statistics(sensors, devices):
+    return _device_features(sensors, devices).select(
+        "id", "report_date", "transmitting_dur", "not_transmitting_dur", "connectivity_efficiency",
+        "active_sensors")
+
+
+# ----------------------------- anomaly report (statistical part) -----------------------------
+
+ZKEYS = ["id", "report_date", "sensor_id"]
+
+# Deterministic stand-in for the model's verdict, used only by the
+# ``anomaly_reasons*`` queries so the text rules can be checked in SQL: a report
+# counts as "model-flagged" when its level-3 cold-pressure time exceeds 16,500 s.
+STAND_IN_COLUMN = "crit_cold_dur"
+STAND_IN_LIMIT = 16_500
+LOW_Z_THRESHOLD = 1.8
+
+
+@register("critical_durations")
+def _q_critical(sensors, devices):
+    return feat.critical_durations(sensors, S, E)
+
+
+@register("rolling_stats")
+def _q_rolling_stats(sensors, devices):
+    r = feat.rolling_stats(sensors, S, E)
+    return r.select(*ZKEYS, *[c for c in r.columns if c[:3] in ("ma_", "sd_")])
+
+
+@register("sensor_zscores")
+def _q_zscores(sensors, devices):
+    return feat.sensor_zscores(sensors, S, E).select(*ZKEYS, "z_temp", "z_cold", "z_hot", "z_dur_temp")
+
+
+@register("zscore_flags")
+def _q_zflags(sensors, devices):
+    return rules.zscore_flags(feat.sensor_zscores(sensors, S, E)).select(
+        *ZKEYS, "is_temp_anomaly", "is_cold_press_anomaly", "is_hot_press_anomaly")
+
+
+def _reasons(sensors, z_threshold):
+    from pyspark.sql import functions as F
+    z = rules.zscore_flags(feat.sensor_zscores(sensors, S, E), z_threshold)
+    z = z.withColumn("is_ml_anomaly", (F.col(STAND_IN_COLUMN) > STAND_IN_LIMIT).cast("int"))
+    return rules.explain_anomalies(z).select(
+        *ZKEYS, "is_anomaly_global", "anomaly_category", "anomaly_detail_text")
+
+
+@register("anomaly_reasons")
+def _q_reasons(sensors, devices):
+    return _reasons(sensors, rules.Z_THRESHOLD)
+
+
+@register("anomaly_reasons_low_threshold")
+def _q_reasons_low(sensors, devices):
+    return _reasons(sensors, LOW_Z_THRESHOLD)
+
+
+@register("feature_matrix")
+def _q_feature_matrix(sensors, devices):
+    return feat.feature_matrix(feat.sensor_zscores(sensors, S, E))
+
+
+@register("scaled_features")
+def _q_scaled(sensors, devices):
+    return feat.scaled_features(feat.feature_matrix(feat.sensor_zscores(sensors, S, E)))
