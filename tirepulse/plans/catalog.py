@@ -276,3 +276,41 @@ def _q_feature_matrix(sensors, devices):
 @register("scaled_features")
 def _q_scaled(sensors, devices):
     return feat.scaled_features(feat.feature_matrix(feat.sensor_zscores(sensors, S, E)))
+
+
+# ----------------------------- exploration -----------------------------
+
+from tirepulse.operators import explore  # noqa: E402
+from tirepulse.sources.schema import METRICS  # noqa: E402
+
+# Parameters of the single-vehicle transmission comparison (the source compares
+# one vehicle's hub and sensor reports over one month).
+COMPARE_VEHICLE = 1
+MONTH_START, MONTH_END = "2024-01-01", "2024-02-01"
+
+
+@register("device_sensor_join_counts")
+def _q_join_counts(sensors, devices):
+    return explore.device_sensor_join_counts(devices, sensors)
+
+
+@register("transmission_comparison")
+def _q_transmission(sensors, devices):
+    return explore.transmission_comparison(devices, sensors, COMPARE_VEHICLE, MONTH_START, MONTH_END)
+
+
+for _m in METRICS:
+    register(f"level_profile_{_m}")(
+        (lambda m: lambda sensors, devices: explore.level_profile(sensors, m, None, MONTH_START, MONTH_END))(_m))
+    register(f"level_excursions_{_m}")(
+        (lambda m: lambda sensors, devices: explore.level_excursions(sensors, m, None))(_m))
+
+
+@register("silent_devices")
+def _q_silent(sensors, devices):
+    return explore.silent_devices(devices)
+
+
+@register("data_quality")
+def _q_quality(sensors, devices):
+    return explore.data_quality(sensors, devices)
