@@ -60,7 +60,8 @@ def transmission_comparison(devices: DataFrame, sensors: DataFrame, vehicle_id:
         F.col("s.updated_at").alias("suat"))
 
 
-TRANSMISSION_ORDER = [F.col("drsat").desc_nulls_last(), F.col("ssat").desc_nulls_last()]
+def transmission_order():
+    return [F.col("drsat").desc_nulls_last(), F.col("ssat").desc_nulls_last()]
 
 
 def level_profile(sensors: DataFrame, metric: str, vehicle_id: int | None,
@@ -82,7 +83,8 @@ def level_profile(sensors: DataFrame, metric: str, vehicle_id: int | None,
         F.col("report_start_at").alias("ssat"))
 
 
-LEVEL_PROFILE_ORDER = [F.col("ssat").desc_nulls_last()]
+def level_profile_order():
+    return [F.col("ssat").desc_nulls_last()]
 
 
 def level_excursions(sensors: DataFrame, metric: str, vehicle_id: int | None = None) -> DataFrame:
@@ -98,8 +100,9 @@ def level_excursions(sensors: DataFrame, metric: str, vehicle_id: int | None = N
         "report_start_at", "updated_at")
 
 
-EXCURSION_ORDER = [F.col("report_start_at").desc_nulls_last(), F.col("vehicle_id").asc_nulls_last(),
-                   F.col("sensor_id").asc_nulls_last(), F.col("wheel_position").asc_nulls_last()]
+def excursion_order():
+    return [F.col("report_start_at").desc_nulls_last(), F.col("vehicle_id").asc_nulls_last(),
+            F.col("sensor_id").asc_nulls_last(), F.col("wheel_position").asc_nulls_last()]
 
 
 def silent_devices(devices: DataFrame, seconds: int = 86_000) -> DataFrame:
@@ -110,8 +113,9 @@ def silent_devices(devices: DataFrame, seconds: int = 86_000) -> DataFrame:
         "not_transmitting_dur", "transmission_level", "report_start_at", "updated_at")
 
 
-SILENT_ORDER = [F.col("report_start_at").desc_nulls_last(), F.col("vehicle_id").asc_nulls_last(),
-                F.col("device_id").asc_nulls_last()]
+def silent_order():
+    return [F.col("report_start_at").desc_nulls_last(), F.col("vehicle_id").asc_nulls_last(),
+            F.col("device_id").asc_nulls_last()]
 
 
 def data_quality(sensors: DataFrame, devices: DataFrame) -> DataFrame:

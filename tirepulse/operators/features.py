@@ -186,18 +186,24 @@ def feature_matrix(zscored: DataFrame) -> DataFrame:
     return zscored.select("id", *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
 
 
-def scaled_features(matrix: DataFrame, features: list[str] = MODEL_FEATURES) -> DataFrame:
-    """Standardise each feature: (x - mean) / population stddev; a zero stddev scales by 1.
+def with_scaled(df: DataFrame, features: list[str] = MODEL_FEATURES, prefix: str = "") -> DataFrame:
+    """Append (or replace, with ``prefix=""``) standardised copies of ``features``:
+    (x - mean) / population stddev, a zero stddev scaling by 1.
 
-    The 2 x k statistics come from one aggregation returned as a single struct
-    scalar subquery (one job, one row), so no join or broadcast is needed.
+    Fitting is one aggregation whose single row (2 x k numbers) is brought to
+    the driver; the transform is then a projection with literals, so neither a
+    join nor a repeated subquery is planned.
     """
-    stats = matrix.agg(F.struct(
-        *[F.avg(c).alias(f"m_{c}") for c in features],
-        *[F.stddev_pop(c).alias(f"s_{c}") for c in features])).scalar()
-    cols = []
+    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in features],
+                 *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in features]).first()
+    cols = {}
     for c in features:
-        sd = stats.getField(f"s_{c}")
-        scale = F.when((sd == 0) | sd.isNull(), F.lit(1.0)).otherwise(sd)
-        cols.append(((F.col(c) - stats.getField(f"m_{c}")) / scale).alias(c))
-    return matrix.select("id", *cols)
+        mean, sd = row[f"m_{c}"], row[f"s_{c}"]
+        scale = 1.0 if not sd else sd
+        cols[f"{prefix}{c}"] = (F.col(c).cast("double") - F.lit(mean if mean is not None else 0.0)) / F.lit(scale)
+    return df.withColumns(cols)
+
+
+def scaled_features(matrix: DataFrame, features: list[str] = MODEL_FEATURES) -> DataFrame:
+    """The feature matrix standardised column by column (see ``with_scaled``)."""
+    return with_scaled(matrix, features).select("id", *features)

@@ -4,8 +4,9 @@ The source computes, per sensor ordered by report date, moving AVG / STDDEV /
 SUM / COUNT over ``ROWS BETWEEN 6 PRECEDING AND CURRENT ROW`` and LAG(1).
 A plain ``Window.partitionBy(sensor_id)`` sends every report of a sensor to one
 task; a sensor (or a NULL / placeholder id) holding a large share of the rows
-would then run in a single task. ``rolling`` therefore splits each sensor's
-history into blocks of ``block_days`` days:
+would then run in a single task. ``rolling`` measures the largest group first
+and, when one is too large for a task, splits each sensor's history into
+blocks of ``block_days`` days:
 
 1. one shuffle on (sensor, block); inside each block the frames, lags, the
    row position and the block size are computed in a single sorted pass;
@@ -27,7 +28,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tirepulse.session import ensure_checkpoint_dir
+
 DEFAULT_BLOCK_DAYS = 64
+# A window partition up to this many rows runs comfortably in one task.
+DEFAULT_HOT_KEY_ROWS = 2_000_000
 
 _AGGS = {
     "avg": F.avg,
@@ -59,15 +64,29 @@ def _window_cols(spec: RollingSpec, part: list[str], order: list[Column]):
     return w, cols
 
 
+def max_rows_per_key(df: DataFrame, key: str) -> int:
+    """Largest number of rows sharing one ``key`` value (one bounded row to the driver)."""
+    top = df.groupBy(key).agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0]
+    return int(top or 0)
+
+
 def rolling(df: DataFrame, spec: RollingSpec, key: str = "sensor_id",
             date_col: str = "report_date", tie: str = "id",
-            block_days: int | None = DEFAULT_BLOCK_DAYS) -> DataFrame:
+            block_days: int | None = DEFAULT_BLOCK_DAYS,
+            hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """``df`` plus one column per entry of ``spec`` (see module doc).
 
-    ``block_days=None`` gives the plain one-partition-per-key window.
+    The largest group is measured first (a map-side-combined count per key).
+    When no key holds more than ``hot_key_rows`` rows the plain window is
+    exact and cheapest (one shuffle); otherwise every key is split into
+    ``block_days`` blocks. ``block_days=None`` forces the plain window,
+    ``hot_key_rows=0`` forces the split.
     """
     order = [F.col(date_col).asc_nulls_last(), F.col(tie).asc_nulls_last()]
     out_cols = df.columns + list(spec.aggs) + list(spec.lags)
+    if block_days and hot_key_rows:
+        if max_rows_per_key(df, key) <= hot_key_rows:
+            block_days = None
     if not block_days:
         _, cols = _window_cols(spec, [key], order)
         return df.select("*", *cols)
@@ -82,9 +101,12 @@ def rolling(df: DataFrame, spec: RollingSpec, key: str = "sensor_id",
     part = [key, "_blk"]
     w, cols = _window_cols(spec, part, order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # The block pass feeds four branches; it is checkpointed (shared folder
+    # named by spark.checkpoint.dir) so that none of them recomputes it.
+    ensure_checkpoint_dir(df.sparkSession)
     p1 = blocked.select("*", *cols,
                         F.row_number().over(w).alias("_pos"),
-                        F.count(F.lit(1)).over(whole).alias("_n"))
+                        F.count(F.lit(1)).over(whole).alias("_n")).checkpoint(eager=True)
 
     # Rows whose frame (and lag) lies inside their block are final.
     done = p1.filter(F.col("_pos") > lag_n).select(*out_cols)

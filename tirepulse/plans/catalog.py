@@ -314,3 +314,25 @@ def _q_silent(sensors, devices):
 @register("data_quality")
 def _q_quality(sensors, devices):
     return explore.data_quality(sensors, devices)
+
+
+# ----------------------------- anomaly report (model part; rows-only checks) -----------------------------
+
+from tirepulse.plans import reports  # noqa: E402
+
+
+@register("isolation_scores")
+def _q_isolation(sensors, devices):
+    """Isolation-forest score and -1/1 verdict per report (not SQL-expressible)."""
+    return reports.anomaly_scores(sensors, S, E).select("id", "ml_anomaly_score", "ml_anomaly_pred")
+
+
+@register("sensor_anomalies")
+def _q_sensor_anomalies(sensors, devices):
+    """The full anomaly report (z-score flags + forest + reasons)."""
+    return reports.sensor_anomaly_detection(sensors, S, E)
+
+
+@register("anomaly_total")
+def _q_anomaly_total(sensors, devices):
+    return reports.anomaly_total(reports.sensor_anomaly_detection(sensors, S, E))
