@@ -1,0 +1,64 @@
+"""The block-split rolling window equals the plain per-sensor window."""
+
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_MID
+from tests.helpers import day, sensor_df
+from tirepulse.operators import features
+from tirepulse.operators.windows import RollingSpec, rolling
+from tirepulse.sources.fixtures import REPORT_END, REPORT_START, load_reports
+
+
+def _rows(df):
+    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+
+
+def test_split_equals_plain_on_fixture(spark):
+    sensors, _ = load_reports(spark, SF_MID)
+    plain = features.sensor_features(sensors, REPORT_START, REPORT_END, block_days=None)
+    expected = _rows(plain)
+    for blocks in (1, 3, 7):
+        split = features.sensor_features(sensors, REPORT_START, REPORT_END, block_days=blocks, hot_key_rows=0)
+        assert _rows(split.select(*plain.columns)) == expected
+
+
+def test_split_zscores_equal_plain(spark):
+    sensors, _ = load_reports(spark, SF_MID)
+    plain = features.sensor_zscores(sensors, REPORT_START, REPORT_END, block_days=None)
+    split = features.sensor_zscores(sensors, REPORT_START, REPORT_END, block_days=4, hot_key_rows=0)
+    assert _rows(split.select(*plain.columns)) == _rows(plain)
+
+
+def test_split_handles_gaps_and_sparse_blocks(spark):
+    # one sensor with irregular gaps (blocks of 2 days leave many empty blocks)
+    days = [0, 1, 2, 9, 10, 30, 31, 32, 33, 34, 35, 36, 60, 90, 91]
+    df = sensor_df(spark, [dict(id=i + 1, report_start_at=day(d), cold_pressure_avg=float(100 + i * i % 7))
+                           for i, d in enumerate(days)])
+    df = df.withColumn("report_date", F.to_date("report_start_at"))
+    spec = RollingSpec(aggs={"s": ("sum", "cold_pressure_avg"), "n": ("count", None),
+                             "sd": ("stddev", "cold_pressure_avg")},
+                       lags={"prev": "report_date"}, rows=7)
+    plain = rolling(df, spec, block_days=None).select("id", "s", "n", "sd", "prev")
+    split = rolling(df, spec, block_days=2, hot_key_rows=0).select("id", "s", "n", "sd", "prev")
+    assert _rows(split) == _rows(plain)
+    assert split.count() == len(days)
+
+
+def test_adaptive_choice_uses_plain_window_when_no_hot_key(spark):
+    sensors, _ = load_reports(spark, SF_MID)
+    df = features.critical_durations(sensors, REPORT_START, REPORT_END)
+    out = rolling(df, RollingSpec(aggs={"m": ("avg", "temperature_avg")}))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan  # no block fix-up pass
+
+
+def test_zscore_bound(spark):
+    """7 constant reports then a spike: z = 6/sqrt(7), below the default threshold."""
+    rows = [dict(id=i + 1, report_start_at=day(i), temperature_avg=30.0) for i in range(7)]
+    rows.append(dict(id=8, report_start_at=day(7), temperature_avg=90.0))
+    z = features.sensor_zscores(sensor_df(spark, rows), "2024-01-01", "2024-01-31")
+    last = z.filter("id = 8").first()
+    assert abs(last.z_temp - 6 / 7 ** 0.5) < 1e-9
+    from tirepulse.operators.rules import zscore_flags
+    assert zscore_flags(z).filter("is_temp_anomaly = 1").count() == 0
+    assert zscore_flags(z, 2.0).filter("is_temp_anomaly = 1").count() == 1
