@@ -31,7 +31,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,23 +136,14 @@ def grow_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 10
     def unit(*cols):  # uniform [0, 1) from a 64-bit hash
         return F.pmod(F.xxhash64(*cols), F.lit(2 ** 62)).cast("double") / scale
 
-    while True:
+    def draw(pool_rate, per_tree_rate):
         pool = base if pool_rate >= 1.0 else base.filter(unit(F.col("_id"), F.lit(seed), F.lit(-1)) < pool_rate)
-        tr = F.sequence(F.lit(0), F.lit(trees - 1))
-        picked = pool.withColumn(
-            "t", F.explode(F.filter(tr, lambda t: unit(F.col("_id"), F.lit(seed), t) < per_tree_rate)))
-        counts = dict(picked.groupBy("t").count().collect())  # at most `trees` rows
-        if len(counts) == trees and min(counts.values()) >= psi:
-            break
-        if pool_rate >= 1.0 and per_tree_rate >= 1.0:
-            break
-        pool_factor *= 2  # undersampled (vanishingly rare): widen and redraw
-        pool_rate = min(1.0, pool_factor * trees * psi / n)
-        per_tree_rate = min(1.0, pool_factor * psi / max(1.0, pool_rate * n))
-
-    from pyspark.sql import Window
-    order = Window.partitionBy("t").orderBy(unit(F.col("_id"), F.lit(seed), F.col("t")), F.col("_id"))
-    chosen = picked.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= psi).drop("_r")
+        # explode + filter (both inside whole-stage codegen) rather than a
+        # higher-order filter, which is interpreted per element
+        picked = (pool.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+                  .filter(unit(F.col("_id"), F.lit(seed), F.col("t")) < per_tree_rate))
+        order = Window.partitionBy("t").orderBy(unit(F.col("_id"), F.lit(seed), F.col("t")), F.col("_id"))
+        return picked.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= psi).drop("_r")
 
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(key[0])
@@ -161,8 +152,15 @@ def grow_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 10
         return pd.DataFrame(_grow_tree(t, X, seed, max_depth),
                             columns=["t", "node", "feature", "threshold", "left", "right", "size", "depth"])
 
-    nodes = chosen.groupBy("t").applyInPandas(grow, NODE_SCHEMA).toPandas()
-    return nodes, psi
+    while True:
+        nodes = draw(pool_rate, per_tree_rate).groupBy("t").applyInPandas(grow, NODE_SCHEMA).toPandas()
+        roots = nodes[nodes.node == 0]
+        if (len(roots) == trees and (roots["size"] >= psi).all()) or (pool_rate >= 1.0 and per_tree_rate >= 1.0):
+            return nodes, psi
+        # a tree drew fewer than `psi` rows (vanishingly rare): widen the draw and regrow
+        pool_factor *= 2
+        pool_rate = min(1.0, pool_factor * trees * psi / n)
+        per_tree_rate = min(1.0, pool_factor * psi / max(1.0, pool_rate * n))
 
 
 def score_frame(df: DataFrame, features: list[str], nodes: pd.DataFrame, psi: int,
@@ -183,45 +181,64 @@ def score_frame(df: DataFrame, features: list[str], nodes: pd.DataFrame, psi: in
     return df.mapInPandas(run, schema)
 
 
-def kth_smallest(df: DataFrame, col: str, k: int, bins: int = 4096) -> float:
-    """Exact k-th smallest value (0-based) by histogram narrowing (no global sort)."""
+def kth_smallest(df: DataFrame, col: str, ks: int | list[int], bins: int = 4096,
+                 bounds: tuple[float, float] | None = None):
+    """Exact k-th smallest values (0-based ranks) by histogram narrowing.
+
+    Each pass is one grouped count over at most ``bins`` bins of the current
+    value range; only the final bin (at most ``bins`` values) reaches the
+    driver. All requested ranks are resolved in the same passes.
+    """
+    single = isinstance(ks, int)
+    pending = {k: None for k in ([ks] if single else ks)}
     c = F.col(col)
-    lo, hi = df.agg(F.min(c), F.max(c)).first()
-    before = 0
-    while True:
+    lo, hi = bounds if bounds is not None else df.agg(F.min(c), F.max(c)).first()
+    ranges = {k: (lo, hi, 0) for k in pending}
+    while any(v is None for v in pending.values()):
+        todo = sorted({ranges[k] for k, v in pending.items() if v is None})
+        lo, hi, before = todo[0]
+        ks_here = [k for k, v in pending.items() if v is None and ranges[k] == (lo, hi, before)]
         if lo == hi:
-            return float(lo)
+            for k in ks_here:
+                pending[k] = float(lo)
+            continue
         sub = df.filter((c >= lo) & (c <= hi))
-        width = hi - lo
-        b = F.least(F.floor((c - F.lit(lo)) / F.lit(width) * bins), F.lit(bins - 1)).cast("int")
+        b = F.least(F.floor((c - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1)).cast("int")
         hist = sorted(sub.groupBy(b.alias("b"))
                       .agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("mn"), F.max(c).alias("mx"))
                       .collect())
-        for row in hist:
-            if k - before < row.n:
-                break
-            before += row.n
-        if row.n <= bins:
-            vals = sorted(r[0] for r in sub.filter((c >= row.mn) & (c <= row.mx)).select(c).collect())
-            return float(vals[k - before])
-        lo, hi = row.mn, row.mx
+        for k in ks_here:
+            seen = before
+            for row in hist:
+                if k - seen < row.n:
+                    break
+                seen += row.n
+            if row.n <= bins:
+                vals = sorted(r[0] for r in sub.filter((c >= row.mn) & (c <= row.mx)).select(c).collect())
+                pending[k] = float(vals[k - seen])
+            else:
+                ranges[k] = (row.mn, row.mx, seen)
+    return pending[ks] if single else [pending[k] for k in ks]
+
+
+SCORE_BOUNDS = (-1.0, 0.0)  # -2**(-x) for x >= 0
 
 
-def quantile_exact(df: DataFrame, col: str, q: float, n: int) -> float:
+def quantile_exact(df: DataFrame, col: str, q: float, n: int,
+                   bounds: tuple[float, float] | None = None) -> float:
     """Linear-interpolated quantile (numpy's default method) of ``col`` over n rows."""
     pos = q * (n - 1)
     k0 = int(math.floor(pos))
-    v0 = kth_smallest(df, col, k0)
     frac = pos - k0
     if frac == 0 or k0 + 1 >= n:
-        return v0
-    v1 = kth_smallest(df, col, k0 + 1)
+        return kth_smallest(df, col, k0, bounds=bounds)
+    v0, v1 = kth_smallest(df, col, [k0, k0 + 1], bounds=bounds)
     return v0 + (v1 - v0) * frac
 
 
 def isolation_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 100,
                      sample: int = 256, contamination: float = 0.04, seed: int = 42,
-                     keep: list[str] | None = None) -> DataFrame:
+                     keep: list[str] | None = None, materialize: bool = True) -> DataFrame:
     """``keep`` columns plus ``ml_anomaly_score`` (score minus the contamination
     threshold; negative = outlier) and ``ml_anomaly_pred`` (-1 outlier, 1 inlier).
 
@@ -234,11 +251,13 @@ def isolation_forest(df: DataFrame, id_col: str, features: list[str], trees: int
     keep = list(dict.fromkeys((keep or [id_col]) + [id_col]))
     # One materialisation of the inputs: counting, sampling and scoring then
     # read the checkpoint instead of recomputing the upstream windows.
-    narrow = df.select(*dict.fromkeys(keep + features)).checkpoint(eager=True)
+    narrow = df.select(*dict.fromkeys(keep + features))
+    if materialize:  # skip when the caller already reads from a checkpoint
+        narrow = narrow.checkpoint(eager=True)
     n = narrow.count()
     nodes, psi = grow_forest(narrow, id_col, features, trees, sample, seed, n_rows=n)
     scored = score_frame(narrow, features, nodes, psi, trees).checkpoint(eager=True)
-    offset = quantile_exact(scored, "ml_raw_score", contamination, n)
+    offset = quantile_exact(scored, "ml_raw_score", contamination, n, bounds=SCORE_BOUNDS)
     score = F.col("ml_raw_score") - F.lit(offset)
     return scored.select(*keep, score.alias("ml_anomaly_score"),
                          F.when(score < 0, F.lit(-1)).otherwise(F.lit(1)).alias("ml_anomaly_pred"))

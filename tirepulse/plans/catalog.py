@@ -14,7 +14,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tirepulse.functions.expr import tidy
 from tirepulse.operators import kpis
 from tirepulse.sources.fixtures import REPORT_END, REPORT_START, load_reports
 
@@ -26,8 +25,10 @@ S, E = REPORT_START, REPORT_END
 
 def present(df: DataFrame) -> DataFrame:
     """Round DOUBLE columns for export/comparison (6 decimals, no -0.0)."""
-    return df.select(*[tidy(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-                       else f.name for f in df.schema.fields])
+    if not any(isinstance(f.dataType, T.DoubleType) for f in df.schema.fields):
+        return df
+    return df.selectExpr(*[f"ROUND(`{f.name}`, 6) + 0.0 AS `{f.name}`" if isinstance(f.dataType, T.DoubleType)
+                           else f"`{f.name}`" for f in df.schema.fields])
 
 
 def register(name: str):

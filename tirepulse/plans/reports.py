@@ -46,7 +46,7 @@ def anomaly_scores(sensors: DataFrame, start: str, end: str, trees: int = FOREST
     keep = [c for c in z.columns]
     return forest.isolation_forest(
         scaled, "id", [f"sc_{c}" for c in features.MODEL_FEATURES], trees=trees, sample=sample,
-        contamination=contamination, seed=seed, keep=keep)
+        contamination=contamination, seed=seed, keep=keep, materialize=False)
 
 
 def sensor_anomaly_detection(sensors: DataFrame, start: str, end: str, output_path: str | None = None,
