@@ -41,14 +41,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is used as is. Only when it is
-    unset (local tests) a fresh scratch folder is created.
+    A cluster names a shared folder there; it is used as is. Only a local
+    session without one (tests) gets a fresh scratch folder; on a cluster a
+    missing setting is an error, never a machine-local folder.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         configured = tempfile.mkdtemp(prefix="tirepulse-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()
