@@ -63,36 +63,39 @@ def sensor_availability_overall(daily: DataFrame) -> DataFrame:
 # Hub (device) indicators
 # --------------------------------------------------------------------------
 
+def _status_aggs():
+    oos, mnt = F.col("vehicle_out_of_service"), F.col("vehicle_maintenance")
+    one_if = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+    return [F.count_distinct("device_id").alias("total_devices"),
+            one_if(oos > 0).alias("vehicles_out_of_service"),
+            one_if(mnt > 0).alias("vehicles_in_maintenance"),
+            one_if((oos == 0) & (mnt == 0)).alias("operational_fleet")]
+
+
 def fleet_status(devices: DataFrame, start: str, end: str) -> DataFrame:
     """Per day: distinct hubs and hub-report counts by vehicle status.
 
     Counts are report rows (a vehicle with two hubs counts twice); a row can be
     both in maintenance and out of service; a NULL flag is in no bucket.
     """
-    oos, mnt = F.col("vehicle_out_of_service"), F.col("vehicle_maintenance")
-    one_if = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
     return (report_window(devices, start, end)
             .groupBy(report_date().alias("report_date"))
-            .agg(F.count_distinct("device_id").alias("total_devices"),
-                 one_if(oos > 0).alias("vehicles_out_of_service"),
-                 one_if(mnt > 0).alias("vehicles_in_maintenance"),
-                 one_if((oos == 0) & (mnt == 0)).alias("operational_fleet")))
+            .agg(*_status_aggs()))
 
 
-def fleet_capacity_pct(status: DataFrame, devices: DataFrame, start: str, end: str) -> DataFrame:
+def fleet_capacity_pct(devices: DataFrame, start: str, end: str) -> DataFrame:
     """Operational-capacity distribution: each status bucket over the day's hub reports.
 
     Our definition (the documents name the KPI without code): bucket count
-    divided by the number of hub reports of that day.
+    divided by the number of hub reports of that day. One aggregation computes
+    the buckets and the denominator together.
     """
-    rows = (report_window(devices, start, end)
-            .groupBy(report_date().alias("report_date"))
-            .agg(F.count(F.lit(1)).alias("hub_reports")))
-    out = status.join(rows, "report_date")
-    for name in ("operational_fleet", "vehicles_in_maintenance", "vehicles_out_of_service"):
-        out = out.withColumn(f"pct_{name}", F.col(name) / F.col("hub_reports"))
-    return out.select("report_date", "hub_reports", "pct_operational_fleet",
-                      "pct_vehicles_in_maintenance", "pct_vehicles_out_of_service")
+    out = (report_window(devices, start, end)
+           .groupBy(report_date().alias("report_date"))
+           .agg(*_status_aggs()[1:], F.count(F.lit(1)).alias("hub_reports")))
+    return out.select("report_date", "hub_reports",
+                      *[(F.col(n) / F.col("hub_reports")).alias(f"pct_{n}")
+                        for n in ("operational_fleet", "vehicles_in_maintenance", "vehicles_out_of_service")])
 
 
 def device_connectivity(devices: DataFrame, start: str, end: str) -> DataFrame:

@@ -72,7 +72,7 @@ def _q_fleet_status(sensors, devices):
 
 @register("fleet_capacity_pct")
 def _q_fleet_capacity(sensors, devices):
-    return kpis.fleet_capacity_pct(kpis.fleet_status(devices, S, E), devices, S, E)
+    return kpis.fleet_capacity_pct(devices, S, E)
 
 
 @register("device_connectivity")
