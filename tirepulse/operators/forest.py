@@ -82,38 +82,38 @@ def _grow_tree(t: int, X: np.ndarray, seed: int, max_depth: int) -> list[tuple]:
 
 
 def _pack(nodes: pd.DataFrame, trees: int):
-    """Per-tree arrays (feature, threshold, left, right, path length at leaves)."""
+    """Per-tree arrays for branch-free traversal.
+
+    Children are numbered consecutively (right = left + 1), so one step is
+    ``node = left[node] + (x[feature[node]] > threshold[node])``. A leaf points
+    to itself with an infinite threshold, so every row can take the same number
+    of steps (the height limit). ``path`` holds depth + c(leaf size) at leaves.
+    """
     packed = []
     for t in range(trees):
-        nd = nodes[nodes.t == t].sort_values("node")
-        size = len(nd)
-        feat = np.full(size, -1, dtype=np.int64)
-        thr = np.zeros(size)
-        left = np.full(size, -1, dtype=np.int64)
-        right = np.full(size, -1, dtype=np.int64)
-        path = np.zeros(size)
+        nd = nodes[nodes.t == t]
+        size = int(nd.node.max()) + 1
         pos = nd.node.to_numpy()
-        feat[pos] = nd.feature.to_numpy()
-        thr[pos] = nd.threshold.to_numpy()
-        left[pos] = nd.left.to_numpy()
-        right[pos] = nd.right.to_numpy()
+        leaf = nd.left.to_numpy() < 0
+        feat = np.zeros(size, dtype=np.int64)
+        thr = np.full(size, np.inf)
+        left = np.arange(size, dtype=np.int64)
+        path = np.zeros(size)
+        feat[pos[~leaf]] = nd.feature.to_numpy()[~leaf]
+        thr[pos[~leaf]] = nd.threshold.to_numpy()[~leaf]
+        left[pos[~leaf]] = nd.left.to_numpy()[~leaf]
         path[pos] = nd.depth.to_numpy() + average_path_length(nd["size"].to_numpy())
-        packed.append((feat, thr, left, right, path))
+        packed.append((feat, thr, left, path, int(nd.depth.max())))
     return packed
 
 
 def _mean_path(X: np.ndarray, packed) -> np.ndarray:
     total = np.zeros(len(X))
     rows = np.arange(len(X))
-    for feat, thr, left, right, path in packed:
+    for feat, thr, left, path, height in packed:
         node = np.zeros(len(X), dtype=np.int64)
-        while True:
-            inner = left[node] >= 0
-            if not inner.any():
-                break
-            f = np.where(inner, feat[node], 0)
-            go_left = X[rows, f] <= thr[node]
-            node = np.where(inner, np.where(go_left, left[node], right[node]), node)
+        for _ in range(height):
+            node = left[node] + (X[rows, feat[node]] > thr[node])
         total += path[node]
     return total / len(packed)
 
@@ -128,6 +128,7 @@ def grow_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 10
         raise ValueError("isolation forest needs at least one row")
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     base = df.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in features])
+    growth_tasks = max(1, min(trees, df.sparkSession.sparkContext.defaultParallelism))
 
     pool_rate = min(1.0, pool_factor * trees * psi / n)
     per_tree_rate = min(1.0, pool_factor * psi / max(1.0, pool_rate * n))
@@ -153,7 +154,10 @@ def grow_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 10
                             columns=["t", "node", "feature", "threshold", "left", "right", "size", "depth"])
 
     while True:
-        nodes = draw(pool_rate, per_tree_rate).groupBy("t").applyInPandas(grow, NODE_SCHEMA).toPandas()
+        # At most `trees` groups of `psi` rows: spread them over explicit
+        # partitions (AQE would coalesce this small input into one Python task).
+        sampled = draw(pool_rate, per_tree_rate).repartition(growth_tasks, "t")
+        nodes = sampled.groupBy("t").applyInPandas(grow, NODE_SCHEMA).toPandas()
         roots = nodes[nodes.node == 0]
         if (len(roots) == trees and (roots["size"] >= psi).all()) or (pool_rate >= 1.0 and per_tree_rate >= 1.0):
             return nodes, psi
