@@ -15,22 +15,23 @@ def _rows(df):
 
 def test_split_equals_plain_on_fixture(spark):
     sensors, _ = load_reports(spark, SF_MID)
-    plain = features.sensor_features(sensors, REPORT_START, REPORT_END, block_days=None)
+    plain = features.sensor_features(sensors, REPORT_START, REPORT_END, hot_key_rows=None)
     expected = _rows(plain)
-    for blocks in (1, 3, 7):
-        split = features.sensor_features(sensors, REPORT_START, REPORT_END, block_days=blocks, hot_key_rows=0)
+    for block_rows in (1, 3, 7):
+        split = features.sensor_features(sensors, REPORT_START, REPORT_END, hot_key_rows=0,
+                                         block_rows=block_rows)
         assert _rows(split.select(*plain.columns)) == expected
 
 
 def test_split_zscores_equal_plain(spark):
     sensors, _ = load_reports(spark, SF_MID)
-    plain = features.sensor_zscores(sensors, REPORT_START, REPORT_END, block_days=None)
-    split = features.sensor_zscores(sensors, REPORT_START, REPORT_END, block_days=4, hot_key_rows=0)
+    plain = features.sensor_zscores(sensors, REPORT_START, REPORT_END, hot_key_rows=None)
+    split = features.sensor_zscores(sensors, REPORT_START, REPORT_END, hot_key_rows=25, block_rows=4)
     assert _rows(split.select(*plain.columns)) == _rows(plain)
 
 
 def test_split_handles_gaps_and_sparse_blocks(spark):
-    # one sensor with irregular gaps (blocks of 2 days leave many empty blocks)
+    # one sensor with irregular gaps and several reports on some days
     days = [0, 1, 2, 9, 10, 30, 31, 32, 33, 34, 35, 36, 60, 90, 91]
     df = sensor_df(spark, [dict(id=i + 1, report_start_at=day(d), cold_pressure_avg=float(100 + i * i % 7))
                            for i, d in enumerate(days)])
@@ -38,8 +39,8 @@ def test_split_handles_gaps_and_sparse_blocks(spark):
     spec = RollingSpec(aggs={"s": ("sum", "cold_pressure_avg"), "n": ("count", None),
                              "sd": ("stddev", "cold_pressure_avg")},
                        lags={"prev": "report_date"}, rows=7)
-    plain = rolling(df, spec, block_days=None).select("id", "s", "n", "sd", "prev")
-    split = rolling(df, spec, block_days=2, hot_key_rows=0).select("id", "s", "n", "sd", "prev")
+    plain = rolling(df, spec, hot_key_rows=None).select("id", "s", "n", "sd", "prev")
+    split = rolling(df, spec, hot_key_rows=0, block_rows=2).select("id", "s", "n", "sd", "prev")
     assert _rows(split) == _rows(plain)
     assert split.count() == len(days)
 
@@ -62,3 +63,24 @@ def test_zscore_bound(spark):
     from tirepulse.operators.rules import zscore_flags
     assert zscore_flags(z).filter("is_temp_anomaly = 1").count() == 0
     assert zscore_flags(z, 2.0).filter("is_temp_anomaly = 1").count() == 1
+
+
+def test_hot_key_with_many_reports_per_day_is_split(spark):
+    """A placeholder sensor with many reports per day next to a normal sensor."""
+    rows = []
+    rid = 1
+    for d in range(5):
+        for k in range(40):                       # 40 reports a day on sensor 0
+            rows.append(dict(id=rid * 7 % 1009 + 2000 * d, sensor_id=0, report_start_at=day(d),
+                             cold_pressure_avg=float((rid * 13) % 17)))
+            rid += 1
+    rows += [dict(id=90_000 + d, sensor_id=5, report_start_at=day(d), cold_pressure_avg=float(d))
+             for d in range(9)]
+    df = sensor_df(spark, rows).withColumn("report_date", F.to_date("report_start_at"))
+    spec = RollingSpec(aggs={"s": ("sum", "cold_pressure_avg"), "n": ("count", None),
+                             "sd": ("stddev", "cold_pressure_avg")}, lags={"prev": "cold_pressure_avg"})
+    plain = rolling(df, spec, hot_key_rows=None).select("id", "s", "n", "sd", "prev")
+    split = rolling(df, spec, hot_key_rows=100, block_rows=6)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "Union" in plan
+    assert _rows(split.select("id", "s", "n", "sd", "prev")) == _rows(plain)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tirepulse.functions.expr import fill0, ratio
 from tirepulse.operators.common import report_date, report_window
 from tirepulse.operators.kpis import active_sensors_per_vehicle
-from tirepulse.operators.windows import DEFAULT_BLOCK_DAYS, DEFAULT_HOT_KEY_ROWS, RollingSpec, rolling
+from tirepulse.operators.windows import DEFAULT_BLOCK_ROWS, DEFAULT_HOT_KEY_ROWS, RollingSpec, rolling
 
 
 def _float0() -> Column:
@@ -31,7 +31,7 @@ def _slope(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column) -> Colum
 
 
 def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
-                    block_days: int | None = DEFAULT_BLOCK_DAYS,
+                    block_rows: int = DEFAULT_BLOCK_ROWS,
                     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """Per sensor report: 7-report slopes, variation, day-over-day deltas, duration indices.
 
@@ -69,7 +69,7 @@ def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
         lags={"prev_cold": "cold_pressure_avg", "prev_temp": "temperature_avg",
               "prev_hot": "hot_pressure_avg", "prev_date": "report_date"},
         rows=rows)
-    r = rolling(daily, spec, block_days=block_days, hot_key_rows=hot_key_rows).drop("_xy_cold", "_xy_temp", "_xx")
+    r = rolling(daily, spec, hot_key_rows=hot_key_rows, block_rows=block_rows).drop("_xy_cold", "_xy_temp", "_xx")
 
     n, sx, sxx = F.col("n"), F.col("sum_x"), F.col("sum_xx")
     consecutive = F.col("prev_date") == F.date_sub(F.col("report_date"), 1)
@@ -142,7 +142,7 @@ def critical_durations(sensors: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def rolling_stats(sensors: DataFrame, start: str, end: str, rows: int = 7,
-                  block_days: int | None = DEFAULT_BLOCK_DAYS,
+                  block_rows: int = DEFAULT_BLOCK_ROWS,
                   hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """Moving mean and sample stddev over the last ``rows`` reports of each sensor."""
     aggs = {}
@@ -150,11 +150,11 @@ def rolling_stats(sensors: DataFrame, start: str, end: str, rows: int = 7,
         aggs[f"ma_{short}"] = ("avg", c)
         aggs[f"sd_{short}"] = ("stddev", c)
     return rolling(critical_durations(sensors, start, end), RollingSpec(aggs=aggs, rows=rows),
-                   block_days=block_days, hot_key_rows=hot_key_rows)
+                   hot_key_rows=hot_key_rows, block_rows=block_rows)
 
 
 def sensor_zscores(sensors: DataFrame, start: str, end: str, rows: int = 7,
-                   block_days: int | None = DEFAULT_BLOCK_DAYS,
+                   block_rows: int = DEFAULT_BLOCK_ROWS,
                    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """Rolling stats plus z-scores (0 when the stddev is 0 or NULL).
 
@@ -162,7 +162,7 @@ def sensor_zscores(sensors: DataFrame, start: str, end: str, rows: int = 7,
     fills its whole frame before the model step (this also zeroes missing
     readings and identifiers).
     """
-    r = rolling_stats(sensors, start, end, rows, block_days, hot_key_rows)
+    r = rolling_stats(sensors, start, end, rows, block_rows, hot_key_rows)
     zs = {}
     for short, c in READINGS.items():
         sd = F.col(f"sd_{short}")

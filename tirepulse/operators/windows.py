@@ -3,18 +3,22 @@
 The source computes, per sensor ordered by report date, moving AVG / STDDEV /
 SUM / COUNT over ``ROWS BETWEEN 6 PRECEDING AND CURRENT ROW`` and LAG(1).
 A plain ``Window.partitionBy(sensor_id)`` sends every report of a sensor to one
-task; a sensor (or a NULL / placeholder id) holding a large share of the rows
-would then run in a single task. ``rolling`` measures the largest group first
-and, when one is too large for a task, splits each sensor's history into
-blocks of ``block_days`` days:
-
-1. one shuffle on (sensor, block); inside each block the frames, lags, the
-   row position and the block size are computed in a single sorted pass;
-2. rows at position > frame-1 are final (their frame lies inside the block);
-3. the first ``rows-1`` rows of every block are recomputed together with the
+task, so a sensor (or a NULL / placeholder id) holding a large share of the
+rows would run in a single task. ``rolling`` therefore:
+
+1. counts rows per key (map-side combined); keys above ``hot_key_rows`` are
+   *hot*. Their number is at most total rows / ``hot_key_rows``, so the list
+   (key, count, min and max tie id) is small and is collected;
+2. with no hot key, runs the plain window (one shuffle);
+3. otherwise splits only the hot keys into blocks ordered like the window
+   itself: (report day, id range) with about ``block_rows`` rows per block,
+   joined in from the broadcast hot-key list. Normal keys keep one block.
+   Frames, lags, row position and block size are computed per block in one
+   sorted pass; rows at position > frame-1 are final;
+4. recomputes the first ``rows-1`` rows of every hot block together with the
    ``rows-1`` reports that precede the block, taken from the tails of the (at
-   most ``rows-1``) previous non-empty blocks. That fix-up touches at most
-   ``2*(rows-1)`` rows per block, so it is a small second pass.
+   most ``rows-1``) previous non-empty blocks: at most ``2*(rows-1)`` rows per
+   block, a small second pass.
 
 The result is exactly the unsplit window. Ties on the date are broken by
 ``id`` (the source orders by date only, which is nondeterministic when a
@@ -23,16 +27,19 @@ sensor has two reports on one day).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tirepulse.session import ensure_checkpoint_dir
 
-DEFAULT_BLOCK_DAYS = 64
 # A window partition up to this many rows runs comfortably in one task.
 DEFAULT_HOT_KEY_ROWS = 2_000_000
+# Rows per block when a hot key is split.
+DEFAULT_BLOCK_ROWS = 500_000
 
 _AGGS = {
     "avg": F.avg,
@@ -64,58 +71,76 @@ def _window_cols(spec: RollingSpec, part: list[str], order: list[Column]):
     return w, cols
 
 
-def max_rows_per_key(df: DataFrame, key: str) -> int:
-    """Largest number of rows sharing one ``key`` value (one bounded row to the driver)."""
-    top = df.groupBy(key).agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0]
-    return int(top or 0)
+def hot_keys(df: DataFrame, key: str, tie: str, hot_key_rows: int) -> list:
+    """(key, rows, min tie, max tie) of every key with more than ``hot_key_rows`` rows.
+
+    At most total rows / ``hot_key_rows`` entries reach the driver.
+    """
+    return (df.groupBy(key)
+            .agg(F.count(F.lit(1)).alias("_rows"), F.min(tie).alias("_lo"), F.max(tie).alias("_hi"))
+            .filter(F.col("_rows") > hot_key_rows)
+            .collect())
 
 
 def rolling(df: DataFrame, spec: RollingSpec, key: str = "sensor_id",
             date_col: str = "report_date", tie: str = "id",
-            block_days: int | None = DEFAULT_BLOCK_DAYS,
-            hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+            hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """``df`` plus one column per entry of ``spec`` (see module doc).
 
-    The largest group is measured first (a map-side-combined count per key).
-    When no key holds more than ``hot_key_rows`` rows the plain window is
-    exact and cheapest (one shuffle); otherwise every key is split into
-    ``block_days`` blocks. ``block_days=None`` forces the plain window,
-    ``hot_key_rows=0`` forces the split.
+    ``hot_key_rows=None`` skips the measurement and runs the plain window;
+    a small ``hot_key_rows`` / ``block_rows`` forces the split (tests).
     """
     order = [F.col(date_col).asc_nulls_last(), F.col(tie).asc_nulls_last()]
     out_cols = df.columns + list(spec.aggs) + list(spec.lags)
-    if block_days and hot_key_rows:
-        if max_rows_per_key(df, key) <= hot_key_rows:
-            block_days = None
-    if not block_days:
+    hot = [] if hot_key_rows is None else hot_keys(df, key, tie, hot_key_rows)
+    if not hot:
         _, cols = _window_cols(spec, [key], order)
         return df.select("*", *cols)
 
     inputs = [c for _, c in spec.aggs.values() if c is not None] + list(spec.lags.values())
     if not all(isinstance(c, str) for c in inputs):
-        raise ValueError("rolling(block_days=...) takes column names as window inputs")
+        raise ValueError("rolling with hot keys takes column names as window inputs")
     inputs = list(dict.fromkeys(inputs))
 
+    spark = df.sparkSession
+    key_type = df.schema[key].dataType
+    hot_schema = T.StructType([T.StructField("_hk", key_type, True), T.StructField("_lo", T.LongType()),
+                               T.StructField("_span", T.LongType())])
+    hot_rows = [(r[key], int(r["_lo"]), max(1, math.ceil((int(r["_hi"]) - int(r["_lo"]) + 1)
+                                                         * block_rows / r["_rows"]))) for r in hot]
+    hot_df = F.broadcast(spark.createDataFrame(hot_rows, hot_schema))  # bounded: see hot_keys
+    marked = (df.join(hot_df, df[key].eqNullSafe(hot_df["_hk"]), "left").drop("_hk")
+              .withColumn("_hot", F.col("_span").isNotNull()))
+    blk = F.when(F.col("_hot"), F.struct(
+        F.unix_date(F.col(date_col)).cast("long").alias("d"),
+        F.floor((F.col(tie) - F.col("_lo")) / F.col("_span")).cast("long").alias("b"))) \
+        .otherwise(F.struct(F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("b")))
+    blocked = marked.withColumn("_blk", blk).drop("_lo", "_span")
+    return _split_rolling(blocked, spec, key, date_col, tie, order, out_cols, inputs, df.columns)
+
+
+def _split_rolling(blocked, spec, key, date_col, tie, order, out_cols, inputs, in_cols):
     lag_n = spec.rows - 1
-    blocked = df.withColumn("_blk", F.floor(F.unix_date(F.col(date_col)) / block_days))
     part = [key, "_blk"]
     w, cols = _window_cols(spec, part, order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # The block pass feeds four branches; it is checkpointed (shared folder
     # named by spark.checkpoint.dir) so that none of them recomputes it.
-    ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(blocked.sparkSession)
     p1 = blocked.select("*", *cols,
                         F.row_number().over(w).alias("_pos"),
                         F.count(F.lit(1)).over(whole).alias("_n")).checkpoint(eager=True)
+    hot = F.col("_hot")
 
-    # Rows whose frame (and lag) lies inside their block are final.
-    done = p1.filter(F.col("_pos") > lag_n).select(*out_cols)
+    # Rows of normal keys, and rows whose frame (and lag) lies inside their block, are final.
+    done = p1.filter(~hot | (F.col("_pos") > lag_n)).select(*out_cols)
 
-    # Context: the last `lag_n` rows before each block, from the tails of the
-    # previous `lag_n` non-empty blocks.
+    # Context: the last `lag_n` rows before each hot block, from the tails of the
+    # previous `lag_n` non-empty blocks of the same key.
     narrow = [key, date_col, tie, *[c for c in inputs if c not in (key, date_col, tie)]]
-    tails = p1.filter(F.col("_n") - F.col("_pos") < lag_n).select(*narrow, "_blk")
-    blocks = p1.filter(F.col("_pos") == 1).select(key, "_blk")
+    tails = p1.filter(hot & (F.col("_n") - F.col("_pos") < lag_n)).select(*narrow, "_blk")
+    blocks = p1.filter(hot & (F.col("_pos") == 1)).select(key, "_blk")
     wb = Window.partitionBy(key).orderBy(F.col("_blk").asc_nulls_last())
     prev = (blocks
             .select(key, F.col("_blk").alias("_target"),
@@ -132,8 +157,8 @@ def rolling(df: DataFrame, spec: RollingSpec, key: str = "sensor_id",
            .filter(F.col("_r") <= lag_n).drop("_r")
            .withColumn("_ctx", F.lit(True)))
 
-    heads = (p1.filter(F.col("_pos") <= lag_n)
-             .select(*df.columns, "_blk").withColumn("_ctx", F.lit(False)))
+    heads = (p1.filter(hot & (F.col("_pos") <= lag_n))
+             .select(*in_cols, "_blk").withColumn("_ctx", F.lit(False)))
     fix_in = heads.unionByName(ctx, allowMissingColumns=True)
     _, cols2 = _window_cols(spec, part, order)
     fixed = (fix_in.select("*", *cols2)
