@@ -47,3 +47,19 @@ def test_deterministic_under_repartition(spark, planted):
     b = forest.isolation_forest(planted.repartition(11), "id", ["a", "b", "c"], trees=20) \
         .toPandas().sort_values("id")
     assert np.array_equal(a.ml_anomaly_score.to_numpy(), b.ml_anomaly_score.to_numpy())
+
+
+def test_anomaly_report_properties(spark):
+    """R1 on the fixture: ~4 % flagged by the model, category Normal iff not flagged."""
+    from tirepulse.plans.reports import anomaly_total, sensor_anomaly_detection
+    from tirepulse.sources.fixtures import load_reports
+    sensors, _ = load_reports(spark, "/root/testdata/sf0.01")
+    out = sensor_anomaly_detection(sensors, "2024-01-01", "2024-01-31")
+    pdf = out.toPandas()
+    n = len(pdf)
+    assert n == sensors.count()
+    flagged = int(pdf.is_anomaly_global.sum())
+    assert abs(flagged - 0.04 * n) <= 2          # z flags cannot fire at threshold 3
+    assert ((pdf.anomaly_category == "Normal") == (pdf.is_anomaly_global == 0)).all()
+    assert set(pdf.anomaly_category) <= {"Normal", "Behavioral Anomaly (AI)"}
+    assert anomaly_total(out).first()[0] == flagged

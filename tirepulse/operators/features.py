@@ -189,22 +189,29 @@ def feature_matrix(zscored: DataFrame) -> DataFrame:
     return zscored.select("id", *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
 
 
-def with_scaled(df: DataFrame, features: list[str] = MODEL_FEATURES, prefix: str = "") -> DataFrame:
-    """Append (or replace, with ``prefix=""``) standardised copies of ``features``:
-    (x - mean) / population stddev, a zero stddev scaling by 1.
+def fit_scaler(df: DataFrame, features: list[str] = MODEL_FEATURES) -> dict:
+    """Mean and population stddev of each feature, plus the row count.
 
-    Fitting is one aggregation whose single row (2 x k numbers) is brought to
-    the driver; the transform is then a projection with literals, so neither a
-    join nor a repeated subquery is planned.
+    One aggregation whose single row (2 x k + 1 numbers) is brought to the
+    driver, like fitting a scaler; applying it is then a projection with
+    literals, so neither a join nor a repeated subquery is planned.
     """
     row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in features],
-                 *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in features]).first()
-    cols = {}
-    for c in features:
-        mean, sd = row[f"m_{c}"], row[f"s_{c}"]
-        scale = 1.0 if not sd else sd
-        cols[f"{prefix}{c}"] = (F.col(c).cast("double") - F.lit(mean if mean is not None else 0.0)) / F.lit(scale)
-    return df.withColumns(cols)
+                 *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in features],
+                 F.count(F.lit(1)).alias("n")).first()
+    return {"n": row["n"],
+            "mean": {c: row[f"m_{c}"] if row[f"m_{c}"] is not None else 0.0 for c in features},
+            "scale": {c: row[f"s_{c}"] or 1.0 for c in features}}
+
+
+def with_scaled(df: DataFrame, features: list[str] = MODEL_FEATURES, prefix: str = "",
+                scaler: dict | None = None) -> DataFrame:
+    """Append (or replace, with ``prefix=""``) standardised copies of ``features``:
+    (x - mean) / population stddev, a zero stddev scaling by 1."""
+    scaler = scaler or fit_scaler(df, features)
+    return df.withColumns({
+        f"{prefix}{c}": (F.col(c).cast("double") - F.lit(scaler["mean"][c])) / F.lit(scaler["scale"][c])
+        for c in features})
 
 
 def scaled_features(matrix: DataFrame, features: list[str] = MODEL_FEATURES) -> DataFrame:

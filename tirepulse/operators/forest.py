@@ -242,7 +242,8 @@ def quantile_exact(df: DataFrame, col: str, q: float, n: int,
 
 def isolation_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 100,
                      sample: int = 256, contamination: float = 0.04, seed: int = 42,
-                     keep: list[str] | None = None, materialize: bool = True) -> DataFrame:
+                     keep: list[str] | None = None, materialize: bool = True,
+                     n_rows: int | None = None) -> DataFrame:
     """``keep`` columns plus ``ml_anomaly_score`` (score minus the contamination
     threshold; negative = outlier) and ``ml_anomaly_pred`` (-1 outlier, 1 inlier).
 
@@ -258,7 +259,7 @@ def isolation_forest(df: DataFrame, id_col: str, features: list[str], trees: int
     narrow = df.select(*dict.fromkeys(keep + features))
     if materialize:  # skip when the caller already reads from a checkpoint
         narrow = narrow.checkpoint(eager=True)
-    n = narrow.count()
+    n = narrow.count() if n_rows is None or materialize else n_rows
     nodes, psi = grow_forest(narrow, id_col, features, trees, sample, seed, n_rows=n)
     scored = score_frame(narrow, features, nodes, psi, trees).checkpoint(eager=True)
     offset = quantile_exact(scored, "ml_raw_score", contamination, n, bounds=SCORE_BOUNDS)

@@ -42,11 +42,12 @@ def anomaly_scores(sensors: DataFrame, start: str, end: str, trees: int = FOREST
     # Materialise the window output once: the scaler fit, the sampling and
     # the scoring all read it.
     z = features.sensor_zscores(sensors, start, end).checkpoint(eager=True)
-    scaled = features.with_scaled(z, features.MODEL_FEATURES, prefix="sc_")
-    keep = [c for c in z.columns]
+    scaler = features.fit_scaler(z, features.MODEL_FEATURES)  # also counts the rows
+    scaled = features.with_scaled(z, features.MODEL_FEATURES, prefix="sc_", scaler=scaler)
     return forest.isolation_forest(
         scaled, "id", [f"sc_{c}" for c in features.MODEL_FEATURES], trees=trees, sample=sample,
-        contamination=contamination, seed=seed, keep=keep, materialize=False)
+        contamination=contamination, seed=seed, keep=list(z.columns), materialize=False,
+        n_rows=scaler["n"])
 
 
 def sensor_anomaly_detection(sensors: DataFrame, start: str, end: str, output_path: str | None = None,
