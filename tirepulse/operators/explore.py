@@ -122,14 +122,14 @@ def data_quality(sensors: DataFrame, devices: DataFrame) -> DataFrame:
     """Invariants of the report tables, one row per table.
 
     ``duplicate_ids``: ids used more than once; ``grain_violations``: extra
-    reports beyond one per (asset, day); ``bad_durations``: durations outside
+    reports beyond one per (sensor, day) or (vehicle, hub, day); ``bad_durations``: durations outside
     0..86,400 s. Each is a grouped count (map-side combined), never a collect.
     """
-    def check(df, asset, table):
+    def check(df, assets, table):
         day = F.to_date("report_start_at")
         dup = df.groupBy("id").agg(F.count(F.lit(1)).alias("k")) \
             .agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).cast("bigint").alias("duplicate_ids"))
-        grain = df.groupBy(asset, day.alias("d")).agg(F.count(F.lit(1)).alias("k")) \
+        grain = df.groupBy(*assets, day.alias("d")).agg(F.count(F.lit(1)).alias("k")) \
             .agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).cast("bigint").alias("grain_violations"))
         t, s = F.col("transmitting_dur"), F.col("not_transmitting_dur")
         bad = ((t < 0) | (t > 86_400) | (s < 0) | (s > 86_400))
@@ -137,5 +137,5 @@ def data_quality(sensors: DataFrame, devices: DataFrame) -> DataFrame:
                       F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("bad_durations"))
         return (rows.select(F.lit(table).alias("table_name"), "report_rows", "bad_durations",
                             dup.scalar().alias("duplicate_ids"), grain.scalar().alias("grain_violations")))
-    return check(sensors, "sensor_id", "time_in_level_sensor").unionByName(
-        check(devices, "device_id", "time_in_level_device"))
+    return check(sensors, ["sensor_id"], "time_in_level_sensor").unionByName(
+        check(devices, ["vehicle_id", "device_id"], "time_in_level_device"))
