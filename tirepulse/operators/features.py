@@ -69,35 +69,34 @@ def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
         lags={"prev_cold": "cold_pressure_avg", "prev_temp": "temperature_avg",
               "prev_hot": "hot_pressure_avg", "prev_date": "report_date"},
         rows=rows)
-    r = rolling(daily, spec, hot_key_rows=hot_key_rows, block_rows=block_rows).drop("_xy_cold", "_xy_temp", "_xx")
-
-    n, sx, sxx = F.col("n"), F.col("sum_x"), F.col("sum_xx")
-    consecutive = F.col("prev_date") == F.date_sub(F.col("report_date"), 1)
-    r = r.withColumns({
-        "cold_pressure_slope": _slope(n, sx, F.col("sum_y_cold"), F.col("sum_xy_cold"), sxx),
-        "temperature_slope": _slope(n, sx, F.col("sum_y_temp"), F.col("sum_xy_temp"), sxx),
-        "delta_cold": F.when(consecutive, F.col("cold_pressure_avg") - F.col("prev_cold")),
-        "delta_temp": F.when(consecutive, F.col("temperature_avg") - F.col("prev_temp")),
-        "delta_hot": F.when(consecutive, F.col("hot_pressure_avg") - F.col("prev_hot")),
-        "over_inflation_index": ratio(F.col("level_1_high_cold_pressure_dur")
-                                      + F.col("level_2_high_hot_pressure_dur"), "transmitting_dur"),
-        "high_temp_dur_ratio": ratio(F.col("level_2_high_temperature_dur")
-                                     + F.col("level_3_high_temperature_dur"), "transmitting_dur"),
-    })
+    r = rolling(daily, spec, hot_key_rows=hot_key_rows, block_rows=block_rows)
+
+    # One projection for everything derived from the window (fewer plan nodes
+    # to analyse; Catalyst collapses and deduplicates the expressions anyway).
+    c = F.col
+    n, sx, sxx = c("n"), c("sum_x"), c("sum_xx")
+    consecutive = c("prev_date") == F.date_sub(c("report_date"), 1)
+    d_cold = F.when(consecutive, c("cold_pressure_avg") - c("prev_cold"))
+    d_temp = F.when(consecutive, c("temperature_avg") - c("prev_temp"))
+    d_hot = F.when(consecutive, c("hot_pressure_avg") - c("prev_hot"))
     # ratio on the unfilled deltas (float / float = float in the source engine)
-    r = r.withColumn("thermal_pressure_ratio",
-                     F.when(F.col("delta_hot") != 0,
-                            (F.col("delta_temp") / F.col("delta_hot")).cast("float")))
-    return r.withColumns({
-        "delta_cold": F.coalesce("delta_cold", _float0()),
-        "delta_temp": F.coalesce("delta_temp", _float0()),
-        "delta_hot": F.coalesce("delta_hot", _float0()),
-        "thermal_pressure_ratio": F.coalesce("thermal_pressure_ratio", _float0()),
-        "over_inflation_index": F.coalesce("over_inflation_index", F.lit(0.0)),
-        "high_temp_dur_ratio": F.coalesce("high_temp_dur_ratio", F.lit(0.0)),
-        "std_temp": F.coalesce("std_temp", F.lit(0.0)),
-        "std_cold": F.coalesce("std_cold", F.lit(0.0)),
-    })
+    thermal = F.when(d_hot != 0, (d_temp / d_hot).cast("float"))
+    fills = {"std_temp": F.coalesce(c("std_temp"), F.lit(0.0)),
+             "std_cold": F.coalesce(c("std_cold"), F.lit(0.0))}
+    kept = [fills.get(name, c(name)).alias(name) for name in r.columns
+            if name not in ("_xy_cold", "_xy_temp", "_xx")]
+    return r.select(
+        *kept,
+        _slope(n, sx, c("sum_y_cold"), c("sum_xy_cold"), sxx).alias("cold_pressure_slope"),
+        _slope(n, sx, c("sum_y_temp"), c("sum_xy_temp"), sxx).alias("temperature_slope"),
+        F.coalesce(d_cold, _float0()).alias("delta_cold"),
+        F.coalesce(d_temp, _float0()).alias("delta_temp"),
+        F.coalesce(d_hot, _float0()).alias("delta_hot"),
+        F.coalesce(ratio(c("level_1_high_cold_pressure_dur") + c("level_2_high_hot_pressure_dur"),
+                         "transmitting_dur"), F.lit(0.0)).alias("over_inflation_index"),
+        F.coalesce(ratio(c("level_2_high_temperature_dur") + c("level_3_high_temperature_dur"),
+                         "transmitting_dur"), F.lit(0.0)).alias("high_temp_dur_ratio"),
+        F.coalesce(thermal, _float0()).alias("thermal_pressure_ratio"))
 
 
 def device_features(devices: DataFrame, sensors: DataFrame, start: str, end: str) -> DataFrame:

@@ -51,14 +51,14 @@ def _capped(x: Column) -> Column:
     return F.when(x.isNull() | F.isnan(x), F.lit(0.0)).otherwise(F.least(F.lit(100.0), x))
 
 
-def sensor_issue_flags(features: DataFrame, th: IssueThresholds = DEFAULT) -> DataFrame:
-    """Adds the five boolean masks (NULL treated as false)."""
+def sensor_masks(th: IssueThresholds = DEFAULT) -> dict[str, Column]:
+    """The rule masks as expressions (NULL treated as false)."""
     c = F.col
     frozen = (c("std_temp") < th.frozen_std) | (c("std_cold") < th.frozen_std)
     impossible = ((c("temperature_avg") < th.temp_min) | (c("temperature_avg") > th.temp_max)
                   | (c("cold_pressure_avg") < th.cold_min) | (c("cold_pressure_avg") > th.cold_max))
     level3_share = c("level_3_low_cold_pressure_dur") / F.nullif(c("transmitting_dur"), F.lit(0))
-    return features.withColumns({
+    return {
         "is_slow_leak": truthy((c("cold_pressure_slope") < th.slow_leak_slope)
                                & (F.abs(c("temperature_slope")) < th.temp_slope)),
         "is_puncture": truthy((c("delta_cold") < -th.puncture_drop)
@@ -69,9 +69,18 @@ def sensor_issue_flags(features: DataFrame, th: IssueThresholds = DEFAULT) -> Da
         "is_thermal_stress": truthy((c("thermal_pressure_ratio") > th.thermal_ratio)
                                     & (c("delta_temp") > 0) & (c("delta_hot") < th.thermal_hot_rise)),
         "is_sensor_malfunction": truthy((c("transmitting_dur") > 0) & (frozen | impossible)),
-        "_frozen": truthy(frozen),
-        "_impossible": truthy(impossible),
-    })
+        "frozen": truthy(frozen),
+        "impossible": truthy(impossible),
+    }
+
+
+FLAG_NAMES = ["is_slow_leak", "is_puncture", "is_over_inflation", "is_thermal_stress", "is_sensor_malfunction"]
+
+
+def sensor_issue_flags(features: DataFrame, th: IssueThresholds = DEFAULT) -> DataFrame:
+    """Adds the five boolean masks (NULL treated as false)."""
+    m = sensor_masks(th)
+    return features.withColumns({k: m[k] for k in FLAG_NAMES})
 
 
 def classify_sensor_issues(features: DataFrame, th: IssueThresholds = DEFAULT) -> DataFrame:
@@ -84,27 +93,27 @@ def classify_sensor_issues(features: DataFrame, th: IssueThresholds = DEFAULT) -
     two precedences differ on purpose (a frozen puncture is "Puncture", risk 80).
     """
     c = F.col
-    f = sensor_issue_flags(features, th)
-    category = (F.when(c("is_puncture"), PUNCTURE)
-                .when(c("is_over_inflation"), OVER_INFLATION)
-                .when(c("is_slow_leak"), SLOW_LEAK)
-                .when(c("is_thermal_stress"), THERMAL_STRESS)
-                .when(c("is_sensor_malfunction"), HARDWARE_FAIL)
+    m = sensor_masks(th)
+    category = (F.when(m["is_puncture"], PUNCTURE)
+                .when(m["is_over_inflation"], OVER_INFLATION)
+                .when(m["is_slow_leak"], SLOW_LEAK)
+                .when(m["is_thermal_stress"], THERMAL_STRESS)
+                .when(m["is_sensor_malfunction"], HARDWARE_FAIL)
                 .otherwise(NORMAL))
-    malfunction = c("is_sensor_malfunction")
-    risk = (F.when(malfunction & c("_impossible"), F.lit(float(th.impossible_risk)))
-            .when(malfunction & c("_frozen"), F.lit(float(th.frozen_risk)))
-            .when(c("is_thermal_stress"),
+    malfunction = m["is_sensor_malfunction"]
+    risk = (F.when(malfunction & m["impossible"], F.lit(float(th.impossible_risk)))
+            .when(malfunction & m["frozen"], F.lit(float(th.frozen_risk)))
+            .when(m["is_thermal_stress"],
                   _capped(c("thermal_pressure_ratio") / th.thermal_ratio * 100))
-            .when(c("is_over_inflation"), _capped(c("over_inflation_index") * 100))
-            .when(c("is_puncture"),
+            .when(m["is_over_inflation"], _capped(c("over_inflation_index") * 100))
+            .when(m["is_puncture"],
                   _capped(c("level_3_low_cold_pressure_dur") / c("transmitting_dur") * 100
                           + c("level_3_low_cold_pressure_cnt") * th.puncture_count_weight))
-            .when(c("is_slow_leak"),
+            .when(m["is_slow_leak"],
                   _capped(F.abs(c("cold_pressure_slope")) / abs(th.slow_leak_slope) * 100))
             .otherwise(F.lit(0.0)))
-    return (f.withColumns({"issue_category": category, "risk_score": risk.cast("int")})
-            .drop("_frozen", "_impossible"))
+    return features.withColumns({**{k: m[k] for k in FLAG_NAMES},
+                                 "issue_category": category, "risk_score": risk.cast("int")})
 
 
 def classify_device_issues(features: DataFrame, th: IssueThresholds = DEFAULT) -> DataFrame:
