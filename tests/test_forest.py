@@ -63,3 +63,26 @@ def test_anomaly_report_properties(spark):
     assert ((pdf.anomaly_category == "Normal") == (pdf.is_anomaly_global == 0)).all()
     assert set(pdf.anomaly_category) <= {"Normal", "Behavioral Anomaly (AI)"}
     assert anomaly_total(out).first()[0] == flagged
+
+
+def test_forest_runs_where_workers_cannot_import_the_package():
+    """Python workers started outside the repository must not need the package."""
+    import os
+    import subprocess
+    import sys
+    import tempfile
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from tirepulse.operators.forest import isolation_forest
+df = spark.range(500).selectExpr("id", "cast(id % 37 as double) a", "cast(id % 11 as double) b")
+out = isolation_forest(df, "id", ["a", "b"], trees=10)
+print("FLAGGED", out.filter("ml_anomaly_pred = -1").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(prefix="tp-cwd-"),
+                         capture_output=True, text=True, env=env, timeout=600)
+    assert "FLAGGED 20" in res.stdout, res.stderr[-3000:]

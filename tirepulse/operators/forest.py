@@ -28,15 +28,22 @@ streams); the procedure and the score definition are the published ones.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tirepulse.session import ensure_checkpoint_dir
 
+# The tree growth and scoring functions run in Python workers, which need not
+# have this package installed (a driver started from another folder, or a
+# cluster without --py-files). Ship this module's functions by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = ("t int, node int, feature int, threshold double, left int, right int, "
                "size int, depth int")
