@@ -12,10 +12,14 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tirepulse.operators import kpis
+from tirepulse.operators import explore, kpis, rules
+from tirepulse.operators import features as feat
+from tirepulse.plans import reports
 from tirepulse.sources.fixtures import REPORT_END, REPORT_START, load_reports
+from tirepulse.sources.schema import METRICS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -136,8 +140,6 @@ def _q_device_reports(sensors, devices):
 
 # ----------------------------- mechanical failure report -----------------------------
 
-from tirepulse.operators import features as feat  # noqa: E402
-from tirepulse.operators import rules  # noqa: E402
 
 KEYS = ["id", "sensor_id", "report_date"]
 FEATURE_VIEWS = {
@@ -252,7 +254,6 @@ def _q_zflags(sensors, devices):
 
 
 def _reasons(sensors, z_threshold):
-    from pyspark.sql import functions as F
     z = rules.zscore_flags(feat.sensor_zscores(sensors, S, E), z_threshold)
     z = z.withColumn("is_ml_anomaly", (F.col(STAND_IN_COLUMN) > STAND_IN_LIMIT).cast("int"))
     return rules.explain_anomalies(z).select(
@@ -281,8 +282,6 @@ def _q_scaled(sensors, devices):
 
 # ----------------------------- exploration -----------------------------
 
-from tirepulse.operators import explore  # noqa: E402
-from tirepulse.sources.schema import METRICS  # noqa: E402
 
 # Parameters of the single-vehicle transmission comparison (the source compares
 # one vehicle's hub and sensor reports over one month).
@@ -319,7 +318,6 @@ def _q_quality(sensors, devices):
 
 # ----------------------------- anomaly report (model part; rows-only checks) -----------------------------
 
-from tirepulse.plans import reports  # noqa: E402
 
 
 @register("isolation_scores")
