@@ -135,3 +135,21 @@ def test_reason_texts(spark):
     assert out[6] == ("Pattern: Abnormal Time in Risk State & Physics Mismatch (High T / Low P)",
                       "Behavioral Anomaly (AI)", 1)
     assert F is not None
+
+
+def test_missing_reading_biases_slope_like_the_source(spark):
+    """n counts every row while the y sums skip NULLs (D5): slope -15/14, not 0."""
+    rows = [dict(id=i + 1, report_start_at=day(i), cold_pressure_avg=10.0) for i in range(6)]
+    rows.append(dict(id=7, report_start_at=day(6), cold_pressure_avg=None))
+    out = by_id(classify(spark, rows), "cold_pressure_slope", "issue_category", "risk_score")
+    assert out[7][0] == pytest.approx(-15 / 14)
+    # leak by category precedence, frozen (stddev 0) by the risk's last-write order
+    assert out[7][1:] == ("Slow Leak", 80)
+
+
+def test_export_rounding_folds_negative_zero(spark):
+    import math
+    from tirepulse.plans.catalog import present
+    r = present(spark.createDataFrame([(-0.0, -1e-9, 1.23456789)], "a double, b double, c double")).first()
+    assert math.copysign(1, r.a) == 1 and math.copysign(1, r.b) == 1
+    assert r.c == 1.234568
