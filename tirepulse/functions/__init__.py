@@ -1,5 +1,5 @@
 """Column-expression helpers shared by all operators (JVM-side, codegen-friendly)."""
 
 from tirepulse.functions.expr import (  # noqa: F401
-    any_positive, fill0, flag, ratio, tidy, truthy,
+    any_positive, fill0, ratio, truthy,
 )

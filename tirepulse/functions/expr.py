@@ -5,8 +5,7 @@ whole-stage codegen. They encode the NULL/NaN conventions the reports rely
 on (see SURVEY §1.2):
 
 * a division by zero yields NULL, never an error (ANSI mode) or infinity;
-* a boolean mask that is NULL counts as false;
-* ``-0.0`` is normalised to ``0.0`` when values are rounded for export.
+* a boolean mask that is NULL counts as false.
 """
 
 from __future__ import annotations
@@ -38,16 +37,6 @@ def truthy(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def flag(cond: Column) -> Column:
-    """0/1 integer flag from a mask (NULL counts as 0)."""
-    return truthy(cond).cast("int")
-
-
 def any_positive(cols: Iterable[str | Column]) -> Column:
     """``c1 > 0 OR c2 > 0 OR ...`` with SQL three-valued logic."""
     return reduce(or_, [col(c) > 0 for c in cols])
-
-
-def tidy(c: str | Column, digits: int = 6) -> Column:
-    """Round a double for export and turn ``-0.0`` into ``0.0``."""
-    return F.round(col(c), digits) + F.lit(0.0)

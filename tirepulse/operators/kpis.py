@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tirepulse.functions.expr import any_positive, fill0, ratio
 from tirepulse.operators.common import report_date, report_window
 from tirepulse.sources.schema import (
-    LEVELS, METRICS, SECONDS_PER_DAY, level_col, level_dur_cols, optimal_col,
+    LEVELS, METRICS, SECONDS_PER_DAY, level_col, optimal_col,
 )
 
 
