@@ -43,3 +43,16 @@ def test_app_runs_all_reports_from_csv(spark):
     # reading back from CSV reproduces the typed tables exactly
     back_s, _ = app.load_tables(spark, data)
     assert sorted(map(tuple, back_s.collect())) == sorted(map(tuple, sensors.collect()))
+
+
+def test_app_reads_month_partitioned_parquet(spark):
+    from tirepulse.sources.ingest import write_reports
+    root = tempfile.mkdtemp(prefix="tp-app-pq-")
+    sensors, devices = load_reports(spark, "/root/testdata/sf0.001")
+    write_reports(sensors, f"{root}/data/{SENSOR_TABLE}")
+    write_reports(devices, f"{root}/data/{DEVICE_TABLE}")
+    summary = app.run(spark, f"{root}/data", f"{root}/out", "2024-01-01", "2024-01-31",
+                      ("mechanical",), parquet=True)
+    assert summary["mechanical_outputs"]
+    issues = spark.read.option("header", True).csv(f"{root}/out/sensor_issues")
+    assert issues.count() == sensors.count()

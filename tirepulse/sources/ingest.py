@@ -33,7 +33,10 @@ def description_columns(spark: SparkSession, desc_path: str) -> list[str]:
     return [r[0].strip() for r in desc.select("column_name").collect()]
 
 
-def _typed(raw: Column, dtype: T.DataType) -> Column:
+def typed_column(raw: Column, dtype: T.DataType) -> Column:
+    """A raw string column typed like the source loader: missing-value tokens
+    become NULL, ``"1.0"`` is accepted for integers, NaN becomes NULL, and
+    timestamps may be date-only or carry a time (space or ``T``)."""
     s = F.trim(raw)
     s = F.when(s.isin(MISSING_TOKENS), F.lit(None)).otherwise(s)
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType)):
@@ -62,7 +65,7 @@ def load_reports(spark: SparkSession, desc_path: str, data_path: str,
     raw = (spark.read.schema(raw_schema).option("header", True).option("enforceSchema", True)
            .option("mode", "PERMISSIVE").csv(data_path))
     types = {f.name: f.dataType for f in schema.fields}
-    cols = [_typed(F.col(n), types[n]).alias(n) if n in types else F.col(n) for n in names]
+    cols = [typed_column(F.col(n), types[n]).alias(n) if n in types else F.col(n) for n in names]
     cols += [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in names]
     return raw.select(*cols)
 

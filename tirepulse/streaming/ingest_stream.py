@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tirepulse.operators.common import MONTH_PARTITION
-from tirepulse.sources.ingest import _typed, description_columns
+from tirepulse.sources.ingest import description_columns, typed_column
 
 
 def ingest_stream(spark: SparkSession, desc_path: str, input_dir: str, output_path: str,
@@ -27,7 +27,7 @@ def ingest_stream(spark: SparkSession, desc_path: str, input_dir: str, output_pa
     raw = (spark.readStream.schema(raw_schema).option("header", True).option("enforceSchema", True)
            .csv(input_dir))
     types = {f.name: f.dataType for f in schema.fields}
-    cols = [_typed(F.col(n), types[n]).alias(n) if n in types else F.col(n) for n in names]
+    cols = [typed_column(F.col(n), types[n]).alias(n) if n in types else F.col(n) for n in names]
     cols += [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in names]
     typed = raw.select(*cols).withColumn(MONTH_PARTITION, F.date_format("report_start_at", "yyyy-MM"))
     writer = (typed.writeStream.format("parquet").option("path", output_path)
