@@ -7,6 +7,7 @@ persisted frame per side for its five outputs, so the window pipeline runs once.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -17,6 +18,8 @@ from tirepulse.operators import explore, features, forest, kpis, rules
 from tirepulse.session import ensure_checkpoint_dir
 from tirepulse.sources.sinks import export
 
+log = logging.getLogger(__name__)
+
 # Model settings of the anomaly report.
 FOREST_TREES = 100
 FOREST_CONTAMINATION = 0.04
@@ -78,6 +81,7 @@ def generate_fleet_health_report(sensors: DataFrame, start: str, end: str,
         export(daily, f"{output_folder}/report_sensor_availability_daily", order=["report_date"])
         export(monthly, f"{output_folder}/report_sensor_availability_monthly", order=["month_year"])
     overall = kpis.sensor_availability_overall(daily).first()[0]
+    log.info("overall sensor availability: %.2f%%", overall * 100)
     return {"daily": daily, "monthly": monthly, "overall_availability": overall}
 
 
@@ -91,6 +95,9 @@ def generate_device_health_report(devices: DataFrame, start: str, end: str,
         export(connectivity, f"{output_folder}/report_device_connectivity",
                order=[F.col("connectivity_efficiency_pct").asc_nulls_last(), "report_date", "device_id"])
     worst = kpis.worst_device(connectivity).first()
+    if worst:
+        log.info("worst hub-day: device %s on %s, uptime %s", worst["worst_device_id"],
+                 worst["report_date"], worst["worst_device_efficiency"])
     return {"fleet_status": status, "connectivity": connectivity,
             "worst_device_id": worst["worst_device_id"] if worst else None,
             "worst_device_efficiency": worst["worst_device_efficiency"] if worst else 0}
