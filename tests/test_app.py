@@ -46,11 +46,12 @@ def test_app_runs_all_reports_from_csv(spark):
 
 
 def test_app_reads_month_partitioned_parquet(spark):
-    from tirepulse.sources.ingest import write_reports
     root = tempfile.mkdtemp(prefix="tp-app-pq-")
     sensors, devices = load_reports(spark, "/root/testdata/sf0.001")
-    write_reports(sensors, f"{root}/data/{SENSOR_TABLE}")
-    write_reports(devices, f"{root}/data/{DEVICE_TABLE}")
+    os.makedirs(f"{root}/csv")
+    _write_csv_table(spark, sensors, f"{root}/csv", SENSOR_TABLE)
+    _write_csv_table(spark, devices, f"{root}/csv", DEVICE_TABLE)
+    app.convert(spark, f"{root}/csv", f"{root}/data")
     summary = app.run(spark, f"{root}/data", f"{root}/out", "2024-01-01", "2024-01-31",
                       ("mechanical",), parquet=True)
     assert summary["mechanical_outputs"]
