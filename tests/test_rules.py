@@ -153,3 +153,14 @@ def test_export_rounding_folds_negative_zero(spark):
     r = present(spark.createDataFrame([(-0.0, -1e-9, 1.23456789)], "a double, b double, c double")).first()
     assert math.copysign(1, r.a) == 1 and math.copysign(1, r.b) == 1
     assert r.c == 1.234568
+
+
+def test_issue_mix_matches_fixture_description(spark):
+    """Category counts on the sf0.01 fixture, as stated in FIXTURES.md §4."""
+    import __spark_entry__ as se
+    q = se.queries()
+    sensor = dict(q["sensor_issues"](spark, "/root/testdata/sf0.01").groupBy("issue_category").count().collect())
+    assert sensor == {"Normal": 1994, "Slow Leak": 807, "Hardware Fail": 506, "Over-Inflation": 341,
+                      "Puncture": 222, "Thermal Stress": 136}
+    device = dict(q["device_issues"](spark, "/root/testdata/sf0.01").groupBy("issue_category").count().collect())
+    assert device == {"Normal": 514, "Hardware Fail": 236, "No Hardware": 120}
