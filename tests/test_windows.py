@@ -84,3 +84,15 @@ def test_hot_key_with_many_reports_per_day_is_split(spark):
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "Union" in plan
     assert _rows(split.select("id", "s", "n", "sd", "prev")) == _rows(plain)
+
+
+def test_hot_key_list_beyond_broadcast_limit_uses_shuffle_join(spark, monkeypatch):
+    import tirepulse.operators.windows as wmod
+    monkeypatch.setattr(wmod, "MAX_BROADCAST_HOT_KEYS", 0)
+    sensors, _ = load_reports(spark, SF_MID)
+    df = features.critical_durations(sensors, REPORT_START, REPORT_END)
+    spec = RollingSpec(aggs={"m": ("avg", "temperature_avg"), "sd": ("stddev", "cold_pressure_avg")},
+                       lags={"prev": "hot_pressure_avg"})
+    plain = rolling(df, spec, hot_key_rows=None).select("id", "m", "sd", "prev")
+    split = rolling(df, spec, hot_key_rows=20, block_rows=5).select("id", "m", "sd", "prev")
+    assert _rows(split) == _rows(plain)

@@ -7,12 +7,13 @@ task, so a sensor (or a NULL / placeholder id) holding a large share of the
 rows would run in a single task. ``rolling`` therefore:
 
 1. counts rows per key (map-side combined); keys above ``hot_key_rows`` are
-   *hot*. Their number is at most total rows / ``hot_key_rows``, so the list
-   (key, count, min and max tie id) is small and is collected;
+   *hot*. Their number is at most total rows / ``hot_key_rows``; up to
+   ``MAX_BROADCAST_HOT_KEYS`` of them are collected and broadcast, a longer
+   list stays a DataFrame and is joined with a shuffle join;
 2. with no hot key, runs the plain window (one shuffle);
 3. otherwise splits only the hot keys into blocks ordered like the window
    itself: (report day, id range) with about ``block_rows`` rows per block,
-   joined in from the broadcast hot-key list. Normal keys keep one block.
+   joined in from the hot-key list. Normal keys keep one block.
    Frames, lags, row position and block size are computed per block in one
    sorted pass; rows at position > frame-1 are final;
 4. recomputes the first ``rows-1`` rows of every hot block together with the
@@ -27,7 +28,6 @@ sensor has two reports on one day).
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,6 +40,8 @@ from tirepulse.session import ensure_checkpoint_dir
 DEFAULT_HOT_KEY_ROWS = 2_000_000
 # Rows per block when a hot key is split.
 DEFAULT_BLOCK_ROWS = 500_000
+# Hot-key lists up to this size are collected and broadcast (3 numbers each).
+MAX_BROADCAST_HOT_KEYS = 100_000
 
 _AGGS = {
     "avg": F.avg,
@@ -71,15 +73,16 @@ def _window_cols(spec: RollingSpec, part: list[str], order: list[Column]):
     return w, cols
 
 
-def hot_keys(df: DataFrame, key: str, tie: str, hot_key_rows: int) -> list:
-    """(key, rows, min tie, max tie) of every key with more than ``hot_key_rows`` rows.
-
-    At most total rows / ``hot_key_rows`` entries reach the driver.
-    """
+def hot_keys(df: DataFrame, key: str, tie: str, hot_key_rows: int, block_rows: int) -> DataFrame:
+    """Keys with more than ``hot_key_rows`` rows, with the id origin and id span
+    of their blocks (lazy; at most total rows / ``hot_key_rows`` rows)."""
+    rows = F.col("_rows")
+    span = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) * block_rows / rows))
     return (df.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_rows"), F.min(tie).alias("_lo"), F.max(tie).alias("_hi"))
-            .filter(F.col("_rows") > hot_key_rows)
-            .collect())
+            .agg(F.count(F.lit(1)).alias("_rows"), F.min(tie).cast("long").alias("_lo"),
+                 F.max(tie).cast("long").alias("_hi"))
+            .filter(rows > hot_key_rows)
+            .select(F.col(key).alias("_hk"), "_lo", span.cast("long").alias("_span")))
 
 
 def rolling(df: DataFrame, spec: RollingSpec, key: str = "sensor_id",
@@ -93,8 +96,13 @@ def rolling(df: DataFrame, spec: RollingSpec, key: str = "sensor_id",
     """
     order = [F.col(date_col).asc_nulls_last(), F.col(tie).asc_nulls_last()]
     out_cols = df.columns + list(spec.aggs) + list(spec.lags)
-    hot = [] if hot_key_rows is None else hot_keys(df, key, tie, hot_key_rows)
-    if not hot:
+    if hot_key_rows is None:
+        found = []
+    else:
+        hot = hot_keys(df, key, tie, hot_key_rows, block_rows)
+        # one job: at most MAX_BROADCAST_HOT_KEYS + 1 rows come back
+        found = hot.limit(MAX_BROADCAST_HOT_KEYS + 1).collect()
+    if not found:
         _, cols = _window_cols(spec, [key], order)
         return df.select("*", *cols)
 
@@ -103,14 +111,13 @@ def rolling(df: DataFrame, spec: RollingSpec, key: str = "sensor_id",
         raise ValueError("rolling with hot keys takes column names as window inputs")
     inputs = list(dict.fromkeys(inputs))
 
-    spark = df.sparkSession
-    key_type = df.schema[key].dataType
-    hot_schema = T.StructType([T.StructField("_hk", key_type, True), T.StructField("_lo", T.LongType()),
-                               T.StructField("_span", T.LongType())])
-    hot_rows = [(r[key], int(r["_lo"]), max(1, math.ceil((int(r["_hi"]) - int(r["_lo"]) + 1)
-                                                         * block_rows / r["_rows"]))) for r in hot]
-    hot_df = F.broadcast(spark.createDataFrame(hot_rows, hot_schema))  # bounded: see hot_keys
-    marked = (df.join(hot_df, df[key].eqNullSafe(hot_df["_hk"]), "left").drop("_hk")
+    if len(found) <= MAX_BROADCAST_HOT_KEYS:
+        # size checked above: broadcast the collected list
+        hot_side = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
+    else:
+        # too many to broadcast: a shuffle join on the key (AQE splits its skew)
+        hot_side = hot
+    marked = (df.join(hot_side, df[key].eqNullSafe(hot_side["_hk"]), "left").drop("_hk")
               .withColumn("_hot", F.col("_span").isNotNull()))
     blk = F.when(F.col("_hot"), F.struct(
         F.unix_date(F.col(date_col)).cast("long").alias("d"),
