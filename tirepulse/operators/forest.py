@@ -165,6 +165,8 @@ def grow_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 10
         # partitions (AQE would coalesce this small input into one Python task).
         sampled = draw(pool_rate, per_tree_rate).repartition(growth_tasks, "t")
         nodes = sampled.groupBy("t").applyInPandas(grow, NODE_SCHEMA).toPandas()
+        # the model that gets broadcast: bounded by trees x full binary tree of the height limit
+        assert len(nodes) <= trees * (2 ** (max_depth + 1) - 1), "node table exceeds its bound"
         roots = nodes[nodes.node == 0]
         if (len(roots) == trees and (roots["size"] >= psi).all()) or (pool_rate >= 1.0 and per_tree_rate >= 1.0):
             return nodes, psi
