@@ -96,3 +96,16 @@ def test_hot_key_list_beyond_broadcast_limit_uses_shuffle_join(spark, monkeypatc
     plain = rolling(df, spec, hot_key_rows=None).select("id", "m", "sd", "prev")
     split = rolling(df, spec, hot_key_rows=20, block_rows=5).select("id", "m", "sd", "prev")
     assert _rows(split) == _rows(plain)
+
+
+def test_null_key_can_be_hot(spark):
+    """Reports without a sensor id form one (hot) group, split like any other."""
+    rows = [dict(id=10 * d + k, sensor_id=None, report_start_at=day(d), cold_pressure_avg=float((d * 7 + k) % 5))
+            for d in range(6) for k in range(6)]
+    rows += [dict(id=1000 + d, sensor_id=3, report_start_at=day(d), cold_pressure_avg=float(d)) for d in range(8)]
+    df = sensor_df(spark, rows).withColumn("report_date", F.to_date("report_start_at"))
+    spec = RollingSpec(aggs={"s": ("sum", "cold_pressure_avg"), "sd": ("stddev", "cold_pressure_avg")},
+                       lags={"prev": "cold_pressure_avg"})
+    plain = rolling(df, spec, hot_key_rows=None).select("id", "s", "sd", "prev")
+    split = rolling(df, spec, hot_key_rows=10, block_rows=4).select("id", "s", "sd", "prev")
+    assert _rows(split) == _rows(plain)
