@@ -38,26 +38,44 @@ def device_sensor_join_counts(devices: DataFrame, sensors: DataFrame) -> DataFra
             .withColumn("joined_rows", F.col("device_reports") * F.col("sensor_reports")))
 
 
+# Hub reports of one vehicle-month up to this many rows are broadcast (the data
+# model gives at most 2 hubs x 31 days; the count below checks it).
+MAX_BROADCAST_HUB_ROWS = 100_000
+
+
 def transmission_comparison(devices: DataFrame, sensors: DataFrame, vehicle_id: int,
                             start: str, end: str) -> DataFrame:
     """Hub reports of one vehicle in [start, end) next to each sensor report of that
     vehicle in the same range (left join: hubs without sensor reports are kept).
 
     The range on the sensor side is part of the join condition in the source;
-    applying it (and the vehicle) as a filter before the left join is equivalent.
+    applying it (and the vehicle) as a filter before the join is equivalent.
+    Every row shares one join key, so a plain left join would run in a single
+    task. When the hub side is small (counted), it is broadcast to an inner
+    join that streams the sensor reports where they are, and the hubs without
+    any sensor report are added back with an anti join against the (one-row)
+    set of vehicles that have sensor reports. Beyond the limit, a left join.
     """
-    d = _vehicle(half_open_window(devices, start, end), vehicle_id).alias("d")
-    s = _vehicle(half_open_window(sensors, start, end), vehicle_id).alias("s")
-    j = d.join(s, F.col("d.vehicle_id") == F.col("s.vehicle_id"), "left")
-    return j.select(
-        F.col("d.id").alias("d_id"), F.col("d.vehicle_id"), F.col("d.device_id"),
-        F.col("d.transmission_level").alias("d_tr"), F.col("d.transmitting_dur").alias("d_tdur"),
-        F.col("d.not_transmitting_dur").alias("d_ntdur"), F.col("d.report_start_at").alias("drsat"),
-        F.col("d.updated_at").alias("duat"),
-        F.col("s.id"), F.col("s.sensor_id"), F.col("s.wheel_id"), F.col("s.wheel_position"),
-        F.col("s.transmission_level").alias("s_tr"), F.col("s.transmitting_dur").alias("s_tdur"),
-        F.col("s.not_transmitting_dur").alias("s_ntdur"), F.col("s.report_start_at").alias("ssat"),
-        F.col("s.updated_at").alias("suat"))
+    d = _vehicle(half_open_window(devices, start, end), vehicle_id)
+    s = _vehicle(half_open_window(sensors, start, end), vehicle_id)
+    hub_cols = [F.col("d.id").alias("d_id"), F.col("d.vehicle_id"), F.col("d.device_id"),
+                F.col("d.transmission_level").alias("d_tr"), F.col("d.transmitting_dur").alias("d_tdur"),
+                F.col("d.not_transmitting_dur").alias("d_ntdur"), F.col("d.report_start_at").alias("drsat"),
+                F.col("d.updated_at").alias("duat")]
+    sensor_cols = [("id", "id"), ("sensor_id", "sensor_id"), ("wheel_id", "wheel_id"),
+                   ("wheel_position", "wheel_position"), ("transmission_level", "s_tr"),
+                   ("transmitting_dur", "s_tdur"), ("not_transmitting_dur", "s_ntdur"),
+                   ("report_start_at", "ssat"), ("updated_at", "suat")]
+    on = F.col("d.vehicle_id") == F.col("s.vehicle_id")
+    if d.count() > MAX_BROADCAST_HUB_ROWS:
+        return d.alias("d").join(s.alias("s"), on, "left").select(
+            *hub_cols, *[F.col(f"s.{c}").alias(a) for c, a in sensor_cols])
+    matched = (F.broadcast(d).alias("d").join(s.alias("s"), on, "inner")
+               .select(*hub_cols, *[F.col(f"s.{c}").alias(a) for c, a in sensor_cols]))
+    with_sensors = s.select("vehicle_id").distinct()
+    unmatched = (d.join(F.broadcast(with_sensors), "vehicle_id", "left_anti").alias("d")
+                 .select(*hub_cols, *[F.lit(None).cast(s.schema[c].dataType).alias(a) for c, a in sensor_cols]))
+    return matched.unionByName(unmatched)
 
 
 def transmission_order():
