@@ -81,14 +81,16 @@ def load_device_reports(spark: SparkSession, desc_path: str, data_path: str) ->
 def write_reports(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Persist a typed report table as Parquet partitioned by report month.
 
-    Rows are range-partitioned and sorted by report time first, so each task
-    writes one contiguous time slice (one or two month folders, not one file
-    per month per task) and the Parquet min/max statistics of
-    ``report_start_at`` are tight enough to skip row groups.
+    Rows are range-partitioned and sorted by (report time, id) first, so each
+    task writes one contiguous time slice (one or two month folders, not one
+    file per month per task) and the Parquet min/max statistics of
+    ``report_start_at`` are tight enough to skip row groups. ``id`` is part of
+    the range key because daily reports share one timestamp per day, and a
+    range partitioner cannot split a single key value.
     """
     (df.withColumn(MONTH_PARTITION, F.date_format("report_start_at", "yyyy-MM"))
-       .repartitionByRange("report_start_at")
-       .sortWithinPartitions("report_start_at")
+       .repartitionByRange("report_start_at", "id")
+       .sortWithinPartitions("report_start_at", "id")
        .write.mode(mode).partitionBy(MONTH_PARTITION).parquet(path))
     return path
 
