@@ -144,16 +144,18 @@ def data_quality(sensors: DataFrame, devices: DataFrame) -> DataFrame:
     0..86,400 s. Each is a grouped count (map-side combined), never a collect.
     """
     def check(df, assets, table):
-        day = F.to_date("report_start_at")
-        dup = df.groupBy("id").agg(F.count(F.lit(1)).alias("k")) \
-            .agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).cast("bigint").alias("duplicate_ids"))
-        grain = df.groupBy(*assets, day.alias("d")).agg(F.count(F.lit(1)).alias("k")) \
-            .agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).cast("bigint").alias("grain_violations"))
         t, s = F.col("transmitting_dur"), F.col("not_transmitting_dur")
         bad = ((t < 0) | (t > 86_400) | (s < 0) | (s > 86_400))
-        rows = df.agg(F.count(F.lit(1)).alias("report_rows"),
-                      F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("bad_durations"))
-        return (rows.select(F.lit(table).alias("table_name"), "report_rows", "bad_durations",
-                            dup.scalar().alias("duplicate_ids"), grain.scalar().alias("grain_violations")))
+        # one grouping per (asset, day) gives rows, bad durations and grain together
+        per_day = df.groupBy(*assets, F.to_date("report_start_at").alias("d")).agg(
+            F.count(F.lit(1)).alias("k"), F.sum(F.when(bad, 1).otherwise(0)).alias("b"))
+        zero = F.lit(0).cast("bigint")
+        totals = per_day.agg(F.coalesce(F.sum("k"), zero).cast("bigint").alias("report_rows"),
+                             F.coalesce(F.sum("b"), zero).cast("bigint").alias("bad_durations"),
+                             F.coalesce(F.sum(F.col("k") - 1), zero).cast("bigint").alias("grain_violations"))
+        dup = df.groupBy("id").agg(F.count(F.lit(1)).alias("k")) \
+            .agg(F.coalesce(F.sum(F.col("k") - 1), zero).cast("bigint").alias("duplicate_ids"))
+        return totals.select(F.lit(table).alias("table_name"), "report_rows", "bad_durations",
+                             dup.scalar().alias("duplicate_ids"), "grain_violations")
     return check(sensors, ["sensor_id"], "time_in_level_sensor").unionByName(
         check(devices, ["vehicle_id", "device_id"], "time_in_level_device"))
