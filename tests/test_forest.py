@@ -88,3 +88,25 @@ print("FLAGGED", out.filter("ml_anomaly_pred = -1").count())
     assert "FLAGGED" in res.stdout, res.stderr[-3000:]
     flagged = int(res.stdout.split("FLAGGED")[1].split()[0])
     assert 10 <= flagged <= 20   # 4 % of 500, fewer when scores tie at the threshold
+
+
+def test_distributed_scores_equal_brute_force_walk(spark, planted):
+    """Spark-grown trees scored by mapInPandas == a naive per-row walk of the same node table."""
+    feats = ["a", "b", "c"]
+    small = planted.filter("id % 10 = 0 OR id >= 3000")
+    n = small.count()
+    nodes, psi = forest.grow_forest(small, "id", feats, trees=15, n_rows=n)
+    scored = forest.score_frame(small, feats, nodes, psi, 15).toPandas().sort_values("id")
+    c_psi = forest.average_path_length(np.array([psi]))[0]
+    tables = {t: g.set_index("node") for t, g in nodes.groupby("t")}
+
+    def walk(x, tab):
+        cur = 0
+        while tab.loc[cur, "left"] >= 0:
+            go_left = x[int(tab.loc[cur, "feature"])] <= tab.loc[cur, "threshold"]
+            cur = int(tab.loc[cur, "left"] if go_left else tab.loc[cur, "right"])
+        return tab.loc[cur, "depth"] + forest.average_path_length(np.array([tab.loc[cur, "size"]]))[0]
+
+    X = scored[feats].to_numpy()
+    brute = np.array([-2.0 ** (-np.mean([walk(x, tables[t]) for t in range(15)]) / c_psi) for x in X])
+    assert np.allclose(scored.ml_raw_score.to_numpy(), brute, rtol=0, atol=1e-12)
