@@ -194,7 +194,10 @@ def score_frame(df: DataFrame, features: list[str], nodes: pd.DataFrame, psi: in
     return df.mapInPandas(run, schema)
 
 
-def kth_smallest(df: DataFrame, col: str, ks: int | list[int], bins: int = 4096,
+QUANTILE_BINS = 4096
+
+
+def kth_smallest(df: DataFrame, col: str, ks: int | list[int], bins: int = QUANTILE_BINS,
                  bounds: tuple[float, float] | None = None):
     """Exact k-th smallest values (0-based ranks) by histogram narrowing.
 
@@ -243,6 +246,10 @@ def quantile_exact(df: DataFrame, col: str, q: float, n: int,
     pos = q * (n - 1)
     k0 = int(math.floor(pos))
     frac = pos - k0
+    if n <= QUANTILE_BINS:  # small input: the values themselves are within the collect bound
+        vals = np.sort(np.array([r[0] for r in df.select(col).collect()], dtype=float))
+        v0 = float(vals[k0])
+        return v0 if frac == 0 or k0 + 1 >= n else v0 + (float(vals[k0 + 1]) - v0) * frac
     if frac == 0 or k0 + 1 >= n:
         return kth_smallest(df, col, k0, bounds=bounds)
     v0, v1 = kth_smallest(df, col, [k0, k0 + 1], bounds=bounds)
