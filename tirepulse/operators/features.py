@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from tirepulse.functions.expr import fill0, ratio
 from tirepulse.operators.common import report_date, report_window
 from tirepulse.operators.kpis import active_sensors_per_vehicle
-from tirepulse.operators.windows import DEFAULT_BLOCK_ROWS, DEFAULT_HOT_KEY_ROWS, RollingSpec, rolling
+from tirepulse.operators.windows import (
+    DEFAULT_BLOCK_ROWS, DEFAULT_HOT_KEY_ROWS, RollingSpec, rolling, source_key,
+)
 
 
 def _float0() -> Column:
@@ -69,7 +71,9 @@ def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
         lags={"prev_cold": "cold_pressure_avg", "prev_temp": "temperature_avg",
               "prev_hot": "hot_pressure_avg", "prev_date": "report_date"},
         rows=rows)
-    r = rolling(daily, spec, hot_key_rows=hot_key_rows, block_rows=block_rows)
+    # the rows of `daily` are the report-range rows of `sensors`, like in rolling_stats
+    r = rolling(daily, spec, hot_key_rows=hot_key_rows, block_rows=block_rows,
+                measure_key=source_key(sensors, start, end))
 
     # One projection for everything derived from the window (fewer plan nodes
     # to analyse; Catalyst collapses and deduplicates the expressions anyway).
@@ -149,7 +153,8 @@ def rolling_stats(sensors: DataFrame, start: str, end: str, rows: int = 7,
         aggs[f"ma_{short}"] = ("avg", c)
         aggs[f"sd_{short}"] = ("stddev", c)
     return rolling(critical_durations(sensors, start, end), RollingSpec(aggs=aggs, rows=rows),
-                   hot_key_rows=hot_key_rows, block_rows=block_rows)
+                   hot_key_rows=hot_key_rows, block_rows=block_rows,
+                   measure_key=source_key(sensors, start, end))
 
 
 def sensor_zscores(sensors: DataFrame, start: str, end: str, rows: int = 7,
