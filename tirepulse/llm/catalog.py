@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tirepulse.llm import quality, simhash_near_dup
+from tirepulse.llm import quality, simhash_near_dup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
+
+
 def op6_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -20,7 +26,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op6_simhash_near_dup, op10_quality)}
+    op3_suffix_dedup, op6_simhash_near_dup, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {}
