@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tirepulse.llm import decontaminate, quality, simhash_near_dup, suffix_dedup
+from tirepulse.llm import decontaminate, packing, quality, simhash_near_dup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,12 +28,17 @@ def op6_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padding")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op3_suffix_dedup, op6_simhash_near_dup, op10_quality)}
+    op1_decontamination, op3_suffix_dedup, op6_simhash_near_dup, op8_packing, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -38,8 +38,8 @@ class PackingParams:
     size: int = 2048
     last_id: int = 1
     tokenizer: str | None = None        # path of the vocabulary file; None: the public word-level one
-    sentence_penalty: int = 24
-    word_penalty: int = 96
+    sentence_penalty: int = 8
+    word_penalty: int = 48
     stride: int = 256
     block_ids: int = 1 << 19
 
