@@ -8,7 +8,8 @@ monotone queue, so each candidate is handled once. Sentences longer than
 ``stride`` ids get candidates at every ``stride`` ids, at a higher penalty.
 
 Each input partition packs its own documents, with no shuffle: a partition
-costs at most one padded window more. Within a partition the stream is handled
+costs at most one padded window more, and its last window is cut into unpadded powers
+of two where that is cheaper. Within a partition the stream is handled
 in blocks; the last windows of a block are left open and decided with the next
 one, so memory stays bounded by the block and the longest document.
 
@@ -112,7 +113,9 @@ class _Packer:
         base = self.base
         ends, penalty = candidates(self.stop - base, stops[stops > base] - base, sentences[sentences > base] - base, self.params)
         cuts = np.array(window_cuts(ends, penalty, size)) + base
-        if not last:
+        if last:
+            cuts = np.concatenate([cuts[:-1], self._tail(int(cuts[-2]) if cuts.size > 1 else base)])
+        else:
             cuts = cuts[cuts <= self.stop - 8 * size]
         done = int(cuts[-1])
         edges = np.unique(np.concatenate([[base], cuts, stops[(stops > base) & (stops < done)]]))
@@ -137,6 +140,14 @@ class _Packer:
         self.base = done
         return out
 
+    def _tail(self, start: int) -> np.ndarray:
+        """Cuts of the last window: whole and padded, or in unpadded powers of two if that costs less."""
+        used = self.stop - start
+        powers = [1 << k for k in range(used.bit_length() - 1, -1, -1) if used >> k & 1]
+        if (len(powers) - 1) * self.params.word_penalty < self.params.size - used:
+            return start + np.cumsum(powers)
+        return np.array([self.stop])
+
 
 _ENCODERS: dict[str, PieceEncoder] = {}              # one per worker process
 
