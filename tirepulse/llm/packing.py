@@ -39,9 +39,9 @@ class PackingParams:
     size: int = 2048
     last_id: int = 1
     tokenizer: str | None = None        # path of the vocabulary file; None: the public word-level one
-    sentence_penalty: int = 8
-    word_penalty: int = 48
-    stride: int = 256
+    sentence_penalty: int = 6
+    word_penalty: int = 20
+    stride: int = 32
     block_ids: int = 1 << 19
 
 
