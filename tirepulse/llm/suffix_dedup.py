@@ -354,46 +354,47 @@ def _removed(window: int):
                 counts.append((text.size, int((e - s).sum()), s.size))
             n_bytes, n_removed, n_spans = (np.array(c, np.int64) for c in zip(*counts)) if counts else (np.zeros(0, np.int64),) * 3
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_bytes), pa.array(n_removed), pa.array(n_spans), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                [batch.column(0), pa.array(n_bytes), pa.array(n_removed), pa.array(n_spans), pa.array(kept, pa.binary()),
+                 batch.column(4)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "row"])
     return run
 
 
-def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of every row of ``docs``."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    placed = texts.filter("doc_id IS NOT NULL").repartition("doc_id")       # one shuffle of the texts serves all joins
-    firsts = (texts.filter("doc_id IS NOT NULL").groupBy(F.sha2("text", 256).alias("digest"))
+def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), carry: list[str] | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes) of every row
+    of ``docs``, and the columns named in ``carry`` as fields of ``row``."""
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+                        F.struct(*[F.col(c) for c in carry or []], F.lit(None).cast("boolean").alias("_")).alias("row"))
+    placed = texts.filter("doc_id IS NOT NULL")       # one shuffle by doc_id serves both joins below
+    firsts = (placed.groupBy(F.sha2("text", 256).alias("digest"))
               .agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
-    elected = (placed.join(firsts, "doc_id", "left_semi")
-               .mapInArrow(_elected_rows(params), "key long, doc_id long, at long"))
+    elected = placed.select("doc_id", "text").mapInArrow(_elected_rows(params), "key long, doc_id long, at long")
     repeated = elected.repartition("key").mapInArrow(_repeated_rows, "doc_id long, at long")
-    lists = repeated.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
-    suffixes = (placed.join(lists, "doc_id").select("doc_id", "text", "ats")
+    lists = (repeated.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
+             .join(firsts, "doc_id", "left_semi"))    # a copy of an earlier text is covered already
+    suffixes = (placed.join(lists, "doc_id").select("doc_id", "text", "ats", "row")
                 .mapInArrow(_suffix_rows(params), "lead binary, context binary, doc_id long, at long, done boolean"))
     spans = (suffixes.repartitionByRange("lead").mapInArrow(_spans(params), "doc_id long, start long, end long")
              .groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     ready = (placed.join(firsts.withColumn("first", F.lit(True)), "doc_id", "left").join(spans, "doc_id", "left")
-             .select("doc_id", "text", F.col("first").isNull().alias("copy"), F.coalesce("spans", none).alias("spans")))
+             .select("doc_id", "text", F.col("first").isNull().alias("copy"), F.coalesce("spans", none).alias("spans"), "row"))
     unplaced = (texts.filter("doc_id IS NULL")
-                .select("doc_id", "text", F.lit(False).alias("copy"), none.alias("spans")))
-    return ready.union(unplaced).mapInArrow(
-        _removed(params.window), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+                .select("doc_id", "text", F.lit(False).alias("copy"), none.alias("spans"), "row"))
+    schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, row {texts.schema['row'].dataType.simpleString()}"
+    return ready.union(unplaced).mapInArrow(_removed(params.window), schema)
 
 
 def keep_first_text(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text`` and ``n_chars`` recounted.
 
     A character that a cut leaves incomplete goes too. Rows of which nothing is
-    left stay, with an empty text; a row whose doc_id is null stays as it is.
+    left stay, with an empty text, as do rows with a null text.
     """
-    kept = remove_repeats(docs.filter("doc_id IS NOT NULL"), params).filter("n_removed > 0")
-    cut = kept.select("doc_id", F.try_validate_utf8(F.col("kept").cast("string")).alias("_whole"),
-                      F.make_valid_utf8(F.col("kept").cast("string")).alias("_mended")).dropDuplicates(["doc_id"])
-    text = F.coalesce("_whole", F.regexp_replace("_mended", "�", ""), "text")
-    out = docs.join(cut, "doc_id", "left").withColumn("text", text)
-    if "n_chars" in docs.columns:
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    kept = remove_repeats(docs, params, others)
+    raw = F.col("kept").cast("string")
+    text = F.coalesce(F.try_validate_utf8(raw), F.regexp_replace(F.make_valid_utf8(raw), "\uFFFD", ""))
+    out = kept.select("doc_id", text.alias("text"), *[F.col("row")[c].alias(c) for c in others])
+    if "n_chars" in others:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
