@@ -39,6 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tirepulse.llm import textscan as ts
+from tirepulse.llm.keyed import collected, spread
+from tirepulse.llm.keyed import ids as _ids
 
 _LOCAL = 24                                  # bits of a position inside a block
 _BLOCK = 1 << 22                             # window starts handled at once
@@ -98,10 +100,6 @@ def _unpack(at: np.ndarray):
     return at >> 16, at & 0x7F, (at >> 8) & 0xFF
 
 
-def _ids(column) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 def _elected_rows(params: SuffixParams):
     def run(batches):
         for batch in batches:
@@ -114,22 +112,16 @@ def _elected_rows(params: SuffixParams):
                 _, index, inverse, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
                 known = count[inverse] > 1
                 later = known & (index[inverse] != np.arange(h.size))
-                key = np.where(later, ts.mix(packed.astype(np.uint64) + ids[lo + doc].astype(np.uint64)), h)
+                key = np.where(later, spread(ids[lo + doc], packed), h)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(ids[lo + doc]),
                      pa.array(packed | np.where(known, _KNOWN, 0))], ["key", "doc_id", "at"])
     return run
 
 
-def _collected(batches, *columns):
-    """The columns of all batches of this partition."""
-    table = list(batches)
-    return [np.concatenate([_ids(b.column(c)) for b in table]) if table else np.zeros(0, np.int64) for c in columns]
-
-
 def _repeated_rows(batches):
     """Rows whose key another row has too, or that are known to be repeated."""
-    key, doc, at = _collected(batches, 0, 1, 2)
+    key, doc, at = collected(batches, 0, 1, 2)
     order = np.argsort(key)
     key = key[order]
     same = np.zeros(key.size, bool)
@@ -171,16 +163,16 @@ def _suffix_rows(params: SuffixParams):
                 later = np.ones(order.size, bool)
                 later[index] = False
                 flat = np.ascontiguousarray(rows)
-                noise = ts.mix(position.astype(np.uint64) ^ ts.mix(ids[lo + doc].astype(np.uint64)))
+                noise = spread(ids[lo + doc], position)
                 # local copies are covered already: they only pass through, spread over all buckets
                 contexts = pa.FixedSizeBinaryArray.from_buffers(
                     pa.binary(flat.shape[1]), flat.shape[0], [None, pa.py_buffer(flat)]).cast(pa.binary())
-                spread = pa.FixedSizeBinaryArray.from_buffers(
+                anywhere = pa.FixedSizeBinaryArray.from_buffers(
                     pa.binary(8), noise.size, [None, pa.py_buffer(noise)]).cast(pa.binary())
                 leads = pa.FixedSizeBinaryArray.from_buffers(
                     pa.binary(16), flat.shape[0],
                     [None, pa.py_buffer(np.ascontiguousarray(flat[:, before:before + 16]))]).cast(pa.binary())
-                for pick, lead, context, done in ((~later, leads, contexts, False), (later, spread, None, True)):
+                for pick, lead, context, done in ((~later, leads, contexts, False), (later, anywhere, None, True)):
                     if not pick.any():
                         continue
                     mask = pa.array(pick)
