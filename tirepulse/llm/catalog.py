@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tirepulse.llm import decontaminate, packing, quality, sharding, simhash_near_dup, substring_dedup, suffix_dedup
+from tirepulse.llm import decontaminate, language_id, packing, quality, sharding, simhash_near_dup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,12 @@ def op6_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs, ~quality.held_out()))
+    return found.select("doc_id", quality.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padding")
@@ -47,7 +53,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op2_sharding, op3_suffix_dedup, op5_substring_dedup, op6_simhash_near_dup, op8_packing, op10_quality)}
+    op1_decontamination, op2_sharding, op3_suffix_dedup, op5_substring_dedup, op6_simhash_near_dup, op7_language_id, op8_packing, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
