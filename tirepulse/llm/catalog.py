@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tirepulse.llm import decontaminate, language_id, packing, quality, sharding, simhash_near_dup, substring_dedup, suffix_dedup
+from tirepulse.llm import collision_ann, decontaminate, language_id, packing, quality, sharding, simhash_near_dup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,12 +48,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padding")
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op2_sharding, op3_suffix_dedup, op5_substring_dedup, op6_simhash_near_dup, op7_language_id, op8_packing, op10_quality)}
+    op1_decontamination, op2_sharding, op3_suffix_dedup, op5_substring_dedup, op6_simhash_near_dup, op7_language_id, op8_packing, op9_nearest_neighbours, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
