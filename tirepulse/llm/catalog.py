@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tirepulse.llm import collision_ann, decontaminate, language_id, packing, quality, sharding, simhash_near_dup, substring_dedup, suffix_dedup
+from tirepulse.llm import collision_ann, decontaminate, language_id, license_scan, packing, quality, sharding, simhash_near_dup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan(_table(spark, sf_dir, "documents")))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
             .select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
@@ -57,7 +61,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op2_sharding, op3_suffix_dedup, op5_substring_dedup, op6_simhash_near_dup, op7_language_id, op8_packing, op9_nearest_neighbours, op10_quality)}
+    op1_decontamination, op2_sharding, op3_suffix_dedup, op4_license_scan, op5_substring_dedup, op6_simhash_near_dup, op7_language_id, op8_packing, op9_nearest_neighbours, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL can express.
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
