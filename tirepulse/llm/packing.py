@@ -4,8 +4,9 @@ Documents are tokenised in stored order, each closed by one id, and laid end to
 end. Window cuts are chosen by dynamic programming over the ends of documents
 and sentences: a window costs its padding, and a cut inside a document costs a
 truncation penalty. The cheapest predecessor within reach of a cut is kept in a
-monotone queue, so each candidate is handled once. Sentences longer than
-``stride`` ids get candidates at every ``stride`` ids, at a higher penalty.
+monotone queue, so each candidate is handled once. Every ``stride`` ids offer
+their last sentence end, or, at a higher penalty, their last id if no sentence
+ends there.
 
 Each input partition packs its own documents, with no shuffle: a partition
 costs at most one padded window more, and its last window is cut into unpadded powers
@@ -28,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tirepulse.llm import textscan as ts
+from tirepulse.llm.ship import shipped
 from tirepulse.llm.tokens import PieceEncoder, default_tokenizer
 
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -42,19 +44,23 @@ class PackingParams:
     sentence_penalty: int = 6
     word_penalty: int = 20
     stride: int = 32
-    block_ids: int = 1 << 19
+    block_ids: int = 1 << 18
 
 
 def candidates(stop: int, documents: np.ndarray, sentences: np.ndarray, params: PackingParams):
-    """Sorted positions at which a window may end, 0 first, and the penalty of each."""
-    ends = np.unique(np.concatenate([[0], documents, sentences, [stop]]))
-    gaps = np.diff(ends)
-    long = np.flatnonzero(gaps > params.stride)
-    extra = [np.arange(ends[k] + params.stride, ends[k + 1], params.stride) for k in long]
-    ends = np.unique(np.concatenate([ends, *extra]))
+    """Sorted positions at which a window may end, 0 first, and the penalty of each.
+
+    All document ends; of every ``stride`` ids the last sentence end, or their last id.
+    """
+    cell = sentences // params.stride
+    last = np.append(cell[1:] != cell[:-1], True) if cell.size else np.zeros(0, bool)
+    some = np.zeros(stop // params.stride + 1, bool)
+    some[cell] = True
+    words = np.flatnonzero(~some[:-1]) * params.stride + params.stride
+    ends = np.unique(np.concatenate([[0], documents, sentences[last], words, [stop]]))
     penalty = np.full(ends.size, params.word_penalty)
-    penalty[np.isin(ends, sentences)] = params.sentence_penalty
-    penalty[np.isin(ends, documents)] = 0
+    penalty[np.searchsorted(ends, sentences[last])] = params.sentence_penalty
+    penalty[np.searchsorted(ends, documents)] = 0
     return ends, penalty
 
 
@@ -163,11 +169,12 @@ def pack(docs: DataFrame, params: PackingParams = PackingParams()) -> DataFrame:
         packer = _Packer(params, TaskContext.get().partitionId())
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for lo, hi, data, cut in ts.slices(batch.column(1)):
+            for lo, hi, data, cut in ts.slices(batch.column(1), ts.SLICE_BYTES // 4):
                 packer.add(doc_ids[lo:hi], *encoder.encode(data, cut, params.last_id))
                 if (out := packer.flush(last=False)) is not None:
                     yield out
         if (out := packer.flush(last=True)) is not None:
             yield out
 
+    shipped(docs.sparkSession)
     return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(run, SCHEMA)

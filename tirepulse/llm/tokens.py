@@ -50,8 +50,8 @@ def pieces(data: np.ndarray, cut: np.ndarray):
     n_odd = np.concatenate([[0], np.cumsum(odd)])
     safe = n_odd[ce] == n_odd[cs]
     inside = np.zeros(n + 1, np.int8)                 # inside a safe chunk
-    np.add.at(inside, cs[safe], 1)
-    np.add.at(inside, ce[safe], -1)
+    inside[cs[safe]] += 1                             # starts differ, and so do ends
+    inside[ce[safe]] -= 1
     inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
     kind = _CLASS[data]
     head = np.zeros(n, bool)
@@ -68,7 +68,7 @@ def pieces(data: np.ndarray, cut: np.ndarray):
 class PieceEncoder:
     """Encodes pieces, each distinct one once while it is kept."""
 
-    def __init__(self, path: str, cache_pieces: int = 400_000):
+    def __init__(self, path: str, cache_pieces: int = 600_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
@@ -84,20 +84,34 @@ class PieceEncoder:
         self.at, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each piece; plain pieces are encoded together and parted at the word ends."""
-        plain = [w for w in words if w.isascii() and (w.isalpha() or not any(c.isalnum() or c in "'<" for c in w))]
-        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, np.int64)
-        ends = np.flatnonzero(self.ends_word[ids]) + 1 if ids.size else np.zeros(0, np.int64)
-        out = {}
-        if ends.size == len(plain):
-            out = dict(zip(plain, np.split(ids, ends[:-1]) if plain else []))
-        rest = [w for w in words if w not in out]
-        for k in range(0, len(rest), 4096):
-            some = rest[k:k + 4096]
-            out.update((w, np.array(e.ids, np.int64)) for w, e in
-                       zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)))
-        return [out[w] for w in words]
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all pieces, and where each piece's ids begin and how many they are. Plain
+        pieces, one word to the tokenizer, are encoded together and parted at the word ends."""
+        ids, length, alone = [], np.zeros(len(words), np.int64), []
+        plain = [k for k, w in enumerate(words) if w.isalpha() and max(w) < "\u0100"
+                 or w.isascii() and not any(c.isalnum() or c in "'<" for c in w)]
+        order = []
+        for lo in range(0, len(plain), 2048):
+            some = plain[lo:lo + 2048]
+            own = self.tokenizer.encode_batch_fast([" ".join([words[k] for k in some])], add_special_tokens=False)[0].ids
+            own = np.array(own, np.uint32)
+            ends = np.flatnonzero(self.ends_word[own]) + 1
+            if ends.size != len(some):
+                alone += some
+                continue
+            length[some] = np.diff(ends, prepend=0)
+            ids.append(own)
+            order += some
+        alone += sorted(set(range(len(words))).difference(plain))
+        for lo in range(0, len(alone), 2048):
+            some = alone[lo:lo + 2048]
+            for k, e in zip(some, self.tokenizer.encode_batch_fast([words[k] for k in some], add_special_tokens=False)):
+                ids.append(np.array(e.ids, np.uint32))
+                length[k] = len(e.ids)
+        order += alone
+        at = np.zeros(len(words), np.int64)
+        at[order] = np.cumsum(length[order]) - length[order]
+        return np.concatenate(ids) if ids else np.zeros(0, np.uint32), at, length
 
     def _find(self, h: np.ndarray, check: np.ndarray):
         place = np.minimum(np.searchsorted(self.known, h), max(0, self.known.size - 1))
@@ -111,7 +125,7 @@ class PieceEncoder:
         low, start, end = pieces(data, cut)
         first = np.searchsorted(start, cut)
         h1, h2 = ts.word_hashes(low, start, end, 1), ts.word_hashes(low, start, end, 2)
-        distinct, index, inverse = np.unique(h1, return_index=True, return_inverse=True)
+        distinct, index, inverse = np.unique(h1, return_index=True, return_inverse=True)     # sorted
         check = h2[index]
         if self.known.size > self.limit:
             self._clear()
@@ -119,14 +133,13 @@ class PieceEncoder:
         missing = index[~have]
         if missing.size:
             text = low.tobytes()
-            ids = self._encode([text[s:e].decode() for s, e in zip(start[missing].tolist(), end[missing].tolist())])
-            length = np.array([len(x) for x in ids], np.int64)
-            at = self.pool.size + np.cumsum(length) - length
-            self.pool = np.concatenate([self.pool, *ids]).astype(np.uint32)
-            known = np.concatenate([self.known, h1[missing]])
-            order = np.argsort(known, kind="stable")
-            self.known, self.check = known[order], np.concatenate([self.check, h2[missing]])[order]
-            self.at, self.length = np.concatenate([self.at, at])[order], np.concatenate([self.length, length])[order]
+            ids, at, length = self._encode([text[s:e].decode() for s, e in zip(start[missing].tolist(), end[missing].tolist())])
+            at += self.pool.size
+            self.pool = np.concatenate([self.pool, ids])
+            new = h1[missing]                          # sorted, as ``distinct`` is
+            to = np.searchsorted(self.known, new)
+            self.known, self.check = np.insert(self.known, to, new), np.insert(self.check, to, h2[missing])
+            self.at, self.length = np.insert(self.at, to, at), np.insert(self.length, to, length)
         place, _ = self._find(distinct, check)
         place = place[inverse]
         # a closing piece after each document's last one
