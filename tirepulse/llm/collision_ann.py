@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tirepulse.llm.ship import shipped
+
 
 @dataclass(frozen=True)
 class CollisionParams:
@@ -123,6 +125,7 @@ def _vectors(table: DataFrame, column: str) -> DataFrame:
 def nearest(table: DataFrame, queries: Column, column: str = "embedding",
             params: CollisionParams = CollisionParams()) -> DataFrame:
     """query_id, rank, vec_id and score of the nearest vectors found for each row where ``queries`` holds."""
+    shipped(table.sparkSession)
     vectors = _vectors(table, column)
     asked = vectors.filter(queries)
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)

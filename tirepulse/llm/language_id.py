@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tirepulse.llm import textscan as ts
+from tirepulse.llm.ship import shipped
 
 UNDETERMINED = "und"
 _LETTERS = ts.byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -198,7 +199,7 @@ def fit(docs: DataFrame, usable: Column, params: LanguageParams = LanguageParams
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred, score and rejected (score below the calibrated threshold) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)     # langs * 2**buckets_log2 floats
+    shared = shipped(docs.sparkSession).sparkContext.broadcast(model)     # langs * 2**buckets_log2 floats
 
     @F.arrow_udf("lang string, score double")
     def language(texts: pa.Array) -> pa.Array:

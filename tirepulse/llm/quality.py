@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tirepulse.llm import textscan as ts
+from tirepulse.llm.ship import shipped
 
 PUNCTUATION = ~ts.WORD_BYTES & ts.SOLID_BYTES
 
@@ -172,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParam
 
 def score(df: DataFrame, model: tuple[np.ndarray, float], column: str = "text") -> Column:
     """Column with the probability of label 1 of ``column``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)   # 2**buckets_log2 floats
+    shared = shipped(df.sparkSession).sparkContext.broadcast(model)   # 2**buckets_log2 floats
 
     @F.arrow_udf("double")
     def quality_score(texts: pa.Array) -> pa.Array:
