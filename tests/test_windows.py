@@ -109,3 +109,101 @@ def test_null_key_can_be_hot(spark):
     plain = rolling(df, spec, hot_key_rows=None).select("id", "s", "sd", "prev")
     split = rolling(df, spec, hot_key_rows=10, block_rows=4).select("id", "s", "sd", "prev")
     assert _rows(split) == _rows(plain)
+
+
+# ---------------------------------------------------------------- the split path on awkward rows
+
+SPEC = RollingSpec(aggs={"s": ("sum", "cold_pressure_avg"), "n": ("count", None),
+                         "sd": ("stddev", "temperature_avg")},
+                   lags={"prev": "cold_pressure_avg", "prev_date": "report_date"})
+
+
+def _frame(spark, ids, days=None, **more):
+    """Reports of one hot sensor (1) with the given ids, and a few of a cold one."""
+    rows = [dict(id=i, sensor_id=1, report_start_at=day(days[k] if days else k // 5),
+                 cold_pressure_avg=float(k * 7 % 23), temperature_avg=float(k * 5 % 11), **more)
+            for k, i in enumerate(ids)]
+    rows += [dict(id=10 ** 9 + d, sensor_id=2, report_start_at=day(d), cold_pressure_avg=float(d)) for d in range(4)]
+    return sensor_df(spark, rows).withColumn("report_date", F.to_date("report_start_at"))
+
+
+def _both(df, spec=SPEC, hot=10, block=6):
+    cols = ["id", "sensor_id", *spec.aggs, *spec.lags]
+    plain = rolling(df, spec, hot_key_rows=None).select(*cols)
+    split = rolling(df, spec, hot_key_rows=hot, block_rows=block).select(*cols)
+    key = lambda r: tuple((v is not None, str(v)) for v in r)
+    clean = lambda x: sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in x.collect()), key=key)
+    assert clean(split) == clean(plain)
+
+
+def test_split_null_ids(spark):
+    _both(_frame(spark, [None if k % 2 else k for k in range(40)]))
+
+
+def test_split_repeated_ids(spark):
+    _both(_frame(spark, [k // 4 for k in range(40)]))
+    _both(_frame(spark, [3] * 40, days=[0] * 40))
+
+
+def test_split_outlier_and_wide_ids(spark):
+    _both(_frame(spark, [*range(39), 2 ** 62]))
+    _both(_frame(spark, [-(2 ** 62), *range(1, 39), 2 ** 62]))
+
+
+def test_split_one_row_frame_with_lag(spark):
+    _both(_frame(spark, range(40)), RollingSpec(SPEC.aggs, SPEC.lags, rows=1))
+    _both(_frame(spark, range(40)), RollingSpec(SPEC.aggs, {}, rows=1))
+
+
+def test_split_column_inputs(spark):
+    spec = RollingSpec(aggs={"s": ("sum", F.col("cold_pressure_avg") * 2), "n": ("count", None)},
+                       lags={"prev": F.col("temperature_avg") + 1})
+    _both(_frame(spark, range(40)), spec)
+
+
+def test_blocks_stay_near_their_size(spark):
+    """One outlier id, or no ids at all, must not put the rows into one block."""
+    from tirepulse.operators.windows import _order, hot_blocks
+    for ids in ([*range(1999), 2 ** 62], [None] * 2000):
+        df = spark.createDataFrame([(1, i, d % 30, float(d)) for d, i in enumerate(ids)],
+                                   "sensor_id int, id long, report_date int, x double")
+        sizes = [r["count"] for r in hot_blocks(df, "sensor_id", _order("report_date", "id", ["x"]), 20)
+                 .groupBy("_blk").count().collect()]
+        assert sum(sizes) == 2000 and max(sizes) <= 3 * 100
+
+
+def test_only_hot_rows_are_stored(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    stored = []
+    kept = Classic.checkpoint
+    monkeypatch.setattr(Classic, "checkpoint", lambda self, eager=True: stored.append(self.count()) or kept(self, eager))
+    rolling(_frame(spark, range(40)), SPEC, hot_key_rows=10, block_rows=6).count()
+    assert stored == [40]                     # the four rows of the other sensor are not
+
+
+def test_unpadded_date_bounds_on_month_partitions(spark, tmp_path):
+    import datetime as dt
+
+    from tirepulse.operators.common import half_open_window, report_window
+    from tirepulse.sources.ingest import read_reports, write_reports
+    flat = sensor_df(spark, [dict(id=i, report_start_at=day(i)) for i in range(60)])
+    parts = read_reports(spark, write_reports(flat, str(tmp_path / "r")))
+    for lo, hi in (("2024-1-5", "2024-2-3"), (dt.date(2024, 1, 5), dt.date(2024, 2, 3)),
+                   (dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 3))):
+        assert report_window(parts, lo, hi).count() == report_window(flat, lo, hi).count() == 30
+        assert half_open_window(parts, lo, hi).count() == half_open_window(flat, lo, hi).count() == 29
+
+
+def test_window_free_outputs_start_no_job(spark):
+    from tirepulse.operators import explore
+    sensors, devices = load_reports(spark, SF_MID)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "plans only")
+    try:
+        features.duration_indices(sensors, REPORT_START, REPORT_END)
+        features.sensor_variables(sensors, REPORT_START, REPORT_END)
+        features.sensor_statistics(sensors, REPORT_START, REPORT_END)
+        explore.transmission_comparison(devices, sensors, 1, REPORT_START, REPORT_END)
+        assert not tracker.getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

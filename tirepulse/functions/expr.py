@@ -40,3 +40,8 @@ def truthy(cond: Column) -> Column:
 def any_positive(cols: Iterable[str | Column]) -> Column:
     """``c1 > 0 OR c2 > 0 OR ...`` with SQL three-valued logic."""
     return reduce(or_, [col(c) > 0 for c in cols])
+
+
+def not_nan(c: str | Column) -> Column:
+    """The value, NULL if it is NaN."""
+    return F.when(~F.isnan(col(c)), col(c))

@@ -10,11 +10,17 @@ TS = "report_start_at"
 MONTH_PARTITION = "report_month"
 
 
-def _ts_literal(df: DataFrame, value: str) -> Column:
+def _ts_literal(df: DataFrame, value) -> Column:
+    """A bound (text, date or datetime) as a literal of the timestamp column's type."""
     return F.lit(value).cast(df.schema[TS].dataType)
 
 
-def report_window(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+def _month(bound: Column) -> Column:
+    """The month partition that holds a bound (folded to a constant, so folders are pruned)."""
+    return F.date_format(bound, "yyyy-MM")
+
+
+def report_window(df: DataFrame, start, end) -> DataFrame:
     """Closed range ``start <= report_start_at <= end`` (SQL ``BETWEEN``).
 
     Bounds are typed literals, so the predicate reaches the Parquet scan.
@@ -32,17 +38,17 @@ def report_window(df: DataFrame, start: str | None, end: str | None) -> DataFram
         cond = cond & (F.col(TS) <= _ts_literal(df, end))
     if MONTH_PARTITION in df.columns:
         if start is not None:
-            cond = cond & (F.col(MONTH_PARTITION) >= F.lit(start[:7]))
+            cond = cond & (F.col(MONTH_PARTITION) >= _month(_ts_literal(df, start)))
         if end is not None:
-            cond = cond & (F.col(MONTH_PARTITION) <= F.lit(end[:7]))
+            cond = cond & (F.col(MONTH_PARTITION) <= _month(_ts_literal(df, end)))
     return df.filter(cond)
 
 
-def half_open_window(df: DataFrame, start: str, end: str) -> DataFrame:
+def half_open_window(df: DataFrame, start, end) -> DataFrame:
     """``start <= report_start_at < end`` (the exploration queries' range)."""
     cond = (F.col(TS) >= _ts_literal(df, start)) & (F.col(TS) < _ts_literal(df, end))
     if MONTH_PARTITION in df.columns:
-        cond = cond & (F.col(MONTH_PARTITION) >= F.lit(start[:7])) & (F.col(MONTH_PARTITION) <= F.lit(end[:7]))
+        cond = cond & (F.col(MONTH_PARTITION) >= _month(_ts_literal(df, start))) & (F.col(MONTH_PARTITION) <= _month(_ts_literal(df, end)))
     return df.filter(cond)
 
 

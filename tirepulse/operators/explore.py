@@ -38,9 +38,8 @@ def device_sensor_join_counts(devices: DataFrame, sensors: DataFrame) -> DataFra
             .withColumn("joined_rows", F.col("device_reports") * F.col("sensor_reports")))
 
 
-# Hub reports of one vehicle-month up to this many rows are broadcast (the data
-# model gives at most 2 hubs x 31 days; the count below checks it).
-MAX_BROADCAST_HUB_ROWS = 100_000
+# Parts into which the sensor reports of the one vehicle are dealt.
+COMPARE_PARTS = 32
 
 
 def transmission_comparison(devices: DataFrame, sensors: DataFrame, vehicle_id: int,
@@ -50,32 +49,33 @@ def transmission_comparison(devices: DataFrame, sensors: DataFrame, vehicle_id:
 
     The range on the sensor side is part of the join condition in the source;
     applying it (and the vehicle) as a filter before the join is equivalent.
-    Every row shares one join key, so a plain left join would run in a single
-    task. When the hub side is small (counted), it is broadcast to an inner
-    join that streams the sensor reports where they are, and the hubs without
-    any sensor report are added back with an anti join against the (one-row)
-    set of vehicles that have sensor reports. Beyond the limit, a left join.
+    Every row shares one vehicle, so the sensor reports are dealt into
+    ``COMPARE_PARTS`` parts by id and each hub report meets every part: the join
+    key is (vehicle, part), and no task gets all rows. Hub reports are added
+    back without a partner if the vehicle has no sensor report.
     """
+    if vehicle_id is None:
+        raise ValueError("the comparison is of one vehicle: give its id")
     d = _vehicle(half_open_window(devices, start, end), vehicle_id)
     s = _vehicle(half_open_window(sensors, start, end), vehicle_id)
-    hub_cols = [F.col("d.id").alias("d_id"), F.col("d.vehicle_id"), F.col("d.device_id"),
-                F.col("d.transmission_level").alias("d_tr"), F.col("d.transmitting_dur").alias("d_tdur"),
-                F.col("d.not_transmitting_dur").alias("d_ntdur"), F.col("d.report_start_at").alias("drsat"),
-                F.col("d.updated_at").alias("duat")]
+    # Output names of the comparison.
+    hub_cols = [("id", "d_id"), ("vehicle_id", "vehicle_id"), ("device_id", "device_id"),
+                ("transmission_level", "d_tr"), ("transmitting_dur", "d_tdur"),
+                ("not_transmitting_dur", "d_ntdur"), ("report_start_at", "drsat"), ("updated_at", "duat")]
     sensor_cols = [("id", "id"), ("sensor_id", "sensor_id"), ("wheel_id", "wheel_id"),
                    ("wheel_position", "wheel_position"), ("transmission_level", "s_tr"),
                    ("transmitting_dur", "s_tdur"), ("not_transmitting_dur", "s_ntdur"),
                    ("report_start_at", "ssat"), ("updated_at", "suat")]
-    on = F.col("d.vehicle_id") == F.col("s.vehicle_id")
-    if d.count() > MAX_BROADCAST_HUB_ROWS:
-        return d.alias("d").join(s.alias("s"), on, "left").select(
-            *hub_cols, *[F.col(f"s.{c}").alias(a) for c, a in sensor_cols])
-    matched = (F.broadcast(d).alias("d").join(s.alias("s"), on, "inner")
-               .select(*hub_cols, *[F.col(f"s.{c}").alias(a) for c, a in sensor_cols]))
-    with_sensors = s.select("vehicle_id").distinct()
-    unmatched = (d.join(F.broadcast(with_sensors), "vehicle_id", "left_anti").alias("d")
-                 .select(*hub_cols, *[F.lit(None).cast(s.schema[c].dataType).alias(a) for c, a in sensor_cols]))
-    return matched.unionByName(unmatched)
+    hubs = d.select(*[F.col(c).alias(a) for c, a in hub_cols])
+    readings = s.select(F.col("vehicle_id").alias("_v"), *[F.col(c).alias(a) for c, a in sensor_cols])
+    dealt = readings.withColumn("_part", F.pmod(F.xxhash64("id", "sensor_id", "ssat"), F.lit(COMPARE_PARTS)).cast("int"))
+    every = hubs.withColumn("_part_d", F.explode(F.sequence(F.lit(0), F.lit(COMPARE_PARTS - 1))))
+    names = [a for _, a in hub_cols + sensor_cols]
+    matched = every.join(dealt, (F.col("vehicle_id") == F.col("_v")) & (F.col("_part_d") == F.col("_part"))).select(*names)
+    seen = s.select(F.col("vehicle_id").alias("_v")).distinct()
+    alone = (hubs.join(seen, F.col("vehicle_id") == F.col("_v"), "left_anti")
+             .select("*", *[F.lit(None).cast(s.schema[c].dataType).alias(a) for c, a in sensor_cols]))
+    return matched.unionByName(alone)
 
 
 def transmission_order():
@@ -86,7 +86,7 @@ def level_profile(sensors: DataFrame, metric: str, vehicle_id: int | None,
                   start: str, end: str) -> DataFrame:
     """Time and entries per level of one metric for each sensor report in [start, end).
 
-    Output names follow the exploration export (the same short names for all
+    Output names (fixed values) follow the exploration export (the same short names for all
     three metrics): ``s_l{1..3}{h,l}td`` durations, ``s_otd`` optimal,
     ``s_l{1..3}{h,l}tc`` counts.
     """

@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tirepulse.functions.expr import fill0, ratio
-from tirepulse.operators.common import report_date, report_window
+from tirepulse.functions.expr import fill0, not_nan, ratio
+from tirepulse.operators.common import TS, report_date, report_window
 from tirepulse.operators.kpis import active_sensors_per_vehicle
 from tirepulse.operators.windows import (
-    DEFAULT_BLOCK_ROWS, DEFAULT_HOT_KEY_ROWS, RollingSpec, rolling, source_key,
+    DEFAULT_BLOCK_ROWS, DEFAULT_HOT_KEY_ROWS, RollingSpec, rolling,
 )
 
 
@@ -22,6 +22,11 @@ def _float0() -> Column:
     return F.lit(0.0).cast("float")
 
 
+def _readings() -> list[Column]:
+    """The three mean readings; NaN counts as missing, whatever the source of the rows."""
+    return [not_nan(c).alias(c) for c in ("temperature_avg", "cold_pressure_avg", "hot_pressure_avg")]
+
+
 def _slope(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column) -> Column:
     """Least-squares slope from window sums; 0 when all x are equal.
 
@@ -40,11 +45,11 @@ def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
     ``day_num`` counts days from the earliest report date of the whole table
     (not the filtered range); it is a scalar subquery.
     """
-    origin = sensors.agg(F.min(report_date())).scalar()
+    origin = sensors.agg(F.to_date(F.min(TS))).scalar()
     daily = report_window(sensors, start, end).select(
         "id", "wheel_position", "wheel_id", "sensor_id", "vehicle_id",
         report_date().alias("report_date"),
-        "temperature_avg", "cold_pressure_avg", "hot_pressure_avg", "transmitting_dur",
+        *_readings(), "transmitting_dur",
         "level_1_high_cold_pressure_dur", "level_2_high_hot_pressure_dur",
         "level_2_high_temperature_dur", "level_3_high_temperature_dur",
         "level_3_low_cold_pressure_dur", "level_3_low_cold_pressure_cnt",
@@ -71,9 +76,7 @@ def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
         lags={"prev_cold": "cold_pressure_avg", "prev_temp": "temperature_avg",
               "prev_hot": "hot_pressure_avg", "prev_date": "report_date"},
         rows=rows)
-    # the rows of `daily` are the report-range rows of `sensors`, like in rolling_stats
-    r = rolling(daily, spec, hot_key_rows=hot_key_rows, block_rows=block_rows,
-                measure_key=source_key(sensors, start, end))
+    r = rolling(daily, spec, hot_key_rows=hot_key_rows, block_rows=block_rows)
 
     # One projection for everything derived from the window (fewer plan nodes
     # to analyse; Catalyst collapses and deduplicates the expressions anyway).
@@ -96,13 +99,34 @@ def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
         F.coalesce(d_cold, _float0()).alias("delta_cold"),
         F.coalesce(d_temp, _float0()).alias("delta_temp"),
         F.coalesce(d_hot, _float0()).alias("delta_hot"),
-        F.coalesce(ratio(c("level_1_high_cold_pressure_dur") + c("level_2_high_hot_pressure_dur"),
-                         "transmitting_dur"), F.lit(0.0)).alias("over_inflation_index"),
-        F.coalesce(ratio(c("level_2_high_temperature_dur") + c("level_3_high_temperature_dur"),
-                         "transmitting_dur"), F.lit(0.0)).alias("high_temp_dur_ratio"),
+        *_duration_ratios(),
         F.coalesce(thermal, _float0()).alias("thermal_pressure_ratio"))
 
 
+def _duration_ratios() -> list[Column]:
+    c = F.col
+    return [F.coalesce(ratio(c("level_1_high_cold_pressure_dur") + c("level_2_high_hot_pressure_dur"),
+                             "transmitting_dur"), F.lit(0.0)).alias("over_inflation_index"),
+            F.coalesce(ratio(c("level_2_high_temperature_dur") + c("level_3_high_temperature_dur"),
+                             "transmitting_dur"), F.lit(0.0)).alias("high_temp_dur_ratio")]
+
+
+def duration_indices(sensors: DataFrame, start: str, end: str) -> DataFrame:
+    """The two duration indices of each report; a plain projection, no window."""
+    return report_window(sensors, start, end).select(
+        "id", "sensor_id", report_date().alias("report_date"), *_duration_ratios())
+
+
+def sensor_variables(sensors: DataFrame, start: str, end: str) -> DataFrame:
+    """The three mean readings of each report; a plain projection, no window."""
+    return report_window(sensors, start, end).select("id", report_date().alias("report_date"), *_readings())
+
+
+def sensor_statistics(sensors: DataFrame, start: str, end: str) -> DataFrame:
+    """Transmitting seconds of each report; a plain projection, no window."""
+    return report_window(sensors, start, end).select("id", report_date().alias("report_date"), "transmitting_dur")
+
+
 def device_features(devices: DataFrame, sensors: DataFrame, start: str, end: str) -> DataFrame:
     """Per hub report: uptime fraction and the vehicle's active sensors that day.
 
@@ -139,7 +163,7 @@ def critical_durations(sensors: DataFrame, start: str, end: str) -> DataFrame:
     """Per report: readings plus level-3 (high + low) seconds per metric, NULL as 0."""
     return report_window(sensors, start, end).select(
         "id", report_date().alias("report_date"), "sensor_id", "vehicle_id", "wheel_position",
-        "temperature_avg", "cold_pressure_avg", "hot_pressure_avg",
+        *_readings(),
         *[(fill0(f"level_3_high_{m}_dur") + fill0(f"level_3_low_{m}_dur")).alias(name)
           for name, m in CRITICAL.items()])
 
@@ -153,8 +177,7 @@ def rolling_stats(sensors: DataFrame, start: str, end: str, rows: int = 7,
         aggs[f"ma_{short}"] = ("avg", c)
         aggs[f"sd_{short}"] = ("stddev", c)
     return rolling(critical_durations(sensors, start, end), RollingSpec(aggs=aggs, rows=rows),
-                   hot_key_rows=hot_key_rows, block_rows=block_rows,
-                   measure_key=source_key(sensors, start, end))
+                   hot_key_rows=hot_key_rows, block_rows=block_rows)
 
 
 def sensor_zscores(sensors: DataFrame, start: str, end: str, rows: int = 7,
@@ -193,29 +216,18 @@ def feature_matrix(zscored: DataFrame) -> DataFrame:
     return zscored.select("id", *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
 
 
-def fit_scaler(df: DataFrame, features: list[str] = MODEL_FEATURES) -> dict:
-    """Mean and population stddev of each feature, plus the row count.
+def with_scaled(df: DataFrame, features: list[str] = MODEL_FEATURES, prefix: str = "") -> DataFrame:
+    """Append (or replace, with ``prefix=""``) standardised copies of ``features``:
+    (x - mean) / population stddev, a zero stddev scaling by 1.
 
-    One aggregation whose single row (2 x k + 1 numbers) is brought to the
-    driver, like fitting a scaler; applying it is then a projection with
-    literals, so neither a join nor a repeated subquery is planned.
+    The fit is a scalar subquery of one row in the same plan; nothing runs
+    before the result is asked for.
     """
-    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in features],
-                 *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in features],
-                 F.count(F.lit(1)).alias("n")).first()
-    return {"n": row["n"],
-            "mean": {c: row[f"m_{c}"] if row[f"m_{c}"] is not None else 0.0 for c in features},
-            "scale": {c: row[f"s_{c}"] or 1.0 for c in features}}
-
-
-def with_scaled(df: DataFrame, features: list[str] = MODEL_FEATURES, prefix: str = "",
-                scaler: dict | None = None) -> DataFrame:
-    """Append (or replace, with ``prefix=""``) standardised copies of ``features``:
-    (x - mean) / population stddev, a zero stddev scaling by 1."""
-    scaler = scaler or fit_scaler(df, features)
-    return df.withColumns({
-        f"{prefix}{c}": (F.col(c).cast("double") - F.lit(scaler["mean"][c])) / F.lit(scaler["scale"][c])
-        for c in features})
+    fit = df.agg(F.struct(
+        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in features],
+        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in features])).scalar()
+    scale = {c: F.when(fit[f"s_{c}"] != 0, fit[f"s_{c}"]).otherwise(F.lit(1.0)) for c in features}
+    return df.withColumns({f"{prefix}{c}": (F.col(c).cast("double") - fit[f"m_{c}"]) / scale[c] for c in features})
 
 
 def scaled_features(matrix: DataFrame, features: list[str] = MODEL_FEATURES) -> DataFrame:

@@ -116,10 +116,14 @@ def device_connectivity(devices: DataFrame, start: str, end: str) -> DataFrame:
 def worst_device(connectivity: DataFrame) -> DataFrame:
     """The hub-day with the lowest uptime (top-1 by design; ties by date, ids).
 
+    Our reading of the disabled lookup: reports of vehicles without a hub have
+    no device id and are no candidates.
+
     Spark plans ``orderBy().limit(1)`` as a distributed take-ordered: each
     task keeps its best row, the driver merges one row per task.
     """
     return (connectivity
+            .filter(F.col("device_id").isNotNull())
             .orderBy(F.col("connectivity_efficiency_pct").asc_nulls_last(),
                      F.col("report_date").asc_nulls_last(),
                      F.col("device_id").asc_nulls_last(),
@@ -148,16 +152,17 @@ def extreme_level_sensors(sensors: DataFrame, start: str, end: str) -> DataFrame
     Our definition. Two explicit phases: flags are first reduced per
     (day, sensor) with a map-side combine, then summed per day, instead of
     four distinct aggregates (which Spark would plan with a 4x Expand).
+    Reports without a sensor id count as no sensor, but their day has a row.
     """
     flags = {m: F.max(F.when(any_positive([level_col(3, sd, m) for sd in ("high", "low")]), 1)
                       .otherwise(0)) for m in METRICS}
     per_sensor = (report_window(sensors, start, end)
-                  .filter(F.col("sensor_id").isNotNull())
                   .groupBy(report_date().alias("report_date"), "sensor_id")
                   .agg(*[flags[m].alias(m) for m in METRICS]))
+    known = lambda flag: F.sum(F.when(F.col("sensor_id").isNotNull(), flag).otherwise(0)).cast("bigint")
     return (per_sensor.groupBy("report_date")
-            .agg(*[F.sum(m).cast("bigint").alias(f"extreme_{m}_sensors") for m in METRICS],
-                 F.sum(F.greatest(*[F.col(m) for m in METRICS])).cast("bigint").alias("extreme_sensors")))
+            .agg(*[known(F.col(m)).alias(f"extreme_{m}_sensors") for m in METRICS],
+                 known(F.greatest(*[F.col(m) for m in METRICS])).alias("extreme_sensors")))
 
 
 def level_distribution(sensors: DataFrame, start: str, end: str) -> DataFrame:
@@ -198,7 +203,9 @@ def communication_pct(devices: DataFrame, start: str, end: str, grain: str = "da
     """Share of time each vehicle's hubs transmitted, by day or month (percent).
 
     Our definition: 100 * ΣT / (86,400 * hub reports) over the vehicle's hub
-    reports in the period.
+    reports in the period. Expected time counts the days that have a report
+    only; a hub that stopped reporting altogether is found by ``fleet_status``
+    and ``silent_devices``, not here.
     """
     key = report_date().alias("report_date") if grain == "day" else \
         F.date_format(report_date(), "yyyy-MM").alias("month_year")
@@ -212,16 +219,19 @@ def vehicle_active_sensor_pct(sensors: DataFrame, start: str, end: str, grain: s
     """Share of a vehicle's known sensors that transmitted, by day or month (percent).
 
     Our definition: distinct sensors with ``transmitting_dur > 0`` in the
-    period / distinct sensors of the vehicle over all history. The per-vehicle
-    baseline is one row per vehicle; the join is a plain equi-join (AQE picks
-    broadcast only if its measured size is small).
+    period / distinct sensors of the vehicle over all history, for each period
+    in which the vehicle has a sensor report: 0 % if all were silent, NULL if
+    none of its reports names a sensor. A NULL vehicle is a group like any
+    other. The per-vehicle baseline is one row per vehicle; the join is a plain
+    equi-join (AQE picks broadcast only if its measured size is small).
     """
     key = report_date().alias("report_date") if grain == "day" else \
         F.date_format(report_date(), "yyyy-MM").alias("month_year")
-    known = sensors.groupBy("vehicle_id").agg(F.count_distinct("sensor_id").alias("known_sensors"))
-    active = (report_window(sensors, start, end)
-              .filter(F.col("transmitting_dur") > 0)
-              .groupBy("vehicle_id", key)
-              .agg(F.count_distinct("sensor_id").alias("active_sensors")))
-    return (active.join(known, "vehicle_id")
-            .withColumn("active_sensor_pct", F.col("active_sensors") * 100.0 / F.col("known_sensors")))
+    period = "report_date" if grain == "day" else "month_year"
+    known = (sensors.groupBy(F.col("vehicle_id").alias("_vehicle"))
+             .agg(F.count_distinct("sensor_id").alias("known_sensors")))
+    active = (report_window(sensors, start, end).groupBy("vehicle_id", key)
+              .agg(F.count_distinct(F.when(F.col("transmitting_dur") > 0, F.col("sensor_id"))).alias("active_sensors")))
+    return (active.join(known, F.col("vehicle_id").eqNullSafe(F.col("_vehicle")))
+            .select("vehicle_id", period, "active_sensors", "known_sensors",
+                    ratio(F.col("active_sensors") * 100.0, "known_sensors").alias("active_sensor_pct")))

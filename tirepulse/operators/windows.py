@@ -4,26 +4,21 @@ The source computes, per sensor ordered by report date, moving AVG / STDDEV /
 SUM / COUNT over ``ROWS BETWEEN 6 PRECEDING AND CURRENT ROW`` and LAG(1).
 A plain ``Window.partitionBy(sensor_id)`` sends every report of a sensor to one
 task, so a sensor (or a NULL / placeholder id) holding a large share of the
-rows would run in a single task. ``rolling`` therefore:
-
-1. counts rows per key (map-side combined); keys above ``hot_key_rows`` are
-   *hot*. Their number is at most total rows / ``hot_key_rows``; up to
-   ``MAX_BROADCAST_HOT_KEYS`` of them are collected and broadcast, a longer
-   list stays a DataFrame and is joined with a shuffle join;
-2. with no hot key, runs the plain window (one shuffle);
-3. otherwise splits only the hot keys into blocks ordered like the window
-   itself: (report day, id range) with about ``block_rows`` rows per block,
-   joined in from the hot-key list. Normal keys keep one block.
-   Frames, lags, row position and block size are computed per block in one
-   sorted pass; rows at position > frame-1 are final;
-4. recomputes the first ``rows-1`` rows of every hot block together with the
-   ``rows-1`` reports that precede the block, taken from the tails of the (at
-   most ``rows-1``) previous non-empty blocks: at most ``2*(rows-1)`` rows per
-   block, a small second pass.
-
-The result is exactly the unsplit window. Ties on the date are broken by
-``id`` (the source orders by date only, which is nondeterministic when a
-sensor has two reports on one day).
+rows would run in a single task. ``rolling`` therefore counts rows per key
+(pre-aggregated, one job); keys above ``hot_key_rows`` are *hot*.
+
+* Rows of other keys (all rows, if there is no hot key) take the plain window:
+  one shuffle, nothing materialised.
+* Rows of hot keys are range-partitioned by the window order itself, (key, date,
+  id, inputs) with NULLs last, into blocks of about ``block_rows`` rows. The
+  splitters are sampled, so gaps and outliers in the ids don't matter. Frames,
+  lags and positions are computed per block and stored once; the first rows of
+  each block are computed again together with the rows that precede the block,
+  which are among the last rows of the previous blocks.
+
+Ties on the date are broken by ``id`` (the source orders by date only, which is
+nondeterministic when a sensor has two reports on one day), and ties on both by
+the input values, so both ways give the same rows also for repeated ids.
 """
 
 from __future__ import annotations
@@ -32,7 +27,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tirepulse.session import ensure_checkpoint_dir
 
@@ -40,7 +34,8 @@ from tirepulse.session import ensure_checkpoint_dir
 DEFAULT_HOT_KEY_ROWS = 2_000_000
 # Rows per block when a hot key is split.
 DEFAULT_BLOCK_ROWS = 500_000
-# Hot-key lists up to this size are collected and broadcast (3 numbers each).
+# Hot-key lists up to this size are broadcast; there are at most
+# total rows / hot_key_rows of them. A longer list is joined by shuffle.
 MAX_BROADCAST_HOT_KEYS = 100_000
 
 _AGGS = {
@@ -60,134 +55,116 @@ class RollingSpec:
     rows: int = 7
 
 
-def _c(x):
-    return F.col(x) if isinstance(x, str) else x
+def _named_inputs(df: DataFrame, spec: RollingSpec) -> tuple[DataFrame, RollingSpec, list[str]]:
+    """``df`` with an added column for every input given as an expression, and the spec by names."""
+    added: dict[str, Column] = {}
+
+    def name(c):
+        if c is None or isinstance(c, str):
+            return c
+        added[f"_in{len(added)}"] = c
+        return f"_in{len(added) - 1}"
+
+    named = RollingSpec({k: (kind, name(c)) for k, (kind, c) in spec.aggs.items()},
+                        {k: name(c) for k, c in spec.lags.items()}, spec.rows)
+    inputs = [c for _, c in named.aggs.values() if c is not None] + list(named.lags.values())
+    return df.withColumns(added) if added else df, named, list(dict.fromkeys(inputs))
+
+
+def _order(date_col: str, tie: str, inputs: list[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in dict.fromkeys([date_col, tie, *inputs])]
 
 
 def _window_cols(spec: RollingSpec, part: list[str], order: list[Column]):
     w = Window.partitionBy(*part).orderBy(*order)
     frame = w.rowsBetween(-(spec.rows - 1), 0)
-    cols = [_AGGS[kind](None if c is None else _c(c)).over(frame).alias(name)
+    cols = [_AGGS[kind](None if c is None else F.col(c)).over(frame).alias(name)
             for name, (kind, c) in spec.aggs.items()]
-    cols += [F.lag(_c(c), 1).over(w).alias(name) for name, c in spec.lags.items()]
+    cols += [F.lag(c, 1).over(w).alias(name) for name, c in spec.lags.items()]
     return w, cols
 
 
-def hot_keys(df: DataFrame, key: str, tie: str, hot_key_rows: int, block_rows: int) -> DataFrame:
-    """Keys with more than ``hot_key_rows`` rows, with the id origin and id span
-    of their blocks (lazy; at most total rows / ``hot_key_rows`` rows)."""
-    rows = F.col("_rows")
-    span = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) * block_rows / rows))
-    return (df.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_rows"), F.min(tie).cast("long").alias("_lo"),
-                 F.max(tie).cast("long").alias("_hi"))
-            .filter(rows > hot_key_rows)
-            .select(F.col(key).alias("_hk"), "_lo", span.cast("long").alias("_span")))
-
-
-_MEASURED: dict = {}
-
-
-def source_key(df: DataFrame, *params) -> tuple:
-    """Identity of a source table and its parameters, for reusing a hot-key
-    measurement: the session, the plan's semantic hash, the files it reads."""
-    return (id(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), params)
+def hot_keys(df: DataFrame, key: str, hot_key_rows: int) -> DataFrame:
+    """Keys with more than ``hot_key_rows`` rows and their row counts."""
+    return (df.groupBy(F.col(key).alias("_hk")).agg(F.count(F.lit(1)).alias("_rows"))
+            .filter(F.col("_rows") > hot_key_rows))
 
 
 def rolling(df: DataFrame, spec: RollingSpec, key: str = "sensor_id",
             date_col: str = "report_date", tie: str = "id",
             hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
-            block_rows: int = DEFAULT_BLOCK_ROWS, measure_key: tuple | None = None) -> DataFrame:
+            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """``df`` plus one column per entry of ``spec`` (see module doc).
 
     ``hot_key_rows=None`` skips the measurement and runs the plain window;
     a small ``hot_key_rows`` / ``block_rows`` forces the split (tests).
-    ``measure_key`` (see ``source_key``) lets windows over the same rows reuse
-    one hot-key measurement. A stale entry can only change how hot keys are
-    split, never the result: any (day, id-range) blocking is consistent with
-    the window order.
     """
-    order = [F.col(date_col).asc_nulls_last(), F.col(tie).asc_nulls_last()]
     out_cols = df.columns + list(spec.aggs) + list(spec.lags)
-    if hot_key_rows is None:
-        found = []
-    else:
-        hot = hot_keys(df, key, tie, hot_key_rows, block_rows)
-        memo = None if measure_key is None else (measure_key, key, tie, hot_key_rows, block_rows)
-        if memo is not None and memo in _MEASURED:
-            found = _MEASURED[memo]
-        else:
-            # one job: at most MAX_BROADCAST_HOT_KEYS + 1 rows come back
-            found = hot.limit(MAX_BROADCAST_HOT_KEYS + 1).collect()
-            if memo is not None:
-                _MEASURED[memo] = found
-    if not found:
+    rows, spec, inputs = _named_inputs(df, spec)
+    order = _order(date_col, tie, inputs)
+
+    def plain(part: DataFrame) -> DataFrame:
         _, cols = _window_cols(spec, [key], order)
-        return df.select("*", *cols)
-
-    inputs = [c for _, c in spec.aggs.values() if c is not None] + list(spec.lags.values())
-    if not all(isinstance(c, str) for c in inputs):
-        raise ValueError("rolling with hot keys takes column names as window inputs")
-    inputs = list(dict.fromkeys(inputs))
-
-    if len(found) <= MAX_BROADCAST_HOT_KEYS:
-        # size checked above: broadcast the collected list
-        hot_side = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
-    else:
-        # too many to broadcast: a shuffle join on the key (AQE splits its skew)
-        hot_side = hot
-    marked = (df.join(hot_side, df[key].eqNullSafe(hot_side["_hk"]), "left").drop("_hk")
-              .withColumn("_hot", F.col("_span").isNotNull()))
-    blk = F.when(F.col("_hot"), F.struct(
-        F.unix_date(F.col(date_col)).cast("long").alias("d"),
-        F.floor((F.col(tie) - F.col("_lo")) / F.col("_span")).cast("long").alias("b"))) \
-        .otherwise(F.struct(F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("b")))
-    blocked = marked.withColumn("_blk", blk).drop("_lo", "_span")
-    return _split_rolling(blocked, spec, key, date_col, tie, order, out_cols, inputs, df.columns)
-
-
-def _split_rolling(blocked, spec, key, date_col, tie, order, out_cols, inputs, in_cols):
-    lag_n = spec.rows - 1
+        return part.select("*", *cols).select(*out_cols)
+
+    if hot_key_rows is None:
+        return plain(rows)
+    hot = hot_keys(rows, key, hot_key_rows)
+    n_keys, n_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    if not n_keys:
+        return plain(rows)
+    hot_side = F.broadcast(hot.select("_hk")) if n_keys <= MAX_BROADCAST_HOT_KEYS else hot.select("_hk")
+    same = rows[key].eqNullSafe(F.col("_hk"))
+    cold = plain(rows.join(hot_side, same, "left_anti"))
+    blocks = max(1, -(-n_rows // block_rows))
+    split = _split_rolling(rows.join(hot_side, same, "left_semi"), spec, key, date_col, tie,
+                           order, out_cols, inputs, blocks)
+    return cold.unionByName(split)
+
+
+def hot_blocks(hot_rows: DataFrame, key: str, order: list[Column], blocks: int) -> DataFrame:
+    """``hot_rows`` with ``_blk``, the number of a block in the window order."""
+    return (hot_rows.repartitionByRange(blocks, F.col(key).asc_nulls_last(), *order)
+            .withColumn("_blk", F.spark_partition_id()))
+
+
+def _split_rolling(hot_rows, spec, key, date_col, tie, order, out_cols, inputs, blocks):
+    context = max(spec.rows - 1, 1 if spec.lags else 0)     # rows that a row looks back at
+    in_cols = hot_rows.columns
     part = [key, "_blk"]
     w, cols = _window_cols(spec, part, order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # The block pass feeds four branches; it is checkpointed (shared folder
-    # named by spark.checkpoint.dir) so that none of them recomputes it.
-    ensure_checkpoint_dir(blocked.sparkSession)
-    p1 = blocked.select("*", *cols,
-                        F.row_number().over(w).alias("_pos"),
-                        F.count(F.lit(1)).over(whole).alias("_n")).checkpoint(eager=True)
-    hot = F.col("_hot")
-
-    # Rows of normal keys, and rows whose frame (and lag) lies inside their block, are final.
-    done = p1.filter(~hot | (F.col("_pos") > lag_n)).select(*out_cols)
-
-    # Context: the last `lag_n` rows before each hot block, from the tails of the
-    # previous `lag_n` non-empty blocks of the same key.
-    narrow = [key, date_col, tie, *[c for c in inputs if c not in (key, date_col, tie)]]
-    tails = p1.filter(hot & (F.col("_n") - F.col("_pos") < lag_n)).select(*narrow, "_blk")
-    blocks = p1.filter(hot & (F.col("_pos") == 1)).select(key, "_blk")
-    wb = Window.partitionBy(key).orderBy(F.col("_blk").asc_nulls_last())
-    prev = (blocks
-            .select(key, F.col("_blk").alias("_target"),
-                    F.array(*[F.lag("_blk", i).over(wb) for i in range(1, lag_n + 1)]).alias("_srcs"))
-            .select(key, "_target", F.explode("_srcs").alias("_src"))
+    # Only the hot rows are stored, once (in the shared folder named by
+    # spark.checkpoint.dir): four branches read them.
+    ensure_checkpoint_dir(hot_rows.sparkSession)
+    p1 = hot_blocks(hot_rows, key, order, blocks).select(
+        "*", *cols, F.row_number().over(w).alias("_pos"),
+        F.count(F.lit(1)).over(whole).alias("_n")).checkpoint(eager=True)
+
+    # Rows whose frame and lag lie inside their block are final.
+    done = p1.filter(F.col("_pos") > context).select(*out_cols)
+    if not context:
+        return done
+
+    # The last `context` rows before each block, from the tails of the
+    # previous `context` blocks of the same key.
+    narrow = list(dict.fromkeys([key, date_col, tie, *inputs]))
+    tails = p1.filter(F.col("_n") - F.col("_pos") < context).select(*narrow, "_blk")
+    wb = Window.partitionBy(key).orderBy("_blk")
+    prev = (p1.filter(F.col("_pos") == 1).select(key, "_blk")
+            .select(F.col(key).alias("_key"), F.col("_blk").alias("_target"),
+                    F.array(*[F.lag("_blk", i).over(wb) for i in range(1, context + 1)]).alias("_srcs"))
+            .select("_key", "_target", F.explode("_srcs").alias("_src"))
             .filter(F.col("_src").isNotNull()))
-    t, p = tails.alias("t"), prev.alias("p")
-    ctx = (t.join(p, F.col(f"t.{key}").eqNullSafe(F.col(f"p.{key}"))
-                  & (F.col("t._blk") == F.col("p._src")))
-           .select(*[F.col(f"t.{c}") for c in narrow], F.col("p._target").alias("_blk")))
-    newest = Window.partitionBy(key, "_blk").orderBy(F.col(date_col).desc_nulls_first(),
-                                                     F.col(tie).desc_nulls_first())
-    ctx = (ctx.withColumn("_r", F.row_number().over(newest))
-           .filter(F.col("_r") <= lag_n).drop("_r")
-           .withColumn("_ctx", F.lit(True)))
-
-    heads = (p1.filter(hot & (F.col("_pos") <= lag_n))
-             .select(*in_cols, "_blk").withColumn("_ctx", F.lit(False)))
-    fix_in = heads.unionByName(ctx, allowMissingColumns=True)
-    _, cols2 = _window_cols(spec, part, order)
-    fixed = (fix_in.select("*", *cols2)
-             .filter(~F.col("_ctx"))
-             .select(*out_cols))
-    return done.unionByName(fixed)
+    ctx = (tails.join(prev, tails[key].eqNullSafe(prev["_key"]) & (F.col("_blk") == F.col("_src")))
+           .select(*narrow, F.col("_target").alias("_to"), F.col("_blk").alias("_from")))
+    newest = Window.partitionBy(key, "_to").orderBy(
+        F.col("_from").desc(), *[F.col(c).desc_nulls_first() for c in dict.fromkeys([date_col, tie, *inputs])])
+    ctx = (ctx.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= context)
+           .select(*narrow, F.col("_to").alias("_blk")).withColumn("_ctx", F.lit(True)))
+
+    heads = p1.filter(F.col("_pos") <= context).select(*in_cols, "_blk").withColumn("_ctx", F.lit(False))
+    # context rows come first: they precede the block in the window order
+    _, cols2 = _window_cols(spec, part, [F.col("_ctx").desc(), *order])
+    fixed = heads.unionByName(ctx, allowMissingColumns=True).select("*", *cols2).filter(~F.col("_ctx"))
+    return done.unionByName(fixed.select(*out_cols))

@@ -150,7 +150,6 @@ FEATURE_VIEWS = {
                      "delta_hot"],
     "pressure_temperature_slopes": ["cold_pressure_slope", "temperature_slope"],
     "thermal_pressure_ratio": ["thermal_pressure_ratio"],
-    "duration_indices": ["over_inflation_index", "high_temp_dur_ratio"],
 }
 
 
@@ -166,6 +165,12 @@ def _q_sensor_features(sensors, devices):
 for _name, _cols in FEATURE_VIEWS.items():
     register(_name)((lambda cols: lambda sensors, devices: _features(sensors).select(*KEYS, *cols))(_cols))
 
+
+@register("duration_indices")
+def _q_duration_indices(sensors, devices):
+    return feat.duration_indices(sensors, S, E)
+
+
 SENSOR_FLAGS = ["is_slow_leak", "is_puncture", "is_over_inflation", "is_thermal_stress",
                 "is_sensor_malfunction"]
 
@@ -188,13 +193,12 @@ def _q_sensor_issues(sensors, devices):
 
 @register("sensor_variables")
 def _q_sensor_variables(sensors, devices):
-    return _features(sensors).select("id", "report_date", "temperature_avg", "cold_pressure_avg",
-                                     "hot_pressure_avg")
+    return feat.sensor_variables(sensors, S, E)
 
 
 @register("sensor_statistics")
 def _q_sensor_statistics(sensors, devices):
-    return _features(sensors).select("id", "report_date", "transmitting_dur")
+    return feat.sensor_statistics(sensors, S, E)
 
 
 def _device_features(sensors, devices):
