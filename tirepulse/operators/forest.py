@@ -3,26 +3,30 @@
 Spark ML has no isolation forest, so the estimator the source calls in
 process is re-aimed as three distributed steps:
 
-1. **Sampling** (one hash per row): a pool of about ``pool_factor * trees *
-   sample`` rows is drawn with a hash of the row id (independent of
-   partitioning), then every tree takes the ``sample`` pool rows with the
-   smallest per-tree hash: a uniform sample without replacement per tree.
-   When the table is smaller than the pool, the pool is the whole table.
+1. **Sampling**: each row gets one 28-bit number from the MD5 of its id. A pool
+   of about ``pool_factor * trees * sample`` rows has the smallest numbers; each
+   tree permutes the numbers in its own way (multiplication modulo a prime) and
+   takes the ``sample`` pool rows that come first. The draw depends on the ids
+   alone, is the same for any partitioning and any engine, and needs them to
+   be unique, which is checked.
 2. **Growth**: ``groupBy(tree).applyInPandas`` — each group holds at most
    ``sample`` rows (256); a random non-constant feature and a uniform split
    between its min and max at each node, height limit ceil(log2(sample)).
    The node table is bounded by ``trees * (2**(height+1) - 1)`` rows, which is
    what gets collected and broadcast.
-3. **Scoring**: ``mapInPandas`` walks all trees for a whole Arrow batch at
-   once; score ``s = -2**(-E[h(x)] / c(sample))`` (lower = more anomalous).
+3. **Scoring**: a vectorised function over the feature columns alone walks all
+   trees for a whole Arrow batch; score ``s = -2**(-E[h(x)] / c(sample))``
+   (lower = more anomalous). The other columns never leave the JVM.
 
 The contamination threshold is the exact ``contamination`` quantile of the
 scores (linear interpolation), found by repeated histogram narrowing: every
 pass is a grouped count over at most ``bins`` bins, and only the final bin
 (at most ``bins`` values) reaches the driver.
 
-Scores are not bitwise equal to any particular library (different random
-streams); the procedure and the score definition are the published ones.
+``pool_factor`` and ``sample`` bound the rows that trees grow from (the
+published algorithm); every row is scored. Scores are not bitwise equal to any
+particular library (different random streams); the procedure and the score
+definition are the published ones.
 """
 
 from __future__ import annotations
@@ -33,11 +37,10 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tirepulse.session import ensure_checkpoint_dir
+from tirepulse.session import discard, discard_at_exit, stored
 
 # The tree growth and scoring functions run in Python workers, which need not
 # have this package installed (a driver started from another folder, or a
@@ -125,11 +128,53 @@ def _mean_path(X: np.ndarray, packed) -> np.ndarray:
     return total / len(packed)
 
 
+# A prime above every 28-bit number; products of two numbers below it fit a long.
+DRAW_MODULUS = 268_435_459
+
+
+def row_number_of(id_col: str) -> Column:
+    """28-bit number of a row, from the MD5 of its id."""
+    return F.conv(F.substring(F.md5(F.col(id_col).cast("string").cast("binary")), 1, 7), 16, 10).cast("long")
+
+
+def tree_numbers(t: Column, seed: int) -> tuple[Column, Column]:
+    """Multiplier and offset with which a tree permutes the rows' numbers."""
+    return (F.pmod((t + 1) * 48_271 + seed * 7_919, F.lit(DRAW_MODULUS - 1)) + 1,
+            F.pmod((t + 1) * 16_807 * 31 + seed, F.lit(DRAW_MODULUS)))
+
+
+def draw_samples(df: DataFrame, id_col: str, n: int, trees: int = 100, sample: int = 256, seed: int = 42,
+                 pool_factor: int = 4) -> DataFrame:
+    """``df`` rows drawn for each tree (column ``t``): ``min(sample, n)`` of the pool."""
+    psi = min(sample, n)
+    pool_limit = min(1.0, pool_factor * trees * psi / n) * (1 << 28)
+    pool = df.withColumn("_h", row_number_of(id_col)).filter(F.col("_h") < pool_limit)
+    pool_rows = max(1.0, n * min(1.0, pool_limit / (1 << 28)))
+    # before the exact cut, only numbers that a sample four times as large would hold
+    near = min(1.0, pool_factor * psi / pool_rows) * DRAW_MODULUS if pool_rows > 64 * psi else DRAW_MODULUS
+    a, b = tree_numbers(F.col("t"), seed)
+    place = F.pmod(F.col("_h") * a + b, F.lit(DRAW_MODULUS))
+    # explode + filter (both inside whole-stage codegen) rather than a
+    # higher-order filter, which is interpreted per element
+    spread = (pool.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+              .withColumn("_p", place).filter(F.col("_p") < near))
+    order = Window.partitionBy("t").orderBy("_p", id_col)
+    return spread.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= psi).drop("_r", "_p", "_h")
+
+
+def require_unique(df: DataFrame, id_col: str) -> int:
+    """Number of rows; an error if an id is NULL or occurs twice."""
+    n, known, distinct = df.agg(F.count(F.lit(1)), F.count(id_col), F.count_distinct(id_col)).first()
+    if known < n or distinct < n:
+        raise ValueError(f"{id_col} must be unique and not NULL: {n} rows, {distinct} ids")
+    return n
+
+
 def grow_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 100,
                 sample: int = 256, seed: int = 42, pool_factor: int = 4,
                 n_rows: int | None = None) -> tuple[pd.DataFrame, int]:
     """Sample and grow the trees; returns (node table, per-tree sample size)."""
-    n = n_rows if n_rows is not None else df.count()
+    n = n_rows if n_rows is not None else require_unique(df, id_col)
     psi = min(sample, n)
     if psi < 1:
         raise ValueError("isolation forest needs at least one row")
@@ -137,22 +182,6 @@ def grow_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 10
     base = df.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in features])
     growth_tasks = max(1, min(trees, df.sparkSession.sparkContext.defaultParallelism))
 
-    pool_rate = min(1.0, pool_factor * trees * psi / n)
-    per_tree_rate = min(1.0, pool_factor * psi / max(1.0, pool_rate * n))
-    scale = float(2 ** 62)
-
-    def unit(*cols):  # uniform [0, 1) from a 64-bit hash
-        return F.pmod(F.xxhash64(*cols), F.lit(2 ** 62)).cast("double") / scale
-
-    def draw(pool_rate, per_tree_rate):
-        pool = base if pool_rate >= 1.0 else base.filter(unit(F.col("_id"), F.lit(seed), F.lit(-1)) < pool_rate)
-        # explode + filter (both inside whole-stage codegen) rather than a
-        # higher-order filter, which is interpreted per element
-        picked = (pool.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-                  .filter(unit(F.col("_id"), F.lit(seed), F.col("t")) < per_tree_rate))
-        order = Window.partitionBy("t").orderBy(unit(F.col("_id"), F.lit(seed), F.col("t")), F.col("_id"))
-        return picked.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= psi).drop("_r")
-
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(key[0])
         pdf = pdf.sort_values("_id")
@@ -160,38 +189,29 @@ def grow_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 10
         return pd.DataFrame(_grow_tree(t, X, seed, max_depth),
                             columns=["t", "node", "feature", "threshold", "left", "right", "size", "depth"])
 
-    while True:
-        # At most `trees` groups of `psi` rows: spread them over explicit
-        # partitions (AQE would coalesce this small input into one Python task).
-        sampled = draw(pool_rate, per_tree_rate).repartition(growth_tasks, "t")
-        nodes = sampled.groupBy("t").applyInPandas(grow, NODE_SCHEMA).toPandas()
-        # the model that gets broadcast: bounded by trees x full binary tree of the height limit
-        assert len(nodes) <= trees * (2 ** (max_depth + 1) - 1), "node table exceeds its bound"
-        roots = nodes[nodes.node == 0]
-        if (len(roots) == trees and (roots["size"] >= psi).all()) or (pool_rate >= 1.0 and per_tree_rate >= 1.0):
-            return nodes, psi
-        # a tree drew fewer than `psi` rows (vanishingly rare): widen the draw and regrow
-        pool_factor *= 2
-        pool_rate = min(1.0, pool_factor * trees * psi / n)
-        per_tree_rate = min(1.0, pool_factor * psi / max(1.0, pool_rate * n))
+    # At most `trees` groups of `psi` rows: spread them over explicit
+    # partitions (AQE would coalesce this small input into one Python task).
+    sampled = draw_samples(base, "_id", n, trees, sample, seed, pool_factor).repartition(growth_tasks, "t")
+    nodes = sampled.groupBy("t").applyInPandas(grow, NODE_SCHEMA).toPandas()
+    # the model that gets broadcast: bounded by trees x full binary tree of the height limit
+    assert len(nodes) <= trees * (2 ** (max_depth + 1) - 1), "node table exceeds its bound"
+    if nodes.t.nunique() != trees:
+        raise ValueError("a tree drew no row; raise pool_factor")
+    return nodes, psi
 
 
 def score_frame(df: DataFrame, features: list[str], nodes: pd.DataFrame, psi: int,
                 trees: int, score_col: str = "ml_raw_score") -> DataFrame:
-    """Append ``-2**(-E[h]/c(psi))`` for every row (all columns pass through)."""
-    spark = df.sparkSession
-    packed = spark.sparkContext.broadcast(_pack(nodes, trees))
+    """Append ``-2**(-E[h]/c(psi))`` for every row. Only the features go to Python."""
+    packed = df.sparkSession.sparkContext.broadcast(_pack(nodes, trees))
     c_psi = float(average_path_length(np.array([psi]))[0]) or 1.0
-    schema = T.StructType(df.schema.fields + [T.StructField(score_col, T.DoubleType(), True)])
 
-    def run(batches):
-        model = packed.value
-        for pdf in batches:
-            X = pdf[features].to_numpy(dtype=float)
-            pdf[score_col] = -np.power(2.0, -_mean_path(X, model) / c_psi)
-            yield pdf
+    @F.pandas_udf("double")
+    def score(*columns: pd.Series) -> pd.Series:
+        X = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+        return pd.Series(-np.power(2.0, -_mean_path(X, packed.value) / c_psi))
 
-    return df.mapInPandas(run, schema)
+    return df.withColumn(score_col, score(*[F.col(c).cast("double") for c in features]))
 
 
 QUANTILE_BINS = 4096
@@ -246,10 +266,6 @@ def quantile_exact(df: DataFrame, col: str, q: float, n: int,
     pos = q * (n - 1)
     k0 = int(math.floor(pos))
     frac = pos - k0
-    if n <= QUANTILE_BINS:  # small input: the values themselves are within the collect bound
-        vals = np.sort(np.array([r[0] for r in df.select(col).collect()], dtype=float))
-        v0 = float(vals[k0])
-        return v0 if frac == 0 or k0 + 1 >= n else v0 + (float(vals[k0 + 1]) - v0) * frac
     if frac == 0 or k0 + 1 >= n:
         return kth_smallest(df, col, k0, bounds=bounds)
     v0, v1 = kth_smallest(df, col, [k0, k0 + 1], bounds=bounds)
@@ -263,22 +279,28 @@ def isolation_forest(df: DataFrame, id_col: str, features: list[str], trees: int
     """``keep`` columns plus ``ml_anomaly_score`` (score minus the contamination
     threshold; negative = outlier) and ``ml_anomaly_pred`` (-1 outlier, 1 inlier).
 
-    The scored frame is checkpointed to the session's checkpoint folder (shared
-    storage on a cluster), so the threshold passes and the output never rerun
-    the Python scoring and survive lost executors.
+    ``id_col`` must be unique. Inputs (``materialize``) and scores are written as
+    Parquet in the shared checkpoint folder, so the passes over them read the
+    columns they need and survive lost executors. The inputs are deleted before
+    the function returns, the scores when the driver ends.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     keep = list(dict.fromkeys((keep or [id_col]) + [id_col]))
-    # One materialisation of the inputs: counting, sampling and scoring then
-    # read the checkpoint instead of recomputing the upstream windows.
-    narrow = df.select(*dict.fromkeys(keep + features))
-    if materialize:  # skip when the caller already reads from a checkpoint
-        narrow = narrow.checkpoint(eager=True)
-    n = narrow.count() if n_rows is None or materialize else n_rows
+    narrow, inputs = df.select(*dict.fromkeys(keep + features)), None
+    if materialize:  # skip when the caller already reads stored rows
+        narrow, inputs = stored(narrow, "forest-inputs")
+    n = n_rows if n_rows is not None else require_unique(narrow, id_col)
     nodes, psi = grow_forest(narrow, id_col, features, trees, sample, seed, n_rows=n)
-    scored = score_frame(narrow, features, nodes, psi, trees).checkpoint(eager=True)
+    scored, path = stored(score_frame(narrow, features, nodes, psi, trees).select(*keep, "ml_raw_score"), "forest-scores")
+    discard_at_exit(spark, path)
+    if inputs:
+        discard(spark, inputs)
     offset = quantile_exact(scored, "ml_raw_score", contamination, n, bounds=SCORE_BOUNDS)
+    return verdicts(scored, offset, keep)
+
+
+def verdicts(scored: DataFrame, offset: float, keep: list[str]) -> DataFrame:
+    """Score relative to the threshold, and -1 (outlier) below it, else 1."""
     score = F.col("ml_raw_score") - F.lit(offset)
     return scored.select(*keep, score.alias("ml_anomaly_score"),
                          F.when(score < 0, F.lit(-1)).otherwise(F.lit(1)).alias("ml_anomaly_pred"))

@@ -11,15 +11,18 @@ from __future__ import annotations
 
 from typing import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tirepulse.operators import explore, kpis, rules
+from tirepulse.operators import explore, forest, kpis, rules
 from tirepulse.operators import features as feat
 from tirepulse.plans import reports
+from tirepulse.session import discard_at_exit, stored
+from tirepulse.sources import ingest
 from tirepulse.sources.fixtures import REPORT_END, REPORT_START, load_reports
-from tirepulse.sources.schema import METRICS
+from tirepulse.sources.schema import METRICS, SENSOR_SCHEMA
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -320,8 +323,46 @@ def _q_quality(sensors, devices):
     return explore.data_quality(sensors, devices)
 
 
-# ----------------------------- anomaly report (model part; rows-only checks) -----------------------------
-
+# ----------------------------- anomaly report (model part) -----------------------------
+
+# A small literal forest: (tree, node, feature, threshold, left, right, size, depth).
+FIXED_FEATURES = ["temperature_avg", "cold_pressure_avg", "crit_cold_dur"]
+FIXED_NODES = [
+    (0, 0, 0, 30.0, 1, 2, 256, 0), (0, 1, -1, 0.0, -1, -1, 200, 1), (0, 2, 1, 110.0, 3, 4, 56, 1),
+    (0, 3, -1, 0.0, -1, -1, 50, 2), (0, 4, -1, 0.0, -1, -1, 6, 2),
+    (1, 0, 2, 10_000.0, 1, 2, 256, 0), (1, 1, -1, 0.0, -1, -1, 250, 1), (1, 2, -1, 0.0, -1, -1, 6, 1),
+]
+
+
+@register("forest_fixed_model")
+def _q_fixed_model(sensors, devices):
+    """Scores, threshold and verdict of a fixed node table, through the forest's own code."""
+    z = feat.sensor_zscores(sensors, S, E).select("id", *FIXED_FEATURES)
+    nodes = pd.DataFrame(FIXED_NODES, columns=["t", "node", "feature", "threshold", "left", "right", "size", "depth"])
+    scored, path = stored(forest.score_frame(z, FIXED_FEATURES, nodes, 256, 2).select("id", "ml_raw_score"), "fixed-model")
+    discard_at_exit(z.sparkSession, path)
+    offset = forest.quantile_exact(scored, "ml_raw_score", reports.FOREST_CONTAMINATION, scored.count(),
+                                   bounds=forest.SCORE_BOUNDS)
+    return forest.verdicts(scored, offset, ["id"])
+
+
+@register("forest_sample")
+def _q_forest_sample(sensors, devices):
+    """The rows that ten trees of 64 rows would be grown from."""
+    rows = feat.critical_durations(sensors, S, E).select("id")
+    return forest.draw_samples(rows, "id", forest.require_unique(rows, "id"), trees=10, sample=64).select("t", "id")
+
+
+@register("ingest_typed")
+def _q_ingest_typed(sensors, devices):
+    """Report columns written as raw text, with missing-value tokens, and typed again by the loader."""
+    raw = sensors.select(
+        F.col("id").cast("string").alias("id"),
+        F.when(F.col("id") % 5 == 0, "None").otherwise(F.concat(F.col("sensor_id").cast("string"), F.lit(".0"))).alias("sensor_id"),
+        F.when(F.col("id") % 7 == 0, "N/A").otherwise(F.concat(F.lit(" "), F.col("transmitting_dur").cast("string"))).alias("transmitting_dur"),
+        F.when(F.col("id") % 3 == 0, "NaN").otherwise(F.col("temperature_avg").cast("string")).alias("temperature_avg"),
+        F.col("report_start_at").cast("string").alias("report_start_at"))
+    return ingest.typed(raw, SENSOR_SCHEMA)
 
 
 @register("isolation_scores")

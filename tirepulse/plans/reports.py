@@ -1,8 +1,9 @@
 """The four reports: compositions of operators, each ending in its sinks.
 
 Every function takes the two typed report DataFrames; writing happens only
-when an output folder/path is given. The mechanical-failure report reuses one
-persisted frame per side for its five outputs, so the window pipeline runs once.
+when an output folder/path is given. Of the mechanical-failure report's outputs
+only the sensor issues need the windows; the others are projections of the
+report rows or of the hub join, so nothing has to be kept between them.
 """
 
 from __future__ import annotations
@@ -10,12 +11,11 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tirepulse.operators import explore, features, forest, kpis, rules
-from tirepulse.session import ensure_checkpoint_dir
+from tirepulse.session import discard, stored
 from tirepulse.sources.sinks import export
 
 log = logging.getLogger(__name__)
@@ -32,6 +32,11 @@ ANOMALY_COLUMNS = ["id", "report_date", "sensor_id", "vehicle_id", "wheel_positi
                    "z_temp", "z_cold", "z_hot"]
 
 
+# What the flags, the reasons and the output read of a report's row.
+SCORED_COLUMNS = list(dict.fromkeys(
+    ["id", "report_date", "sensor_id", "vehicle_id", "wheel_position", *features.MODEL_FEATURES, "z_dur_temp"]))
+
+
 def anomaly_scores(sensors: DataFrame, start: str, end: str, trees: int = FOREST_TREES,
                    contamination: float = FOREST_CONTAMINATION, seed: int = FOREST_SEED,
                    sample: int = FOREST_SAMPLE) -> DataFrame:
@@ -41,16 +46,15 @@ def anomaly_scores(sensors: DataFrame, start: str, end: str, trees: int = FOREST
     forest, as in the source; the z-score and reason columns pass through the
     scoring step, so no join back is needed.
     """
-    ensure_checkpoint_dir(sensors.sparkSession)
-    # Materialise the window output once: the scaler fit, the sampling and
-    # the scoring all read it.
-    z = features.sensor_zscores(sensors, start, end).checkpoint(eager=True)
-    scaler = features.fit_scaler(z, features.MODEL_FEATURES)  # also counts the rows
-    scaled = features.with_scaled(z, features.MODEL_FEATURES, prefix="sc_", scaler=scaler)
-    return forest.isolation_forest(
+    # Store the window output once, in the columns that the report needs: the
+    # scaler fit, the sampling and the scoring all read it.
+    z, path = stored(features.sensor_zscores(sensors, start, end).select(*SCORED_COLUMNS), "anomaly-features")
+    scaled = features.with_scaled(z, features.MODEL_FEATURES, prefix="sc_")
+    scored = forest.isolation_forest(
         scaled, "id", [f"sc_{c}" for c in features.MODEL_FEATURES], trees=trees, sample=sample,
-        contamination=contamination, seed=seed, keep=list(z.columns), materialize=False,
-        n_rows=scaler["n"])
+        contamination=contamination, seed=seed, keep=SCORED_COLUMNS, materialize=False)
+    discard(sensors.sparkSession, path)
+    return scored
 
 
 def sensor_anomaly_detection(sensors: DataFrame, start: str, end: str, output_path: str | None = None,
@@ -124,23 +128,16 @@ def generate_mechanical_failure_report(sensors: DataFrame, devices: DataFrame, s
                                        "wheel_id", "issue_category", "risk_score"),
         "device_issues": device.select("id", "report_date", "vehicle_id", "device_id", "issue_category",
                                        "risk_score"),
-        "sensor_variables": sensor.select("id", "report_date", "temperature_avg", "cold_pressure_avg",
-                                          "hot_pressure_avg"),
-        "sensor_statistics": sensor.select("id", "report_date", "transmitting_dur"),
+        "sensor_variables": features.sensor_variables(sensors, start, end),
+        "sensor_statistics": features.sensor_statistics(sensors, start, end),
         "device_statistics": device.select("id", "report_date", "transmitting_dur", "not_transmitting_dur",
                                            "connectivity_efficiency", "active_sensors"),
     }
     if paths:
-        sensor.persist(StorageLevel.MEMORY_AND_DISK)
-        device.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for name, df in outputs.items():
-                key = "sensor_id" if name.startswith("sensor") else "vehicle_id"
-                order = [key, "report_date"] if "issues" in name else None
-                export(df, getattr(paths, name), order=order)
-        finally:
-            sensor.unpersist()
-            device.unpersist()
+        for name, df in outputs.items():
+            key = "sensor_id" if name.startswith("sensor") else "vehicle_id"
+            order = [key, "report_date"] if "issues" in name else None
+            export(df, getattr(paths, name), order=order)
     return outputs
 
 

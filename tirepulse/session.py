@@ -6,10 +6,13 @@ settings that are already present.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans in this package. AQE coalesces small
 # shuffle outputs and splits skewed join partitions at run time.
@@ -50,8 +53,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         configured = tempfile.mkdtemp(prefix="tirepulse-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet in the shared checkpoint folder and read again
+    (reads are pruned to the columns they need), with the folder's path."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by ``stored``."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    """Deletes the folder when the driver's process ends with the session still open."""
+    def leave() -> None:
+        if spark.sparkContext._jsc is not None:
+            discard(spark, path)
+    atexit.register(leave)

@@ -53,29 +53,76 @@ def typed_column(raw: Column, dtype: T.DataType) -> Column:
     return s
 
 
-def load_reports(spark: SparkSession, desc_path: str, data_path: str,
-                 schema: T.StructType) -> DataFrame:
+# The whole line of a row whose number of fields is not the description's.
+LINE = "_line"
+
+
+def raw_reports(spark: SparkSession, desc_path: str, data_path: str) -> DataFrame:
+    """The data file as text columns, plus ``_line`` for rows of another length."""
+    names = description_columns(spark, desc_path)
+    raw_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, LINE]])
+    return (spark.read.schema(raw_schema).option("header", True).option("enforceSchema", True)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE).csv(data_path))
+
+
+def malformed(raw: DataFrame, schema: T.StructType) -> Column:
+    """Names of the columns whose text is neither missing nor of the declared
+    type, and ``_line`` for a line with more fields than columns. (A short line
+    is padded with NULL, as in the source loader.)"""
+    types = {f.name: f.dataType for f in schema.fields}
+    checks = [F.when(~F.trim(F.col(n)).isin(MISSING_TOKENS) & typed_column(F.col(n), types[n]).isNull()
+                     & ~(F.lower(F.trim(F.col(n))) == "nan"), F.lit(n))
+              for n in raw.columns if n in types]
+    if LINE in raw.columns:
+        checks.append(F.when(F.size(F.split(F.col(LINE), ",")) > len(raw.columns) - 1, F.lit(LINE)))
+    return F.array_compact(F.array(*checks))
+
+
+def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns as their declared types; columns that ``schema`` lacks stay text."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return raw.select(*[typed_column(F.col(n), types[n]).alias(n) if n in types else F.col(n)
+                        for n in raw.columns if n != LINE])
+
+
+def load_reports(spark: SparkSession, desc_path: str, data_path: str, schema: T.StructType,
+                 on_malformed: str = "fail") -> DataFrame:
     """Read one report table: names from the description file, types from ``schema``.
 
     Columns named in the description but absent from ``schema`` stay strings;
     schema columns missing from the file are added as NULL of their type.
+    ``on_malformed``: a value that doesn't fit its column's type, or a line
+    with too many fields, fails the job that reads it (``fail``, as the source
+    loader does), drops the row (``skip``; see ``rejected_reports`` for those
+    rows) or becomes NULL (``null``).
     """
-    names = description_columns(spark, desc_path)
-    raw_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    raw = (spark.read.schema(raw_schema).option("header", True).option("enforceSchema", True)
-           .option("mode", "PERMISSIVE").csv(data_path))
-    types = {f.name: f.dataType for f in schema.fields}
-    cols = [typed_column(F.col(n), types[n]).alias(n) if n in types else F.col(n) for n in names]
-    cols += [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in names]
-    return raw.select(*cols)
+    if on_malformed not in ("fail", "skip", "null"):
+        raise ValueError(f"on_malformed: {on_malformed}")
+    raw = raw_reports(spark, desc_path, data_path)
+    bad = malformed(raw, schema)
+    if on_malformed == "skip":
+        raw = raw.filter(F.size(bad) == 0)
+    elif on_malformed == "fail":
+        message = F.concat(F.lit("malformed report row, columns: "), F.array_join(bad, ", "))
+        raw = raw.filter(F.when(F.size(bad) == 0, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    out = typed(raw, schema)
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in out.columns]
+    return out.select("*", *missing)
+
+
+def rejected_reports(spark: SparkSession, desc_path: str, data_path: str, schema: T.StructType) -> DataFrame:
+    """The raw rows that ``load_reports`` skips or fails on, with the names of the
+    malformed columns in ``bad_columns``; count them for a reject count."""
+    raw = raw_reports(spark, desc_path, data_path)
+    return raw.withColumn("bad_columns", malformed(raw, schema)).filter(F.size("bad_columns") > 0)
 
 
-def load_sensor_reports(spark: SparkSession, desc_path: str, data_path: str) -> DataFrame:
-    return load_reports(spark, desc_path, data_path, SENSOR_SCHEMA)
+def load_sensor_reports(spark: SparkSession, desc_path: str, data_path: str, on_malformed: str = "fail") -> DataFrame:
+    return load_reports(spark, desc_path, data_path, SENSOR_SCHEMA, on_malformed)
 
 
-def load_device_reports(spark: SparkSession, desc_path: str, data_path: str) -> DataFrame:
-    return load_reports(spark, desc_path, data_path, DEVICE_SCHEMA)
+def load_device_reports(spark: SparkSession, desc_path: str, data_path: str, on_malformed: str = "fail") -> DataFrame:
+    return load_reports(spark, desc_path, data_path, DEVICE_SCHEMA, on_malformed)
 
 
 def write_reports(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -96,6 +143,7 @@ def write_reports(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """Stored reports; the feature functions take NaN readings as missing."""
     return spark.read.parquet(path)
 
 
