@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from tests.helpers import device_df, sensor_df
 from tirepulse.operators import explore
 
@@ -28,8 +30,10 @@ def test_transmission_comparison_pairs_and_unmatched(spark, monkeypatch):
     # a vehicle whose sensors report nothing in the month keeps its hub rows (NULL sensor side)
     none = explore.transmission_comparison(devices, sensors.filter("id <> 12"), 2, "2024-01-01", "2024-02-01")
     assert [(r.d_id, r.id, r.s_tdur) for r in none.collect()] == [(3, None, None)]
-    # beyond the broadcast limit the plain left join gives the same rows
-    monkeypatch.setattr(explore, "MAX_BROADCAST_HUB_ROWS", 0)
+    # the number of parts doesn't matter
+    monkeypatch.setattr(explore, "COMPARE_PARTS", 1)
     assert _rows(explore.transmission_comparison(devices, sensors, 1, "2024-01-01", "2024-02-01")) == _rows(out)
     assert _rows(explore.transmission_comparison(devices, sensors.filter("id <> 12"), 2, "2024-01-01",
                                                  "2024-02-01")) == _rows(none)
+    with pytest.raises(ValueError):
+        explore.transmission_comparison(devices, sensors, None, "2024-01-01", "2024-02-01")

@@ -113,3 +113,33 @@ def test_distributed_scores_equal_brute_force_walk(spark):
     X = scored[feats].to_numpy()
     brute = np.array([-2.0 ** (-np.mean([walk(x, tables[t]) for t in range(15)]) / c_psi) for x in X])
     assert np.allclose(scored.ml_raw_score.to_numpy(), brute, rtol=0, atol=1e-12)
+
+
+def test_ids_must_be_unique(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0)], "id long, x double")
+    with pytest.raises(ValueError, match="unique"):
+        forest.isolation_forest(df, "id", ["x"])
+    with pytest.raises(ValueError, match="unique"):
+        forest.isolation_forest(spark.createDataFrame([(None, 1.0), (2, 3.0)], "id long, x double"), "id", ["x"])
+
+
+def test_draw_fills_every_tree_whatever_the_partitioning(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "key")
+    rows = lambda d: sorted(tuple(r) for r in forest.draw_samples(d, "key", 20_000, trees=30, sample=100).select("t", "key").collect())
+    drawn = rows(df)
+    assert len(drawn) == 3000 and len(set(drawn)) == 3000
+    assert drawn == rows(df.repartition(13))
+    # every row has about the same chance: the mean drawn id is near the middle
+    assert abs(sum(k for _, k in drawn) / 3000 - 10_000) < 600
+
+
+def test_inputs_are_not_left_in_the_shared_folder(spark):
+    import os
+    from tirepulse.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    df = spark.range(300).selectExpr("id", "cast(id as double) as x", "'wide' as w")
+    before = set(os.listdir(folder))
+    out = forest.isolation_forest(df, "id", ["x"], trees=5, sample=32)
+    new = {n.split("-")[0] + "-" + n.split("-")[1] for n in set(os.listdir(folder)) - before}
+    assert new == {"forest-scores"} and "w" not in out.columns and out.count() == 300

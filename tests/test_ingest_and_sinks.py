@@ -4,6 +4,8 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+
 from tirepulse.operators.common import report_window
 from tirepulse.sources import ingest
 from tirepulse.sources.schema import DEVICE_SCHEMA
@@ -26,7 +28,7 @@ def test_load_device_reports_typed(spark):
         "2,10,None,NULL,0,1.0,NaN,,2024-01-02 00:00:00,2024-01-02T01:02:03",
         "3,11,22,0,0,abc,5,1,2024-01-03,",
     ]) + "\n")
-    df = ingest.load_device_reports(spark, desc, data)
+    df = ingest.load_device_reports(spark, desc, data, on_malformed="null")
     assert df.schema == DEVICE_SCHEMA
     rows = {r.id: r for r in df.collect()}
     assert rows[1].device_id == 20 and rows[1].not_transmitting_dur == 86300
@@ -37,6 +39,27 @@ def test_load_device_reports_typed(spark):
     assert rows[2].transmission_level is None     # empty
     assert rows[2].updated_at == dt.datetime(2024, 1, 2, 1, 2, 3)
     assert rows[3].transmitting_dur is None       # not a number
+    with pytest.raises(Exception, match="malformed report row, columns: transmitting_dur"):
+        ingest.load_device_reports(spark, desc, data).collect()
+    assert [r.id for r in ingest.load_device_reports(spark, desc, data, on_malformed="skip").orderBy("id").collect()] == [1, 2]
+
+
+def test_malformed_rows_are_rejected_with_their_columns(spark):
+    folder = tempfile.mkdtemp(prefix="tp-ingest-")
+    desc = _write(folder, "desc.csv", "column_name|type\n" + "\n".join(
+        f"{f.name}|x" for f in DEVICE_SCHEMA.fields) + "\n")
+    data = _write(folder, "data.csv", "\n".join([
+        "a,b,c,d,e,f,g,h,i,j",
+        "1,10,20,0,1,100,86300,2,2024-01-01,2024-01-01",
+        "2,10,1.5,0,1,100,86300,2,yesterday,2024-01-01",        # not whole; not a date
+        "3,10,20,0,1,100,86300,2,2024-01-01,2024-01-01,extra",  # a field too many
+        "4,10,20,0,1",                                          # short: padded, as in the source loader
+    ]) + "\n")
+    bad = {r.id: list(r.bad_columns) for r in ingest.rejected_reports(spark, desc, data, DEVICE_SCHEMA).collect()}
+    assert set(bad) == {"2", "3"} and bad["3"] == ["_line"]
+    assert set(bad["2"]) == {DEVICE_SCHEMA.fields[2].name, DEVICE_SCHEMA.fields[8].name}
+    good = ingest.load_device_reports(spark, desc, data, on_malformed="skip")
+    assert good.schema == DEVICE_SCHEMA and sorted(r.id for r in good.collect()) == [1, 4]
 
 
 def test_partitioned_parquet_prunes_months(spark):

@@ -70,3 +70,33 @@ def test_level_distribution_shares_sum_to_one(spark):
     for r in out.collect():
         assert sum(r[c] for c in cols) == pytest.approx(1.0)
     assert by_id is not None
+
+
+def test_worst_device_is_a_hub(spark):
+    rows = [dict(id=1, vehicle_id=1, device_id=None, transmitting_dur=0, not_transmitting_dur=86_400, report_start_at=day(0)),
+            dict(id=2, vehicle_id=2, device_id=9, transmitting_dur=50, not_transmitting_dur=50, report_start_at=day(0))]
+    worst = kpis.worst_device(kpis.device_connectivity(device_df(spark, rows), S, E)).first()
+    assert worst.worst_device_id == 9
+
+
+def test_silent_vehicles_and_null_vehicles_have_an_activity_row(spark):
+    rows = [dict(id=1, vehicle_id=1, sensor_id=1, transmitting_dur=0, report_start_at=day(0)),
+            dict(id=2, vehicle_id=None, sensor_id=2, transmitting_dur=5, report_start_at=day(0)),
+            dict(id=3, vehicle_id=2, sensor_id=None, transmitting_dur=5, report_start_at=day(0))]
+    got = {r.vehicle_id: r.active_sensor_pct for r in kpis.vehicle_active_sensor_pct(sensor_df(spark, rows), S, E).collect()}
+    assert got == {1: 0.0, None: 100.0, 2: None}
+
+
+def test_day_of_unnamed_sensors_has_an_extreme_level_row(spark):
+    rows = [dict(id=1, sensor_id=None, level_3_high_temperature_dur=9, report_start_at=day(0)),
+            dict(id=2, sensor_id=4, level_3_high_temperature_dur=9, report_start_at=day(1))]
+    got = sorted(tuple(r)[1:] for r in kpis.extreme_level_sensors(sensor_df(spark, rows), S, E).collect())
+    assert got == [(0, 0, 0, 0), (1, 0, 0, 1)]
+
+
+def test_nan_readings_count_as_missing(spark):
+    from tirepulse.operators.rules import classify_sensor_issues
+    rows = [dict(id=k + 1, report_start_at=day(k), temperature_avg=float("nan") if k == 2 else 30.0 + k,
+                 cold_pressure_avg=100.0 + k % 2) for k in range(4)]
+    out = {r.id: r for r in classify_sensor_issues(features.sensor_features(sensor_df(spark, rows), S, E)).collect()}
+    assert out[3].temperature_avg is None and out[3].risk_score == 0 and out[3].issue_category == "Normal"
