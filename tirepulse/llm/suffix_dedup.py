@@ -160,9 +160,9 @@ def _suffix_rows(params: SuffixParams):
                 tagged = np.concatenate([rows, (least[:, None] + 1).astype(np.uint8),
                                          (most[:, None] + 1).astype(np.uint8)], axis=1)
                 keys = tagged.view(f"S{tagged.shape[1]}").reshape(-1)
-                index = np.unique(keys, return_index=True)[1]
-                later = np.ones(order.size, bool)
-                later[index] = False
+                _, index, inverse = np.unique(keys, return_index=True, return_inverse=True)
+                first, own = index[inverse], ids[lo + doc]
+                later = (own != own[first]) | (position != position[first])    # a place is no copy of itself
                 flat = np.ascontiguousarray(rows)
                 noise = spread(ids[lo + doc], position)
                 # local copies are covered already: they only pass through, spread over all buckets
