@@ -91,6 +91,7 @@ def level_profile(sensors: DataFrame, metric: str, vehicle_id: int | None,
     ``s_l{1..3}{h,l}tc`` counts.
     """
     df = _vehicle(half_open_window(sensors, start, end), vehicle_id)
+    # fixed values: output names
     durs = [F.col(level_col(lv, sd, metric)).alias(f"s_l{lv}{sd[0]}td") for sd in SIDES for lv in LEVELS]
     cnts = [F.col(level_col(lv, sd, metric, "cnt")).alias(f"s_l{lv}{sd[0]}tc") for sd in SIDES for lv in LEVELS]
     return df.select(

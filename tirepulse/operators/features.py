@@ -61,6 +61,7 @@ def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
         "_xy_temp": x.cast("float") * F.col("temperature_avg"),
         "_xx": x * x,
     })
+    # The names are columns of the report's output.
     spec = RollingSpec(
         aggs={
             "sum_y_cold": ("sum", "cold_pressure_avg"),

@@ -64,6 +64,7 @@ def sensor_availability_overall(daily: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def _status_aggs():
+    # The names are columns of the report's output.
     oos, mnt = F.col("vehicle_out_of_service"), F.col("vehicle_maintenance")
     one_if = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
     return [F.count_distinct("device_id").alias("total_devices"),
@@ -107,6 +108,7 @@ def device_connectivity(devices: DataFrame, start: str, end: str) -> DataFrame:
     t, s = F.col("transmitting_dur"), F.col("not_transmitting_dur")
     return (report_window(devices, start, end)
             .groupBy("device_id", "vehicle_id", report_date().alias("report_date"))
+            # fixed values: output names
             .agg(F.avg(t).alias("avg_transmit_sec"),
                  F.avg(s).alias("avg_silence_sec"),
                  (F.round(ratio(F.sum(t), F.sum(t + s)) * 100, 2) / 100)
@@ -129,6 +131,7 @@ def worst_device(connectivity: DataFrame) -> DataFrame:
                      F.col("device_id").asc_nulls_last(),
                      F.col("vehicle_id").asc_nulls_last())
             .limit(1)
+            # fixed values: output names
             .select(F.col("device_id").alias("worst_device_id"),
                     F.col("vehicle_id"), F.col("report_date"),
                     F.col("connectivity_efficiency_pct").alias("worst_device_efficiency")))

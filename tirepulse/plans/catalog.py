@@ -144,6 +144,7 @@ def _q_device_reports(sensors, devices):
 # ----------------------------- mechanical failure report -----------------------------
 
 
+# Output columns of the reports, by query.
 KEYS = ["id", "sensor_id", "report_date"]
 FEATURE_VIEWS = {
     "rolling_regression_sums": ["sum_y_cold", "sum_y_temp", "sum_x", "sum_xy_cold", "sum_xy_temp",

@@ -26,6 +26,7 @@ FOREST_CONTAMINATION = 0.04
 FOREST_SEED = 42
 FOREST_SAMPLE = 256
 
+# Output columns of the anomaly report.
 ANOMALY_COLUMNS = ["id", "report_date", "sensor_id", "vehicle_id", "wheel_position",
                    "temperature_avg", "cold_pressure_avg", "hot_pressure_avg",
                    "is_anomaly_global", "anomaly_category", "anomaly_detail_text",
