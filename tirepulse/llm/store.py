@@ -2,33 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-from contextlib import contextmanager
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-from tirepulse.session import ensure_checkpoint_dir
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder of the session."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from tirepulse.session import stored
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     Lineage ends there: a lost executor costs a re-read, not a recomputation.
-    The folder belongs to the session's checkpoint folder and lives as long.
+    The table belongs to the session's checkpoint folder and lives as long.
     """
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes the files of a table made by ``written`` through Spark's file system API."""
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return stored(df, name)[0]
