@@ -106,3 +106,12 @@ def test_sql_views(spark):
     ingest.register_views(sensors, devices)
     n = ingest.query(spark, "SELECT COUNT(*) FROM time_in_level_sensor").first()[0]
     assert n == sensors.count()
+
+
+def test_export_counts_rows_while_writing(spark):
+    from tirepulse.sources.sinks import export_counted
+    folder = tempfile.mkdtemp(prefix="tp-count-")
+    df = spark.range(1234).withColumnRenamed("id", "x")
+    assert export_counted(df, f"{folder}/a", order=["x"]) == 1234
+    assert export_counted(df.limit(0), f"{folder}/b", fmt="parquet") == 0
+    assert spark.read.option("header", True).csv(f"{folder}/a").count() == 1234
