@@ -15,7 +15,8 @@ stand, therefore share an offset at which both have a cover position, and the
 3. The windows of the other runs (first copies, and ends of matches) are
    compared one by one over all their words.
 
-Sequences are compared by two independent 64-bit hashes of all their words.
+Sequences are compared by 96 bits of two independent hashes of all their words.
+Anchors carry 48 bits: a chance meeting there only costs a comparison.
 
 Edge cases: null and empty texts have no words; documents shorter than a window
 keep all; a row whose doc_id is null keeps all and takes no part; rows that
@@ -37,7 +38,7 @@ from tirepulse.llm import keyed
 from tirepulse.llm import textscan as ts
 from tirepulse.llm.ship import shipped
 
-_ROWS = "key long, key2 long, doc_id long, at long, settled boolean"
+_ROWS = "key long, key2 int, doc_id long, at long, settled boolean"
 
 
 @dataclass(frozen=True)
@@ -72,12 +73,13 @@ class _Words:
     def key2(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         if self._two is None:
             self._two = ts.Prefix(ts.word_hashes(self._data, self.start, self.end, 2))
-        return self._two.of(lo, hi)
+        return self._two.of(lo, hi) >> np.uint64(32)
 
 
 def _rows(key, key2, doc, at, settled) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), pa.array(key2.view(np.int64)), pa.array(doc), pa.array(at), pa.array(settled)],
+        [pa.array(key.view(np.int64)), pa.array(key2.astype(np.uint32).view(np.int32)), pa.array(doc), pa.array(at),
+         pa.array(settled)],
         ["key", "key2", "doc_id", "at", "settled"])
 
 
@@ -99,7 +101,7 @@ def _anchors(params: CoverParams):
                 _, index, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
                 settled = count[inverse] > 1                   # repeated within the slice
                 later = settled & (index[inverse] != np.arange(at.size))
-                key = np.where(later, keyed.spread(doc, place[at]), key)
+                key = np.where(later, keyed.spread(doc, place[at]), key) >> np.uint64(16)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(doc), pa.array(place[at] << 1 | settled)],
                     ["key", "doc_id", "at"])
