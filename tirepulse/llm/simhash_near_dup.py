@@ -236,7 +236,8 @@ def near_duplicates(docs: DataFrame, params: SimHashParams = SimHashParams()) ->
 def keep_first(docs: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their component: one document of each group stays.
 
-    A component without any doc_id keeps its rows, as nothing tells them apart.
+    A component without any doc_id keeps its rows, as nothing tells them apart,
+    and so do rows that share the doc_id that stays.
     """
     classes = near_duplicates(docs, params)
     gone = classes.filter("doc_id != component_id").select("doc_id")
