@@ -151,3 +151,34 @@ def test_license_scan_low_threshold_and_empty(spark):
     assert license_scan.scan(spark.createDataFrame([], SCHEMA)).collect() == []
     bare = license_scan.LicenseParams(templates=(), phrases=())
     assert {r.n_base for r in license_scan.summary(license_scan.scan(table(spark, NOTICES), bare)).collect()} == {0}
+
+
+WRAPPED = [(1, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that", "bsd"),
+           (2, "/* You can redistribute it and/or modify\n * it under the terms of the GNU General Public License. */", "gpl"),
+           (3, "the terms of the GNU Lesser General Public\nLicense as published by\nthe Free Software Foundation", "lgpl"),
+           (4, "word\n" * 130 + "Redistribution and use in source\r\n\r\nand binary forms, with or without\r\nmodification, are permitted\n" + "word\n" * 130, "bsd"),
+           (5, "Released under the MIT License.\n" + "word " * 200, "mit"), (6, "redistribution and use\n" + "word\n" * 70 + "modification are permitted", "")]
+
+
+def _document_blocks(text, params=license_scan.LicenseParams()):
+    """Labels and best containment over the windows of the whole document and of each line."""
+    labels, best = set(), 0.0
+    for part in [text, *text.split("\n")]:
+        w = brute.words(part)
+        for k in [0] if len(w) <= params.block_words else range(0, len(w), params.block_words // 2):
+            for t, label in params.templates:
+                share = len(set(w[k:k + params.block_words]) & set(brute.words(t))) / len(set(brute.words(t)))
+                if share >= params.threshold:
+                    labels.add(label)
+                    best = max(best, share)
+    return ",".join(sorted(labels)), best
+
+
+def test_wrapped_notices_are_found(spark):
+    rows = [(i, t) for i, t, _ in WRAPPED]
+    rows += [(100 + k, "\n".join(t.split(" "))) for k, (t, _) in enumerate(license_scan.TEMPLATES)]
+    out = license_scan.summary(license_scan.scan(table(spark, rows), license_scan.LicenseParams(phrases=()))).collect()
+    got = {r.doc_id: (r.labels, r.score) for r in out}
+    assert got == {i: _document_blocks(t) for i, t in rows}
+    assert all(label in got[i][0].split(",") for i, _, label in WRAPPED)
+    assert all(label in got[100 + k][0].split(",") for k, (_, label) in enumerate(license_scan.TEMPLATES))

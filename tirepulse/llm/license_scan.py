@@ -1,8 +1,10 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line, or a window of ``block_words`` words of a longer line
-(windows overlap by half). A block matches a template if at least ``threshold``
-of the template's distinct words occur in it (containment).
+A block is a window of ``block_words`` words of the document, over its lines
+(windows overlap by half, so a notice of up to half a window's words lies whole
+in one, however it is wrapped), or a line, or such a window of a longer line. A
+block matches a template if at least ``threshold`` of the template's distinct
+words occur in it (containment).
 
 1. One pass counts the templates' words over the whole corpus, pre-aggregated
    per task. Rare words come first in the global order.
@@ -167,16 +169,19 @@ def scan(docs: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
     phrases = [(np.array([ts.hash_of(w) for w in split_words(p)], np.uint64), label) for p, label in params.phrases]
     half = params.block_words // 2
 
-    def blocks_of(numbers, line, line_first):
-        """(first word, size) of each block that has a prefix word."""
+    def blocks_of(numbers, parts):
+        """(first word, size) of each block that has a prefix word; ``parts`` are the
+        first words of the documents and those of the lines."""
         hit = np.flatnonzero(templates.in_prefix[numbers])
-        own = line[hit]
-        size = line_first[own + 1] - line_first[own]
-        step = (hit - line_first[own]) // half
-        pairs = np.concatenate([np.stack([own, np.where(size <= params.block_words, 0, np.maximum(step - k, 0))]) for k in (0, 1)], axis=1)
-        for l, k in np.unique(pairs, axis=1).T.tolist():
-            start = int(line_first[l]) + k * half
-            yield start, min(params.block_words, int(line_first[l + 1]) - start)
+        found = []
+        for part_first in parts:
+            own = ts.owners(part_first, hit)
+            size = part_first[own + 1] - part_first[own]
+            step = (hit - part_first[own]) // half
+            for k in (0, 1):
+                start = part_first[own] + np.where(size <= params.block_words, 0, np.maximum(step - k, 0)) * half
+                found.append(np.stack([start, np.minimum(params.block_words, part_first[own + 1] - start)]))
+        return np.unique(np.concatenate(found, axis=1), axis=1).T.tolist()
 
     def run(batches):
         for batch in batches:
@@ -194,9 +199,7 @@ def scan(docs: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
                         out[2 * (lo + d)].append({"label": label, "start": at - int(first[d]), "size": phrase.size, "containment": 1.0})
                 numbers = templates.numbers(hashes)
                 edges = np.unique(np.concatenate([cut, np.flatnonzero(data == 0x0A) + 1]))      # starts of lines
-                line = ts.owners(edges, start)
-                line_first = np.searchsorted(start, edges)
-                for at, size in blocks_of(numbers, line, line_first):
+                for at, size in blocks_of(numbers, (first, np.searchsorted(start, edges))):
                     block = np.unique(numbers[at:at + size])
                     block = block[block < templates.hashes.size].tolist()
                     d = int(ts.owners(first, at))
