@@ -182,3 +182,27 @@ def test_wrapped_notices_are_found(spark):
     assert got == {i: _document_blocks(t) for i, t in rows}
     assert all(label in got[i][0].split(",") for i, _, label in WRAPPED)
     assert all(label in got[100 + k][0].split(",") for k, (_, label) in enumerate(license_scan.TEMPLATES))
+
+
+MARKED = [("Released under the Apache License", ""), ("Licensed under CC BY 4.0", ""), ("Released under the MIT License", "mit"),
+          ("GNU General Public License as published by the Free Software Foundation", ""),
+          ("GNU Library General Public License as published by the Free Software Foundation", "lgpl"),
+          ("redistribute it and/or modify it under the terms of the GNU\nLesser General Public License, you can", ""),
+          ("You can redistribute it and/or modify it under the terms of the GNU General Public License", "gpl"),
+          ("This work is licensed under the GNU General Public License, version 2.", ""),
+          ("This work is licensed under the GNU General Public License v3", "gpl-3"),
+          ("Licensed under the Apache License, Version 1.0", ""), ("Licensed under the Apache License, 2.0", "apache-2"),
+          ("Licensed under CC BY-NC 3.0", "cc-by-nc"), ("the license " + "word " * 20 + "was released under", ""),
+          ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", ""),
+          ("This work is licensed under a Creative Commons Attribution 3.0 International License", "cc-by"),
+          ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of this software", ""),
+          ("This Source Code Form is subject to the terms of the Eclipse Public License", "")]
+
+
+def test_labels_need_the_words_that_tell_licenses_apart(spark):
+    rows = [(k, t) for k, (t, _) in enumerate(MARKED)] + [(100 + k, t) for k, (t, _) in enumerate(license_scan.TEMPLATES)]
+    out = {r.doc_id: r for r in license_scan.summary(license_scan.scan(table(spark, rows))).collect()}
+    assert [out[k].labels for k in range(len(MARKED))] == [label for _, label in MARKED]
+    assert all((out[k].score > 0) == (label != "") for k, (_, label) in enumerate(MARKED))
+    assert all(label in out[100 + k].labels.split(",") for k, (_, label) in enumerate(license_scan.TEMPLATES))
+    assert len(license_scan.MARKS) == len(license_scan.TEMPLATES)

@@ -15,6 +15,9 @@ words occur in it (containment).
    common word must still reach a.
 3. The blocks that remain are verified by their overlap. No block that meets the
    threshold is lost.
+4. A template's label is given only if the block also has the template's marks:
+   the words (or runs of words) that tell its license from others with nearly
+   the same notice. ``LicenseParams`` without marks is the plain join.
 
 The templates are a short list that the caller gives; it is sent to all tasks.
 Fixed phrases (consecutive words) are found beside it in the same pass.
@@ -27,6 +30,7 @@ stays null; extra columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import zip_longest
 from math import ceil
 
 import numpy as np
@@ -59,6 +63,22 @@ TEMPLATES = [
     ("This Source Code Form is subject to the terms of the Mozilla Public License", "mpl-2"),
 ]
 
+# What tells the license of each template from others, in the order
+# of TEMPLATES. A block must have every mark; "|" parts alternatives.
+MARKS = [
+    ("mit",),
+    ("person obtaining a copy",),
+    ("apache", "version 2|license 2|apache 2|v 2|v2"),
+    (),
+    ("gnu general public license", "version 3|license 3|v 3|v3"),
+    ("gnu general public license",),
+    ("lesser|library",),
+    ("nc|noncommercial",),
+    ("attribution 4|attribution 3|attribution 2|attribution 1|attribution cc|attribution license|attribution international",),
+    (),
+    ("mozilla",),
+]
+
 
 @dataclass(frozen=True)
 class LicenseParams:
@@ -66,6 +86,11 @@ class LicenseParams:
     block_words: int = 64
     phrases: tuple = tuple(PHRASES)
     templates: tuple = tuple(TEMPLATES)
+    marks: tuple = ()                        # of the templates, in their order; missing ones ask for nothing
+
+
+#: The license scan proper: the templates with their marks.
+NOTICES = LicenseParams(marks=tuple(MARKS))
 
 
 def split_words(text: str) -> list[str]:
@@ -80,12 +105,15 @@ class _Templates:
     """Templates in the global order of their words' corpus counts."""
 
     def __init__(self, params: LicenseParams, counts: dict[str, int]):
-        texts = [(sorted(set(split_words(t))), label) for t, label in params.templates]
-        texts = [(words, label) for words, label in texts if words]
-        vocabulary = sorted({w for words, _ in texts for w in words}, key=lambda w: (counts.get(w, 0), w))
+        texts = [(sorted(set(split_words(t))), label, marks)
+                 for (t, label), marks in zip_longest(params.templates, params.marks[:len(params.templates)], fillvalue=())]
+        texts = [(words, label, marks) for words, label, marks in texts if words]
+        vocabulary = sorted({w for words, _, _ in texts for w in words}, key=lambda w: (counts.get(w, 0), w))
         order = {w: k for k, w in enumerate(vocabulary)}
-        self.labels = [label for _, label in texts]
-        self.words = [sorted(order[w] for w in words) for words, _ in texts]
+        self.labels = [label for _, label, _ in texts]
+        self.words = [sorted(order[w] for w in words) for words, _, _ in texts]
+        self.marks = [[[np.array([ts.hash_of(w) for w in split_words(run)], np.uint64) for run in mark.split("|")]
+                       for mark in marks] for _, _, marks in texts]
         self.needed = [ceil(params.threshold * len(w) - 1e-9) for w in self.words]
         self.by_prefix: dict[int, list[tuple[int, int]]] = {}
         for t, words in enumerate(self.words):
@@ -119,6 +147,11 @@ class _Templates:
                 if overlap >= needed:
                     yield t, overlap / len(words)
 
+    def marked(self, t: int, hashes: np.ndarray) -> bool:
+        """Whether a block, given by the hashes of its words, has every mark of a template."""
+        whole = np.array([0, hashes.size])
+        return all(any(_phrase_places(hashes, whole, run).size for run in mark) for mark in self.marks[t])
+
 
 def _phrase_places(hashes: np.ndarray, first: np.ndarray, phrase: np.ndarray) -> np.ndarray:
     """Positions at which the phrase's words stand consecutively inside a document."""
@@ -161,7 +194,7 @@ def word_counts(docs: DataFrame, params: LicenseParams) -> dict[str, int]:
 _FOUND = "array<struct<label:string,start:bigint,size:bigint,containment:double>>"
 
 
-def scan(docs: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
+def scan(docs: DataFrame, params: LicenseParams = NOTICES) -> DataFrame:
     """doc_id, n_words, phrases (label, start, size) and blocks (label, start, size,
     containment) of every row; starts and sizes count words."""
     shipped(docs.sparkSession)
@@ -204,6 +237,8 @@ def scan(docs: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
                     block = block[block < templates.hashes.size].tolist()
                     d = int(ts.owners(first, at))
                     for t, share in templates.matches(block):
+                        if not templates.marked(t, hashes[at:at + size]):
+                            continue
                         out[2 * (lo + d) + 1].append(
                             {"label": templates.labels[t], "start": at - int(first[d]), "size": size, "containment": share})
             kind = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("size", pa.int64()), ("containment", pa.float64())]))
