@@ -150,3 +150,46 @@ def test_components_of_a_long_chain(spark):
     chain = [(k, k + 1) for k in range(60)] + [(100, 101), (102, 101), (7, 7), (None, 3)]
     roots = components.component_roots(spark.createDataFrame(chain, "a long, b long")).collect()
     assert {(r.u, r.v) for r in roots} == {(k, 0) for k in range(1, 61)} | {(101, 100), (102, 100)}
+
+
+def _edges(n: int) -> list[tuple[int, str]]:
+    """Documents that share a passage between words of their own, and some that also share what stands around it."""
+    rng = np.random.default_rng(5)
+    own = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 150))
+    passage, pair = own() + own(), (own(), own())
+    return [(k, (pair[0] if k % 7 == 0 else own()) + passage + (pair[1] if k % 5 == 0 else own())) for k in range(n)]
+
+
+def test_edges_of_a_shared_passage_are_split_over_tasks(spark):
+    rows = _edges(600)
+    params = suffix_dedup.SuffixParams(bucket_rows=64)
+    heavy = suffix_dedup.heavy_leads(table(spark, rows), params)
+    assert heavy.size
+    docs = [np.frombuffer(t.encode(), np.uint8) for _, t in rows]
+
+    def largest(heavy):
+        """Most rows that one lead sends to a task, with every document a slice of its own."""
+        leads = {}
+        for (doc, text), data in zip(rows, docs):
+            at, near, far, _ = suffix_dedup._elect(data, np.array([0, data.size]), 100, 24)
+            batch = suffix_dedup.pa.RecordBatch.from_arrays(
+                [suffix_dedup.pa.array([doc]), suffix_dedup.pa.array([text]),
+                 suffix_dedup.pa.array([suffix_dedup._pack(at, at - far, at - near).tolist()])], ["doc_id", "text", "ats"])
+            for out in suffix_dedup._suffix_rows(params, heavy)([batch]):
+                for lead, context in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+                    leads.setdefault(lead, set()).add(context)
+        return max(len(contexts) for contexts in leads.values())
+
+    assert largest(np.zeros(0, np.uint64)) > 400      # one bucket for a row a document
+    assert largest(heavy) <= 64
+    got, _ = _suffix(table(spark, rows), bucket_rows=64)
+    assert got == brute.byte_repeats(rows)
+    whole, _ = _suffix(table(spark, rows))
+    assert whole == got
+
+
+def test_heavy_leads_of_repeated_and_null_ids(spark):
+    rows = _edges(120) + _edges(120)[20:50] + [(None, _edges(3)[2][1])]
+    apart = suffix_dedup.remove_repeats(table(spark, rows), suffix_dedup.SuffixParams(bucket_rows=8)).collect()
+    whole = suffix_dedup.remove_repeats(table(spark, rows)).collect()
+    assert sorted((str(r.doc_id), bytes(r.kept)) for r in apart) == sorted((str(r.doc_id), bytes(r.kept)) for r in whole)

@@ -16,11 +16,20 @@ windows elect the same offset, and about one position in forty is elected.
    multikey quicksort over 8-byte symbols. Neighbouring lengths in common turn
    "the same o bytes before and window - o bytes after" into a pair of class
    numbers. The earliest start of each class stays, the others are covered.
+4. Leading bytes that more than ``bucket_rows`` suffixes share aren't sorted in
+   one bucket: at the edges of a passage that a third of all documents share,
+   each document has a suffix of its own, as the windows that start before the
+   passage (or end behind it) elect positions inside it. ``heavy_leads`` counts
+   a sample of the elected positions. Suffixes with such leading bytes are
+   dealt by a 128-bit hash of their whole context; of equal ones the earliest
+   goes on as single windows, merged in a task and dealt by their 128-bit hash.
+   Equal windows have equal leading bytes, so both ways give the same spans and
+   the sample decides where rows are compared, not what is found.
 
 Equal texts are found first by their digest: the copy with the smallest doc_id
-stands for all. Equal suffixes of one slice are merged before they are sent, so
-a passage that a third of all documents share sends a row a slice, not a row a
-document, to its bucket.
+stands for all. Suffixes of one slice with equal contexts are merged before
+they are sent, so the inside of a shared passage sends a row a slice, not a row
+a document, to the task that compares it.
 
 Edge cases: null counts as empty text; a row whose doc_id is null is returned
 whole and takes no part, having no place in the order; rows that repeat a
@@ -38,6 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tirepulse.llm import keyed
 from tirepulse.llm import textscan as ts
 from tirepulse.llm.keyed import collected, spread
 from tirepulse.llm.keyed import ids as _ids
@@ -46,6 +56,10 @@ from tirepulse.llm.ship import shipped
 _LOCAL = 24                                  # bits of a position inside a block
 _BLOCK = 1 << 22                             # window starts handled at once
 _KNOWN = 0x80
+_KEY = 16                                    # leading bytes that suffixes are dealt by
+_HEAVY = 1 << 20                             # most leads that are sent to all tasks
+_EXPLODE = 1 << 13                           # suffixes told as single windows at once
+_SUFFIX, _DONE, _WHOLE = 0, 1, 2             # kinds of rows that leave _suffix_rows
 
 
 @dataclass(frozen=True)
@@ -101,6 +115,32 @@ def _unpack(at: np.ndarray):
     return at >> 16, at & 0x7F, (at >> 8) & 0xFF
 
 
+def _sampled_leads(params: SuffixParams, rate: int):
+    """Hash of the leading bytes of one elected position in ``rate``."""
+    size = min(_KEY, params.lead)
+
+    def run(batches):
+        for batch in batches:
+            ids = _ids(batch.column(0))
+            for lo, hi, data, cut in ts.slices(batch.column(1)):
+                at = _elect(data, cut, params.window, params.lead)[0]
+                doc = ts.owners(cut, at)
+                at = at[spread(ids[lo + doc], at - cut[doc]) % np.uint64(rate) == 0]
+                h = ts.Prefix(ts._VALUES[1][data]).of(at, at + size)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["key"])
+    return run
+
+
+def heavy_leads(placed: DataFrame, params: SuffixParams) -> np.ndarray:
+    """Sorted hashes of the leading bytes that more than about ``bucket_rows`` elected
+    positions share (the most frequent 2^20 of them; the others stay in their buckets)."""
+    rate = max(1, params.bucket_rows >> 9)
+    counts = (placed.select("doc_id", "text").mapInArrow(_sampled_leads(params, rate), "key long")
+              .groupBy("key").count().filter(F.col("count") * rate > params.bucket_rows))
+    top = counts.orderBy(F.desc("count"), "key").limit(_HEAVY).select("key").collect()
+    return np.sort(np.array([r["key"] for r in top], np.int64).view(np.uint64))
+
+
 def _elected_rows(params: SuffixParams):
     def run(batches):
         for batch in batches:
@@ -134,7 +174,14 @@ def _repeated_rows(batches):
 
 # ---------------------------------------------------------------- suffixes with what stands before them
 
-def _suffix_rows(params: SuffixParams):
+def _digests(rows: np.ndarray, row: np.ndarray, start: np.ndarray, size: int) -> list[np.ndarray]:
+    """Two 64-bit hashes of ``size`` bytes from a place of a row of a byte matrix."""
+    flat = np.ascontiguousarray(rows).reshape(-1)
+    at = row * rows.shape[1] + start
+    return [ts.Prefix(ts._VALUES[seed][flat]).of(at, at + size) for seed in (1, 2)]
+
+
+def _suffix_rows(params: SuffixParams, heavy: np.ndarray):
     window, before = params.window, params.window - params.lead
 
     def run(batches):
@@ -172,8 +219,19 @@ def _suffix_rows(params: SuffixParams):
                     pa.binary(8), noise.size, [None, pa.py_buffer(noise)]).cast(pa.binary())
                 leads = pa.FixedSizeBinaryArray.from_buffers(
                     pa.binary(16), flat.shape[0],
-                    [None, pa.py_buffer(np.ascontiguousarray(flat[:, before:before + 16]))]).cast(pa.binary())
-                for pick, lead, context, done in ((~later, leads, contexts, False), (later, anywhere, None, True)):
+                    [None, pa.py_buffer(np.ascontiguousarray(flat[:, before:before + _KEY]))]).cast(pa.binary())
+                whole, digests = np.zeros(position.size, bool), leads
+                if heavy.size:
+                    at = cut[doc] + position
+                    h = ts.Prefix(ts._VALUES[1][data]).of(at, at + min(_KEY, params.lead))
+                    whole = ~later & (heavy[np.minimum(np.searchsorted(heavy, h), heavy.size - 1)] == h)
+                    both = np.zeros((position.size, 2), np.uint64)
+                    row = np.arange(int(whole.sum()))
+                    both[whole] = np.stack(_digests(tagged[whole], row, np.zeros(row.size, np.int64), tagged.shape[1]), axis=1)
+                    digests = pa.FixedSizeBinaryArray.from_buffers(
+                        pa.binary(16), position.size, [None, pa.py_buffer(both)]).cast(pa.binary())
+                for pick, lead, context, kind in ((~later & ~whole, leads, contexts, _SUFFIX), (later, anywhere, None, _DONE),
+                                                  (whole, digests, contexts, _WHOLE)):
                     if not pick.any():
                         continue
                     mask = pa.array(pick)
@@ -182,7 +240,7 @@ def _suffix_rows(params: SuffixParams):
                         [lead.filter(mask), context.filter(mask) if context is not None else pa.nulls(n, pa.binary()),
                          pa.array(ids[lo + doc[pick]]),
                          pa.array(_pack(position[pick], least[pick], most[pick])),
-                         pa.array(np.full(n, done))], ["lead", "context", "doc_id", "at", "done"])
+                         pa.array(np.full(n, kind, np.int8))], ["lead", "context", "doc_id", "at", "kind"])
     return run
 
 
@@ -263,27 +321,72 @@ def covered(rows: np.ndarray, least: np.ndarray, most: np.ndarray, window: int)
     return low, high
 
 
+def _contexts(column: pa.Array) -> np.ndarray:
+    """A binary column of equal lengths as a byte matrix."""
+    raw, cut = column.buffers()[2], np.frombuffer(column.buffers()[1], np.int32)[column.offset:]
+    n = len(column)
+    return np.frombuffer(raw, np.uint8)[cut[0]:cut[n]].reshape(n, -1)
+
+
 def _spans(params: SuffixParams):
+    """Covered spans, and the windows that are still open: those of suffixes that came whole."""
     window = params.window
 
-    def emit(doc, position, low, high):
+    def rows_of(doc, start, end, keys=None):
+        settled = np.ones(doc.size, bool) if keys is None else keyed.later_ones(keys, doc, start)
+        key, key2 = keys or (np.zeros(doc.size, np.uint64),) * 2
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc), pa.array(position - high), pa.array(position - low + window)], ["doc_id", "start", "end"])
+            [pa.array(np.where(settled, spread(doc, start), key).view(np.int64)),
+             pa.array(np.where(settled, np.uint64(0), key2).view(np.int64)),
+             pa.array(doc), pa.array(start), pa.array(end), pa.array(settled)],
+            ["key", "key2", "doc_id", "start", "end", "settled"])
+
+    def emit(doc, position, low, high):
+        return rows_of(doc, position - high, position - low + window)
+
+    def firsts(rows, doc, at):
+        """Spans of all but the earliest of equal contexts, and the earliest ones."""
+        row = np.arange(doc.size)
+        _, least, most = _unpack(at)
+        keys = _digests(rows, row, np.zeros(doc.size, np.int64), rows.shape[1])
+        later = keyed.later_ones([*keys, (least << 8 | most).astype(np.uint64)], doc, at)
+        position, least, most = _unpack(at[later])
+        return emit(doc[later], position, least, most), (rows[~later], doc[~later], at[~later])
+
+    def windows(rows, doc, at):
+        position, least, most = _unpack(at)
+        n = most - least + 1
+        row = np.repeat(np.arange(doc.size), n)
+        offset = np.arange(row.size) - np.repeat(np.cumsum(n) - n - least, n)
+        start = position[row] - offset
+        return rows_of(doc[row], start, start + window, _digests(rows, row, rows.shape[1] - window - offset, window))
 
     def run(batches):
-        parts = []
+        parts, open_, held, limit = [], [], 0, params.bucket_rows
         for batch in batches:
-            done = batch.column(4).to_numpy(zero_copy_only=False)
+            kind = batch.column(4).to_numpy(zero_copy_only=False)
             doc, at = _ids(batch.column(2)), _ids(batch.column(3))
+            done = kind == _DONE
             if done.any():
                 position, least, most = _unpack(at[done])
                 yield emit(doc[done], position, least, most)
-            if not done.all():
-                context = batch.column(1).filter(pa.array(~done))
-                raw, cut = context.buffers()[2], np.frombuffer(context.buffers()[1], np.int32)[context.offset:]
-                n = len(context)
-                rows = np.frombuffer(raw, np.uint8)[cut[0]:cut[n]].reshape(n, -1)
-                parts.append((rows, doc[~done], at[~done]))
+            for code, to in ((_SUFFIX, parts), (_WHOLE, open_)):
+                pick = kind == code
+                if pick.any():
+                    to.append((_contexts(batch.column(1).filter(pa.array(pick))), doc[pick], at[pick]))
+                    held += int(pick.sum()) if code == _WHOLE else 0
+            if held > limit:                          # only the earliest of equal contexts are held
+                spans, rest = firsts(*(np.concatenate(x) for x in zip(*open_)))
+                yield spans
+                open_, held = [rest], rest[1].size
+                limit = max(params.bucket_rows, 2 * held)
+        if open_:
+            spans, rest = firsts(*(np.concatenate(x) for x in zip(*open_)))
+            yield spans
+            open_.clear()
+            for k in range(0, rest[1].size, _EXPLODE):
+                yield windows(*(x[k:k + _EXPLODE] for x in rest))
+            del spans, rest
         if not parts:
             return
         rows, doc, at = (np.concatenate(x) for x in zip(*parts))
@@ -311,6 +414,18 @@ def _spans(params: SuffixParams):
     return run
 
 
+def _verdicts(batches):
+    """The settled spans, and those of open windows that also stand at an earlier place."""
+    table = list(batches)
+    if not table:
+        return
+    key, key2, doc, start, end = (np.concatenate([_ids(b.column(c)) for b in table]) for c in range(5))
+    covered = np.concatenate([b.column(5).to_numpy(zero_copy_only=False) for b in table]).astype(bool)
+    rest = np.flatnonzero(~covered)
+    covered[rest] = keyed.later_ones([key[rest], key2[rest]], doc[rest], start[rest])
+    yield pa.RecordBatch.from_arrays([pa.array(x[covered]) for x in (doc, start, end)], ["doc_id", "start", "end"])
+
+
 # ---------------------------------------------------------------- removing
 
 def merge_spans(start: np.ndarray, end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -365,10 +480,14 @@ def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), carry
     repeated = elected.repartition("key").mapInArrow(_repeated_rows, "doc_id long, at long")
     lists = (repeated.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
              .join(firsts, "doc_id", "left_semi"))    # a copy of an earlier text is covered already
+    heavy = heavy_leads(placed, params)
     suffixes = (placed.join(lists, "doc_id").select("doc_id", "text", "ats", "row")
-                .mapInArrow(_suffix_rows(params), "lead binary, context binary, doc_id long, at long, done boolean"))
-    spans = (suffixes.repartitionByRange("lead").mapInArrow(_spans(params), "doc_id long, start long, end long")
-             .groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+                .mapInArrow(_suffix_rows(params, heavy), "lead binary, context binary, doc_id long, at long, kind byte"))
+    found = suffixes.repartitionByRange("lead").mapInArrow(
+        _spans(params), "key long, key2 long, doc_id long, start long, end long, settled boolean")
+    if heavy.size:
+        found = found.repartition("key").mapInArrow(_verdicts, "doc_id long, start long, end long")
+    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     ready = (placed.join(firsts.withColumn("first", F.lit(True)), "doc_id", "left").join(spans, "doc_id", "left")
              .select("doc_id", "text", F.col("first").isNull().alias("copy"), F.coalesce("spans", none).alias("spans"), "row"))
