@@ -192,6 +192,28 @@ def test_window_cuts_are_the_cheapest(steps):
     assert cost(cuts) == best[-1] and all(b - a <= size for a, b in zip([0, *cuts], cuts))
 
 
+def test_every_sentence_end_may_be_cut():
+    rng = np.random.default_rng(3)
+    sentences = np.cumsum(rng.integers(1, 20, 300))
+    sentences = np.concatenate([sentences, sentences[-1] + 100 + np.cumsum(rng.integers(1, 20, 100))])
+    documents, stop = sentences[9::10], int(sentences[-1]) + 70
+    ends, penalty = packing.candidates(stop, documents, sentences, packing.PackingParams())
+    given = dict(zip(ends.tolist(), penalty.tolist()))
+    assert ends.tolist() == sorted(given) and ends[0] == 0 and ends[-1] == stop
+    assert all(given[k] == 0 for k in documents.tolist())
+    assert all(given[k] == 6 for k in set(sentences.tolist()) - set(documents.tolist()))
+    assert np.diff(ends).max() <= 32
+    marks = sorted({0, stop, *sentences.tolist()})
+    inner = [k for a, b in zip(marks, marks[1:]) for k in range(a + 32, b, 32)]
+    assert sorted(set(given) - set(marks)) == inner and all(given[k] == 20 for k in inner)
+    # the cuts are the cheapest over all sentence ends
+    size, best = 64, {0: 0}
+    for j in ends.tolist()[1:]:
+        best[j] = min(best[i] + size - (j - i) + given[j] for i in best if j - i <= size)
+    cuts = packing.window_cuts(ends, penalty, size)
+    assert sum(size - (b - a) + given[b] for a, b in zip([0, *cuts], cuts)) == best[stop]
+
+
 # ---------------------------------------------------------------- nearest neighbours
 
 VECTORS = "vec_id long, embedding array<float>, label int, score int, rank int"

@@ -4,9 +4,8 @@ Documents are tokenised in stored order, each closed by one id, and laid end to
 end. Window cuts are chosen by dynamic programming over the ends of documents
 and sentences: a window costs its padding, and a cut inside a document costs a
 truncation penalty. The cheapest predecessor within reach of a cut is kept in a
-monotone queue, so each candidate is handled once. Every ``stride`` ids offer
-their last sentence end, or, at a higher penalty, their last id if no sentence
-ends there.
+monotone queue, so each candidate is handled once. Sentences longer than
+``stride`` ids get candidates at every ``stride`` ids, at a higher penalty.
 
 Each input partition packs its own documents, with no shuffle: a partition
 costs at most one padded window more, and its last window is cut into unpadded powers
@@ -50,16 +49,14 @@ class PackingParams:
 def candidates(stop: int, documents: np.ndarray, sentences: np.ndarray, params: PackingParams):
     """Sorted positions at which a window may end, 0 first, and the penalty of each.
 
-    All document ends; of every ``stride`` ids the last sentence end, or their last id.
+    All document and sentence ends; every ``stride`` ids between two that are further apart.
     """
-    cell = sentences // params.stride
-    last = np.append(cell[1:] != cell[:-1], True) if cell.size else np.zeros(0, bool)
-    some = np.zeros(stop // params.stride + 1, bool)
-    some[cell] = True
-    words = np.flatnonzero(~some[:-1]) * params.stride + params.stride
-    ends = np.unique(np.concatenate([[0], documents, sentences[last], words, [stop]]))
+    marks = np.unique(np.concatenate([[0], documents, sentences, [stop]]))
+    inner = (np.diff(marks) - 1) // params.stride
+    step = np.arange(int(inner.sum())) - np.repeat(np.cumsum(inner) - inner, inner) + 1
+    ends = np.sort(np.concatenate([marks, np.repeat(marks[:-1], inner) + step * params.stride]))
     penalty = np.full(ends.size, params.word_penalty)
-    penalty[np.searchsorted(ends, sentences[last])] = params.sentence_penalty
+    penalty[np.searchsorted(ends, sentences)] = params.sentence_penalty
     penalty[np.searchsorted(ends, documents)] = 0
     return ends, penalty
 
