@@ -192,6 +192,13 @@ def test_window_cuts_are_the_cheapest(steps):
     assert cost(cuts) == best[-1] and all(b - a <= size for a, b in zip([0, *cuts], cuts))
 
 
+def test_too_many_languages_are_an_error(spark):
+    df = table(spark, [(k, "some words of a text", f"l{k % 4}") for k in range(40)])
+    with pytest.raises(ValueError, match="max_langs"):
+        language_id.fit(df, F.lit(True), language_id.LanguageParams(max_langs=3))
+    assert language_id.fit(df, F.lit(True), language_id.LanguageParams(max_langs=4)).langs == ["l0", "l1", "l2", "l3"]
+
+
 def test_every_sentence_end_may_be_cut():
     rng = np.random.default_rng(3)
     sentences = np.cumsum(rng.integers(1, 20, 300))

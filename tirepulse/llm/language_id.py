@@ -9,7 +9,9 @@ its embedding. A temperature and a rejection threshold are fitted on a part of
 the sample that the descent does not see.
 
 Training texts are a bounded sample: about ``max_rows_per_lang`` rows of each
-language, chosen by a hash of the id; everything else runs over all rows.
+language, chosen by a hash of the id; everything else runs over all rows. More
+than ``max_langs`` languages are an error: the model has a row of logits for
+each, and none is left out silently.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0;
 rows with a null language or a null id do not train; a language that the sample
@@ -184,7 +186,9 @@ def fit(docs: DataFrame, usable: Column, params: LanguageParams = LanguageParams
     """Trains on a bounded sample of the rows that are ``usable`` and have text, lang and id."""
     known = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     counts = (known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(params.max_langs).collect())      # max_langs rows
+              .orderBy(F.desc("n"), "lang").limit(params.max_langs + 1).collect())  # max_langs + 1 rows
+    if len(counts) > params.max_langs:
+        raise ValueError(f"more than max_langs = {params.max_langs} languages: raise the bound or map lang to fewer values")
     langs = sorted(r["lang"] for r in counts)
     if not langs:
         return LanguageModel([], np.zeros((0, 1 << params.buckets_log2), np.float32), np.zeros(0), 1.0, 1.0, params)
