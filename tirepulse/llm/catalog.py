@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tirepulse.llm import collision_ann, decontaminate, language_id, license_scan, packing, quality, sharding, simhash_near_dup, substring_dedup, suffix_dedup
+from tirepulse.llm import (
+    collision_ann, decontaminate, embedding_near_dup, filter_audit, language_id, license_scan, packing, quality, sharding,
+    simhash_near_dup, spelling, substring_dedup, suffix_dedup,
+)
+from tirepulse.llm.oracle import ORACLE  # noqa: F401  DuckDB SQL of the queries that SQL can express
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,30 +64,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_dup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op2_sharding, op3_suffix_dedup, op4_license_scan, op5_substring_dedup, op6_simhash_near_dup, op7_language_id, op8_packing, op9_nearest_neighbours, op10_quality)}
-
-#: DuckDB SQL of the queries that SQL can express.
-_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-
-ORACLE: dict[str, str] = {
-    "op1_decontamination": f"""
-WITH item_words AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
-windows AS (
-    SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(list_slice(w, i + 1, i + least(10, len(w))), ' ') AS phrase
-    FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 9, 1))) AS i FROM item_words WHERE len(w) > 0)),
-doc_words AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
-places AS (
-    SELECT doc_id, n, i, array_to_string(list_slice(w, i + 1, i + n), ' ') AS phrase
-    FROM (SELECT doc_id, w, n, unnest(range(0, greatest(len(w) - n + 1, 0))) AS i
-          FROM doc_words CROSS JOIN (SELECT DISTINCT n FROM windows))),
-found AS (SELECT doc_id, i, places.n AS n, item_id FROM places JOIN windows USING (phrase)),
-words_hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM found) GROUP BY doc_id),
-items_hit AS (
-    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc_words LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)""",
-}
+    op1_decontamination, op2_sharding, op3_suffix_dedup, op4_license_scan, op5_substring_dedup, op6_simhash_near_dup, op7_language_id, op8_packing, op9_nearest_neighbours, op10_quality,
+    op11_filter_audit, op12_spelling_variants, op13_embedding_near_dup)}
