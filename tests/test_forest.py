@@ -1,4 +1,4 @@
-"""Isolation forest properties (no SQL oracle exists for it)."""
+"""Isolation forest properties, stored models, draws (SQL grows the same trees in test_oracle)."""
 
 import numpy as np
 import pytest
@@ -143,3 +143,78 @@ def test_inputs_are_not_left_in_the_shared_folder(spark):
     out = forest.isolation_forest(df, "id", ["x"], trees=5, sample=32)
     new = {n.split("-")[0] + "-" + n.split("-")[1] for n in set(os.listdir(folder)) - before}
     assert new == {"forest-scores"} and "w" not in out.columns and out.count() == 300
+
+
+def test_rows_with_equal_short_numbers_are_drawn_apart(spark):
+    """Ids whose MD5 begin with the same 28 bits: the 60-bit number and the rank in a tree still part them."""
+    import hashlib
+    first = {}
+    for k in range(400_000):
+        first.setdefault(hashlib.md5(str(k).encode()).hexdigest()[:7], []).append(k)
+    twins = [k for v in first.values() if len(v) > 1 for k in v]
+    assert len(twins) > 300
+    df = spark.createDataFrame([(k,) for k in twins], "key long")
+    drawn = forest.draw_samples(df, "key", len(twins), trees=20, sample=64).collect()
+    per_tree = {}
+    for r in drawn:
+        per_tree.setdefault(r.t, set()).add(r.key)
+    assert all(len(v) == 64 for v in per_tree.values()) and len(per_tree) == 20
+    # a row and its twin are drawn independently: about 64 / n of the pairs meet in a tree
+    pairs = [v for v in first.values() if len(v) > 1]
+    together = sum(p[0] in t and p[1] in t for t in per_tree.values() for p in pairs)
+    apart = sum((p[0] in t) != (p[1] in t) for t in per_tree.values() for p in pairs)
+    assert apart > 3 * together
+
+
+def test_draw_at_the_size_of_a_fleet(spark):
+    """The numbers of 1e11 rows are distinct but for a few: 60 bits, where 28 gave 27 values a tree."""
+    assert forest.DRAW_BITS == 60 and (10 ** 11) ** 2 / 2 / 2 ** forest.DRAW_BITS < 10 ** 4
+    for n in (1, 300, 102_400, 10 ** 6, 10 ** 11):
+        share = min(1.0, 4 * 100 * min(256, n) / n)
+        offered = n * share * forest.turns_of(n, 100, 256, 4) / 100
+        assert offered >= min(n, 256) and (n < 102_400 or offered == pytest.approx(16 * 256, rel=0.01))
+
+
+def test_stored_model_gives_the_fitted_scores(spark, planted, tmp_path):
+    from tirepulse.operators import forest_model
+    feats = ["a", "b", "c"]
+    path = str(tmp_path / "model")
+    assert forest_model.versions(spark, path).count() == 0
+    with pytest.raises(ValueError, match="no stored forest"):
+        forest_model.load_forest(spark, path)
+    model = forest_model.fit_forest(planted, "id", feats, trees=30, trained_on="planted")
+    assert forest_model.save_forest(spark, model, path) == 1
+    other = forest_model.fit_forest(planted.filter("id < 500"), "id", feats, trees=10, seed=7)
+    assert forest_model.save_forest(spark, other, path) == 2
+    first, latest = forest_model.load_forest(spark, path, 1), forest_model.load_forest(spark, path)
+    assert (first.version, first.rows, first.trained_on, latest.version, latest.trees) == (1, 3005, "planted", 2, 10)
+    own = {r.id: (r.ml_anomaly_score, r.ml_anomaly_pred) for r in forest_model.score_with(planted, model, ["id"]).collect()}
+    again = {r.id: (r.ml_anomaly_score, r.ml_anomaly_pred) for r in forest_model.score_with(planted, first, ["id"]).collect()}
+    assert own == again
+    assert abs(sum(p == -1 for _, p in own.values()) - 0.04 * 3005) <= 2
+    # rows the forest never saw: far ones are flagged, the middle is not
+    later = spark.createDataFrame([(1, 9.0, -9.0, 9.0), (2, 0.0, 0.1, 0.0), (3, None, float("nan"), 0.0)], "id long, a double, b double, c double")
+    flags = {r.id: r.ml_anomaly_pred for r in forest_model.score_with(later, first, ["id"]).collect()}
+    assert flags == {1: -1, 2: 1, 3: 1}
+
+
+def test_a_failed_save_leaves_no_version(spark, planted, tmp_path):
+    from tirepulse.operators import forest_model
+    path = str(tmp_path / "model")
+    model = forest_model.fit_forest(planted, "id", ["a", "b"], trees=5, sample=32)
+    spark.createDataFrame(model.nodes.head(3), forest.NODE_SCHEMA).write.parquet(f"{path}/nodes/version=1")   # nodes without a version row
+    assert forest_model.versions(spark, path).count() == 0
+    assert forest_model.save_forest(spark, model, path) == 1
+    assert len(forest_model.load_forest(spark, path).nodes) == len(model.nodes)
+
+
+def test_a_stored_model_scores_a_later_range_in_one_pass(spark, tmp_path):
+    from tirepulse.plans import reports
+    from tirepulse.sources.fixtures import load_reports
+    sensors, _ = load_reports(spark, "/root/testdata/sf0.001")
+    path = str(tmp_path / "model")
+    assert reports.fit_anomaly_model(sensors, "2024-01-01", "2024-01-15", path, trees=20) == 1
+    late = reports.sensor_anomaly_detection(sensors, "2024-01-16", "2024-01-31", model_path=path)
+    assert late.count() == sensors.filter("report_start_at >= '2024-01-16'").count()
+    assert late.filter("is_anomaly_global = 1").count() > 0
+    assert late._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(sensor_id") == 1   # the windows' shuffle alone

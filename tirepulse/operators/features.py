@@ -212,6 +212,15 @@ MODEL_FEATURES = ["temperature_avg", "cold_pressure_avg", "hot_pressure_avg",
                   "z_temp", "z_cold", "z_hot"]
 
 
+#: Model inputs are rounded, so that rows equal but for the order of a summation stay equal.
+MODEL_DECIMALS = 6
+
+
+def model_inputs(df: DataFrame, prefix: str = "in_") -> DataFrame:
+    """Append the nine model inputs as doubles rounded to ``MODEL_DECIMALS``, under ``prefix``."""
+    return df.withColumns({f"{prefix}{c}": F.round(F.col(c).cast("double"), MODEL_DECIMALS) for c in MODEL_FEATURES})
+
+
 def feature_matrix(zscored: DataFrame) -> DataFrame:
     """The nine model inputs per report (readings, critical durations, z-scores) as doubles."""
     return zscored.select("id", *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])

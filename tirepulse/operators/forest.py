@@ -3,20 +3,25 @@
 Spark ML has no isolation forest, so the estimator the source calls in
 process is re-aimed as three distributed steps:
 
-1. **Sampling**: each row gets one 28-bit number from the MD5 of its id. A pool
-   of about ``pool_factor * trees * sample`` rows has the smallest numbers; each
-   tree permutes the numbers in its own way (multiplication modulo a prime) and
-   takes the ``sample`` pool rows that come first. The draw depends on the ids
+1. **Sampling**: the MD5 of its id gives each row a 60-bit number and a slot. The
+   pool is the rows with the smallest numbers, about ``pool_factor * trees *
+   sample`` of them; a pool row is offered to a few trees from its slot on (to all
+   of them in a small table), and each tree takes the ``sample`` offered rows
+   that come first by the MD5 of (seed, tree, id). The draw depends on the ids
    alone, is the same for any partitioning and any engine, and needs them to
    be unique, which is checked.
 2. **Growth**: ``groupBy(tree).applyInPandas`` — each group holds at most
-   ``sample`` rows (256); a random non-constant feature and a uniform split
-   between its min and max at each node, height limit ceil(log2(sample)).
+   ``sample`` rows (256); at each node the MD5 of (seed, tree, node, feature)
+   picks a non-constant feature and the place of the split between its min
+   and max; height limit ceil(log2(sample)). Nodes are numbered as in a heap
+   (children of k: 2k + 1 and 2k + 2). No random stream is involved, so any engine
+   that has MD5 grows the same trees; the oracle does it in SQL.
    The node table is bounded by ``trees * (2**(height+1) - 1)`` rows, which is
    what gets collected and broadcast.
 3. **Scoring**: a vectorised function over the feature columns alone walks all
    trees for a whole Arrow batch; score ``s = -2**(-E[h(x)] / c(sample))``
-   (lower = more anomalous). The other columns never leave the JVM.
+   (lower = more anomalous), rounded to 12 decimals so that rows with the same
+   paths tie whatever the order of summation. The other columns never leave the JVM.
 
 The contamination threshold is the exact ``contamination`` quantile of the
 scores (linear interpolation), found by repeated histogram narrowing: every
@@ -31,6 +36,7 @@ definition are the published ones.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 
@@ -62,32 +68,31 @@ def average_path_length(n: np.ndarray | int) -> np.ndarray:
     return out
 
 
+def split_hash(seed: int, t: int, node: int, feature: int) -> str:
+    """Hex digits that decide a split: the least of a node's features is taken, digits
+    17 to 29 (52 bits) are the place of the split between its min and max."""
+    return hashlib.md5(f"{seed}:{t}:{node}:{feature}".encode()).hexdigest()
+
+
 def _grow_tree(t: int, X: np.ndarray, seed: int, max_depth: int) -> list[tuple]:
-    rng = np.random.default_rng([seed, t])
     rows = []
     stack = [(0, np.arange(len(X)), 0)]
-    next_id = 1
     while stack:
         node, idx, depth = stack.pop()
         sub = X[idx]
-        if depth >= max_depth or len(idx) <= 1:
-            rows.append((t, node, -1, 0.0, -1, -1, len(idx), depth))
-            continue
         lo, hi = sub.min(axis=0), sub.max(axis=0)
         candidates = np.flatnonzero(hi > lo)
-        if candidates.size == 0:
+        if depth >= max_depth or candidates.size == 0:
             rows.append((t, node, -1, 0.0, -1, -1, len(idx), depth))
             continue
-        f = int(rng.choice(candidates))
-        thr = lo[f] + rng.random() * (hi[f] - lo[f])
+        digits, f = min((split_hash(seed, t, node, f), f) for f in candidates.tolist())
+        thr = lo[f] + int(digits[16:29], 16) / 2.0 ** 52 * (hi[f] - lo[f])
         if thr >= hi[f]:
             thr = lo[f]
         go_left = sub[:, f] <= thr
-        left, right = next_id, next_id + 1
-        next_id += 2
-        rows.append((t, node, f, float(thr), left, right, len(idx), depth))
-        stack.append((right, idx[~go_left], depth + 1))
-        stack.append((left, idx[go_left], depth + 1))
+        rows.append((t, node, f, float(thr), 2 * node + 1, 2 * node + 2, len(idx), depth))
+        stack.append((2 * node + 2, idx[~go_left], depth + 1))
+        stack.append((2 * node + 1, idx[go_left], depth + 1))
     return rows
 
 
@@ -128,38 +133,37 @@ def _mean_path(X: np.ndarray, packed) -> np.ndarray:
     return total / len(packed)
 
 
-# A prime above every 28-bit number; products of two numbers below it fit a long.
-DRAW_MODULUS = 268_435_459
+DRAW_BITS = 60
 
 
-def row_number_of(id_col: str) -> Column:
-    """28-bit number of a row, from the MD5 of its id."""
-    return F.conv(F.substring(F.md5(F.col(id_col).cast("string").cast("binary")), 1, 7), 16, 10).cast("long")
+def _hex_number(text: Column, start: int, digits: int) -> Column:
+    return F.conv(F.substring(text, start, digits), 16, 10).cast("long")
 
 
-def tree_numbers(t: Column, seed: int) -> tuple[Column, Column]:
-    """Multiplier and offset with which a tree permutes the rows' numbers."""
-    return (F.pmod((t + 1) * 48_271 + seed * 7_919, F.lit(DRAW_MODULUS - 1)) + 1,
-            F.pmod((t + 1) * 16_807 * 31 + seed, F.lit(DRAW_MODULUS)))
+def turns_of(n: int, trees: int, sample: int, pool_factor: int) -> int:
+    """How many trees a pool row is offered to: each tree is offered 4 * pool_factor times its sample."""
+    return min(trees, max(4, -(-4 * pool_factor * min(sample, n) * trees // max(1, n))))
 
 
 def draw_samples(df: DataFrame, id_col: str, n: int, trees: int = 100, sample: int = 256, seed: int = 42,
                  pool_factor: int = 4) -> DataFrame:
-    """``df`` rows drawn for each tree (column ``t``): ``min(sample, n)`` of the pool."""
+    """``df`` rows drawn for each tree (column ``t``): ``min(sample, n)`` of those offered to it."""
     psi = min(sample, n)
-    pool_limit = min(1.0, pool_factor * trees * psi / n) * (1 << 28)
-    pool = df.withColumn("_h", row_number_of(id_col)).filter(F.col("_h") < pool_limit)
-    pool_rows = max(1.0, n * min(1.0, pool_limit / (1 << 28)))
-    # before the exact cut, only numbers that a sample four times as large would hold
-    near = min(1.0, pool_factor * psi / pool_rows) * DRAW_MODULUS if pool_rows > 64 * psi else DRAW_MODULUS
-    a, b = tree_numbers(F.col("t"), seed)
-    place = F.pmod(F.col("_h") * a + b, F.lit(DRAW_MODULUS))
-    # explode + filter (both inside whole-stage codegen) rather than a
-    # higher-order filter, which is interpreted per element
-    spread = (pool.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-              .withColumn("_p", place).filter(F.col("_p") < near))
+    share = min(1.0, pool_factor * trees * psi / max(1, n))
+    text = F.col(id_col).cast("string")
+    digits = F.md5(text.cast("binary"))
+    pool = (df.withColumn("_m", digits)
+            .filter(_hex_number(F.col("_m"), 1, DRAW_BITS // 4) < F.lit(share * (1 << DRAW_BITS))))
+    first = _hex_number(F.col("_m"), 17, 8)
+    turns = F.sequence(F.lit(0), F.lit(turns_of(n, trees, sample, pool_factor) - 1))
+    # explode (inside whole-stage codegen) rather than a higher-order filter,
+    # which is interpreted per element
+    offered = (pool.withColumn("_k", F.explode(turns))
+               .withColumn("t", F.pmod(first + F.col("_k"), F.lit(trees)).cast("int")))
+    rank = F.md5(F.concat(F.lit(f"{seed}:"), F.col("t").cast("string"), F.lit(":"), text).cast("binary"))
     order = Window.partitionBy("t").orderBy("_p", id_col)
-    return spread.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= psi).drop("_r", "_p", "_h")
+    return (offered.withColumn("_p", rank).withColumn("_r", F.row_number().over(order))
+            .filter(F.col("_r") <= psi).drop("_r", "_p", "_m", "_k"))
 
 
 def require_unique(df: DataFrame, id_col: str) -> int:
@@ -200,6 +204,9 @@ def grow_forest(df: DataFrame, id_col: str, features: list[str], trees: int = 10
     return nodes, psi
 
 
+SCORE_DECIMALS = 12
+
+
 def score_frame(df: DataFrame, features: list[str], nodes: pd.DataFrame, psi: int,
                 trees: int, score_col: str = "ml_raw_score") -> DataFrame:
     """Append ``-2**(-E[h]/c(psi))`` for every row. Only the features go to Python."""
@@ -209,7 +216,7 @@ def score_frame(df: DataFrame, features: list[str], nodes: pd.DataFrame, psi: in
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
         X = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        return pd.Series(-np.power(2.0, -_mean_path(X, packed.value) / c_psi))
+        return pd.Series(np.round(-np.power(2.0, -_mean_path(X, packed.value) / c_psi), SCORE_DECIMALS))
 
     return df.withColumn(score_col, score(*[F.col(c).cast("double") for c in features]))
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tirepulse.operators import explore, forest, kpis, rules
 from tirepulse.operators import features as feat
 from tirepulse.plans import reports
-from tirepulse.session import discard_at_exit, stored
+from tirepulse.session import discard, discard_at_exit, shared_folder, stored
 from tirepulse.sources import ingest
 from tirepulse.sources.fixtures import REPORT_END, REPORT_START, load_reports
 from tirepulse.sources.schema import METRICS, SENSOR_SCHEMA
@@ -349,9 +349,25 @@ def _q_fixed_model(sensors, devices):
 
 @register("forest_sample")
 def _q_forest_sample(sensors, devices):
-    """The rows that ten trees of 64 rows would be grown from."""
+    """The rows that the report's 100 trees of 256 rows are grown from."""
     rows = feat.critical_durations(sensors, S, E).select("id")
-    return forest.draw_samples(rows, "id", forest.require_unique(rows, "id"), trees=10, sample=64).select("t", "id")
+    return forest.draw_samples(rows, "id", forest.require_unique(rows, "id"), reports.FOREST_TREES,
+                               reports.FOREST_SAMPLE, reports.FOREST_SEED).select("t", "id")
+
+
+# Reports up to this day train the stored forest, later ones are scored with it.
+TRAINED_UNTIL, SCORED_FROM = "2024-01-15", "2024-01-16"
+
+
+@register("stored_model_scores")
+def _q_stored_model(sensors, devices):
+    """A forest fitted on the first half of the range, stored, read again and applied to the second half."""
+    spark = sensors.sparkSession
+    path = shared_folder(spark, "anomaly-model")
+    reports.fit_anomaly_model(sensors, S, TRAINED_UNTIL, path)
+    scores = reports.stored_model_scores(sensors, SCORED_FROM, E, path)
+    discard(spark, path)
+    return scores.select("id", "ml_anomaly_score", "ml_anomaly_pred")
 
 
 @register("ingest_typed")
@@ -368,7 +384,7 @@ def _q_ingest_typed(sensors, devices):
 
 @register("isolation_scores")
 def _q_isolation(sensors, devices):
-    """Isolation-forest score and -1/1 verdict per report (not SQL-expressible)."""
+    """Isolation-forest score and -1/1 verdict per report."""
     return reports.anomaly_scores(sensors, S, E).select("id", "ml_anomaly_score", "ml_anomaly_pred")
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tirepulse.operators import explore, features, forest, kpis, rules
+from tirepulse.operators import explore, features, forest, forest_model, kpis, rules
 from tirepulse.session import discard, stored
 from tirepulse.sources.sinks import export
 
@@ -38,31 +38,57 @@ SCORED_COLUMNS = list(dict.fromkeys(
     ["id", "report_date", "sensor_id", "vehicle_id", "wheel_position", *features.MODEL_FEATURES, "z_dur_temp"]))
 
 
+MODEL_INPUTS = [f"in_{c}" for c in features.MODEL_FEATURES]
+
+
 def anomaly_scores(sensors: DataFrame, start: str, end: str, trees: int = FOREST_TREES,
                    contamination: float = FOREST_CONTAMINATION, seed: int = FOREST_SEED,
                    sample: int = FOREST_SAMPLE) -> DataFrame:
     """Statistical features + isolation-forest verdict per sensor report.
 
-    The nine model inputs are standardised (population stddev) before the
+    The nine model inputs are rounded and standardised (population stddev) before the
     forest, as in the source; the z-score and reason columns pass through the
     scoring step, so no join back is needed.
     """
     # Store the window output once, in the columns that the report needs: the
     # scaler fit, the sampling and the scoring all read it.
     z, path = stored(features.sensor_zscores(sensors, start, end).select(*SCORED_COLUMNS), "anomaly-features")
-    scaled = features.with_scaled(z, features.MODEL_FEATURES, prefix="sc_")
+    scaled = features.with_scaled(features.model_inputs(z), MODEL_INPUTS, prefix="sc_")
     scored = forest.isolation_forest(
-        scaled, "id", [f"sc_{c}" for c in features.MODEL_FEATURES], trees=trees, sample=sample,
+        scaled, "id", [f"sc_{c}" for c in MODEL_INPUTS], trees=trees, sample=sample,
         contamination=contamination, seed=seed, keep=SCORED_COLUMNS, materialize=False)
     discard(sensors.sparkSession, path)
     return scored
 
 
+def fit_anomaly_model(sensors: DataFrame, start: str, end: str, path: str, trees: int = FOREST_TREES,
+                      contamination: float = FOREST_CONTAMINATION, seed: int = FOREST_SEED,
+                      sample: int = FOREST_SAMPLE) -> int:
+    """Fits the anomaly report's forest on a range of reports and stores it as the next
+    version of the model table at ``path``; returns the version."""
+    inputs = features.model_inputs(features.sensor_zscores(sensors, start, end)).select("id", *MODEL_INPUTS)
+    model = forest_model.fit_forest(inputs, "id", MODEL_INPUTS, trees, sample, contamination, seed, trained_on=f"{start} to {end}")
+    return forest_model.save_forest(sensors.sparkSession, model, path)
+
+
+def stored_model_scores(sensors: DataFrame, start: str, end: str, path: str, version: int | None = None) -> DataFrame:
+    """``anomaly_scores`` of a range of reports by a stored forest: one pass, nothing is fitted."""
+    model = forest_model.load_forest(sensors.sparkSession, path, version)
+    return forest_model.score_with(features.model_inputs(features.sensor_zscores(sensors, start, end)), model, SCORED_COLUMNS)
+
+
 def sensor_anomaly_detection(sensors: DataFrame, start: str, end: str, output_path: str | None = None,
-                             z_threshold: float = rules.Z_THRESHOLD, **forest_args) -> DataFrame:
+                             z_threshold: float = rules.Z_THRESHOLD, model_path: str | None = None,
+                             **forest_args) -> DataFrame:
     """Hybrid detection: |z| flags over 7-report windows plus the isolation forest,
-    with a global flag, reason text and chart category per report."""
-    scored = anomaly_scores(sensors, start, end, **forest_args)
+    with a global flag, reason text and chart category per report.
+
+    The forest is fitted on the same reports, as in the source, or with ``model_path``
+    read from the latest version stored there."""
+    if model_path:
+        scored = stored_model_scores(sensors, start, end, model_path)
+    else:
+        scored = anomaly_scores(sensors, start, end, **forest_args)
     flagged = rules.zscore_flags(scored, z_threshold).withColumn(
         "is_ml_anomaly", (F.col("ml_anomaly_pred") == -1).cast("int"))
     out = rules.explain_anomalies(flagged).select(*ANOMALY_COLUMNS)

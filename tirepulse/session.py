@@ -60,14 +60,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written as Parquet in the shared checkpoint folder and read again
     (reads are pruned to the columns they need), with the folder's path."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any file system that Spark reads."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes a folder made by ``stored``."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
