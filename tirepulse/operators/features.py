@@ -37,15 +37,13 @@ def _slope(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column) -> Colum
     return F.when(denom == 0, F.lit(0.0)).otherwise((n * sxy - sx * sy) / denom)
 
 
-def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
-                    block_rows: int = DEFAULT_BLOCK_ROWS,
-                    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
-    """Per sensor report: 7-report slopes, variation, day-over-day deltas, duration indices.
+def day_origin(sensors: DataFrame) -> Column:
+    """The earliest report date of the whole table (not the filtered range), as a scalar subquery."""
+    return sensors.agg(F.to_date(F.min(TS))).scalar()
 
-    ``day_num`` counts days from the earliest report date of the whole table
-    (not the filtered range); it is a scalar subquery.
-    """
-    origin = sensors.agg(F.to_date(F.min(TS))).scalar()
+
+def sensor_daily(sensors: DataFrame, start: str, end: str, origin: Column) -> DataFrame:
+    """The reports of a range in the columns that the trend windows and rules read."""
     daily = report_window(sensors, start, end).select(
         "id", "wheel_position", "wheel_id", "sensor_id", "vehicle_id",
         report_date().alias("report_date"),
@@ -55,14 +53,17 @@ def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
         "level_3_low_cold_pressure_dur", "level_3_low_cold_pressure_cnt",
         F.datediff(report_date(), origin).cast("bigint").alias("day_num"))
     x = F.col("day_num")
-    daily = daily.withColumns({
+    return daily.withColumns({
         # float x float stays float, as in the source engine (bigint x float = float)
         "_xy_cold": x.cast("float") * F.col("cold_pressure_avg"),
         "_xy_temp": x.cast("float") * F.col("temperature_avg"),
         "_xx": x * x,
     })
-    # The names are columns of the report's output.
-    spec = RollingSpec(
+
+
+def trend_spec(rows: int = 7) -> RollingSpec:
+    """Frames and lags of the trend features. The names are columns of the report's output."""
+    return RollingSpec(
         aggs={
             "sum_y_cold": ("sum", "cold_pressure_avg"),
             "sum_y_temp": ("sum", "temperature_avg"),
@@ -77,8 +78,22 @@ def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
         lags={"prev_cold": "cold_pressure_avg", "prev_temp": "temperature_avg",
               "prev_hot": "hot_pressure_avg", "prev_date": "report_date"},
         rows=rows)
-    r = rolling(daily, spec, hot_key_rows=hot_key_rows, block_rows=block_rows)
 
+
+def sensor_features(sensors: DataFrame, start: str, end: str, rows: int = 7,
+                    block_rows: int = DEFAULT_BLOCK_ROWS,
+                    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+    """Per sensor report: 7-report slopes, variation, day-over-day deltas, duration indices.
+
+    ``day_num`` counts days from the earliest report date of the whole table
+    (not the filtered range); it is a scalar subquery.
+    """
+    daily = sensor_daily(sensors, start, end, day_origin(sensors))
+    return trend_features(rolling(daily, trend_spec(rows), hot_key_rows=hot_key_rows, block_rows=block_rows))
+
+
+def trend_features(r: DataFrame) -> DataFrame:
+    """Slopes, deltas and ratios from the windows of ``trend_spec``."""
     # One projection for everything derived from the window (fewer plan nodes
     # to analyse; Catalyst collapses and deduplicates the expressions anyway).
     c = F.col
@@ -169,15 +184,20 @@ def critical_durations(sensors: DataFrame, start: str, end: str) -> DataFrame:
           for name, m in CRITICAL.items()])
 
 
-def rolling_stats(sensors: DataFrame, start: str, end: str, rows: int = 7,
-                  block_rows: int = DEFAULT_BLOCK_ROWS,
-                  hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
-    """Moving mean and sample stddev over the last ``rows`` reports of each sensor."""
+def stats_spec(rows: int = 7) -> RollingSpec:
+    """Moving mean and sample stddev of the three readings and the critical temperature time."""
     aggs = {}
     for short, c in READINGS.items():
         aggs[f"ma_{short}"] = ("avg", c)
         aggs[f"sd_{short}"] = ("stddev", c)
-    return rolling(critical_durations(sensors, start, end), RollingSpec(aggs=aggs, rows=rows),
+    return RollingSpec(aggs=aggs, rows=rows)
+
+
+def rolling_stats(sensors: DataFrame, start: str, end: str, rows: int = 7,
+                  block_rows: int = DEFAULT_BLOCK_ROWS,
+                  hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+    """Moving mean and sample stddev over the last ``rows`` reports of each sensor."""
+    return rolling(critical_durations(sensors, start, end), stats_spec(rows),
                    hot_key_rows=hot_key_rows, block_rows=block_rows)
 
 

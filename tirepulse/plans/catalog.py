@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tirepulse.operators import explore, forest, kpis, rules
+from tirepulse.operators import explore, forest, kpis, rules, window_state
 from tirepulse.operators import features as feat
 from tirepulse.plans import reports
 from tirepulse.session import discard, discard_at_exit, shared_folder, stored
@@ -288,6 +288,41 @@ def _q_scaled(sensors, devices):
     return feat.scaled_features(feat.feature_matrix(feat.sensor_zscores(sensors, S, E)))
 
 
+# ----------------------------- windows in runs -----------------------------
+
+# The reports arrive in three runs; of the first run's reports, those whose id is
+# divisible by 17 come a run late.
+RUN_ENDS = ["2024-01-10", "2024-01-20", E]
+LATE_EVERY = 17
+
+
+def _in_runs(daily, spec, name):
+    """Windows of ``daily`` computed run by run with the state of the runs before."""
+    spark = daily.sparkSession
+    folder = shared_folder(spark, name)
+    discard_at_exit(spark, folder)
+    first, second = (F.col("report_date") <= F.lit(d).cast("date") for d in RUN_ENDS[:2])
+    late = F.col("id") % LATE_EVERY == 0
+    run = F.when(first & ~late, 1).when(second, 2).otherwise(3)
+    for k in range(1, len(RUN_ENDS) + 1):
+        window_state.run_windows(daily.filter(run == k), daily.filter(run < k), folder, spec)
+    return window_state.latest_results(spark, folder)
+
+
+@register("incremental_rolling_stats")
+def _q_incremental_stats(sensors, devices):
+    """The moving means and deviations, computed in three runs, the second with late reports."""
+    r = _in_runs(feat.critical_durations(sensors, S, E), feat.stats_spec(), "incremental-stats")
+    return r.select(*ZKEYS, *[c for c in r.columns if c[:3] in ("ma_", "sd_")])
+
+
+@register("incremental_sensor_features")
+def _q_incremental_features(sensors, devices):
+    """All trend features, computed in three runs, the second with late reports."""
+    daily = feat.sensor_daily(sensors, S, E, feat.day_origin(sensors))
+    return feat.trend_features(_in_runs(daily, feat.trend_spec(), "incremental-features"))
+
+
 # ----------------------------- exploration -----------------------------
 
 
