@@ -20,7 +20,7 @@ from tirepulse.operators import explore, forest, kpis, rules, window_state
 from tirepulse.operators import features as feat
 from tirepulse.plans import reports
 from tirepulse.session import discard, discard_at_exit, shared_folder, stored
-from tirepulse.sources import ingest
+from tirepulse.sources import ingest, upsert
 from tirepulse.sources.fixtures import REPORT_END, REPORT_START, load_reports
 from tirepulse.sources.schema import METRICS, SENSOR_SCHEMA
 
@@ -417,6 +417,31 @@ def _q_ingest_typed(sensors, devices):
     return ingest.typed(raw, SENSOR_SCHEMA)
 
 
+# Deliveries after the first one, by id: corrections (a later update), stale versions
+# (an earlier one), reports moved to the next month, and reports sent again as they were.
+CORRECTED, STALE, MOVED, AGAIN = (10, 3), (10, 4), (50, 7), (10, 6)
+
+
+@register("upserted_reports")
+def _q_upserted(sensors, devices):
+    """The stored report table after a delivery, a delivery of corrections, and that one once more."""
+    spark = sensors.sparkSession
+    path = shared_folder(spark, "upserted-reports")
+    discard_at_exit(spark, path)
+    of = lambda rule: F.col("id") % rule[0] == rule[1]
+    later, earlier = F.expr("updated_at + INTERVAL 1 DAY"), F.expr("updated_at - INTERVAL 1 DAY")
+    second = sensors.filter(of(CORRECTED) | of(STALE) | of(MOVED) | of(AGAIN)).withColumns({
+        "temperature_avg": F.when(of(CORRECTED) | of(STALE), F.col("temperature_avg") + F.lit(5.0).cast("float")).otherwise(F.col("temperature_avg")),
+        "report_start_at": F.when(of(MOVED), F.expr("report_start_at + INTERVAL 31 DAYS")).otherwise(F.col("report_start_at")),
+        "updated_at": F.when(of(STALE), earlier).when(of(CORRECTED) | of(MOVED), later).otherwise(F.col("updated_at"))})
+    upsert.merge_reports(spark, sensors, path)
+    upsert.merge_reports(spark, second, path)
+    again = upsert.merge_reports(spark, second, path)
+    if again.changed:
+        raise RuntimeError("a delivery that was merged before has changed the table")
+    return spark.read.parquet(path).select("id", "sensor_id", "vehicle_id", "temperature_avg", "report_start_at", "updated_at", "report_month")
+
+
 @register("isolation_scores")
 def _q_isolation(sensors, devices):
     """Isolation-forest score and -1/1 verdict per report."""
