@@ -15,8 +15,9 @@ stand, therefore share an offset at which both have a cover position, and the
 3. The windows of the other runs (first copies, and ends of matches) are
    compared one by one over all their words.
 
-Sequences are compared by 96 bits of two independent hashes of all their words.
-Anchors carry 48 bits: a chance meeting there only costs a comparison.
+Words are told by two independent 64-bit keys (see ``textscan.word_keys``), and
+sequences by two hashes over different rings, of 64 bits modulo 2^64 and 61 bits modulo
+a prime. Anchors carry 48 bits: a chance meeting there only costs a comparison.
 
 Edge cases: null and empty texts have no words; documents shorter than a window
 keep all; a row whose doc_id is null keeps all and takes no part; rows that
@@ -38,7 +39,8 @@ from tirepulse.llm import keyed
 from tirepulse.llm import textscan as ts
 from tirepulse.llm.ship import shipped
 
-_ROWS = "key long, key2 int, doc_id long, at long, settled boolean"
+# what differs from row to row stands side by side, which the shuffle compresses best
+_ROWS = "key long, key2 long, at long, doc_id long, settled boolean"
 
 
 @dataclass(frozen=True)
@@ -62,9 +64,8 @@ class _Words:
         self.start, self.end = ts.runs(ts.SOLID_BYTES[data], cut)
         self.first = np.searchsorted(self.start, cut)
         self.count = np.diff(self.first)
-        self.hash = ts.word_hashes(data, self.start, self.end, 1)
+        self.hash, self._second = ts.word_keys(data, self.start, self.end)
         self._one = ts.Prefix(self.hash)
-        self._data = data
         self._two = None
 
     def key(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -72,15 +73,14 @@ class _Words:
 
     def key2(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         if self._two is None:
-            self._two = ts.Prefix(ts.word_hashes(self._data, self.start, self.end, 2))
-        return self._two.of(lo, hi) >> np.uint64(32)
+            self._two = ts.Ring(self._second)
+        return self._two.of(lo, hi)
 
 
 def _rows(key, key2, doc, at, settled) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), pa.array(key2.astype(np.uint32).view(np.int32)), pa.array(doc), pa.array(at),
-         pa.array(settled)],
-        ["key", "key2", "doc_id", "at", "settled"])
+        [pa.array(key.view(np.int64)), pa.array(key2.view(np.int64)), pa.array(at), pa.array(doc), pa.array(settled)],
+        ["key", "key2", "at", "doc_id", "settled"])
 
 
 def _anchors(params: CoverParams):
@@ -101,16 +101,16 @@ def _anchors(params: CoverParams):
                 _, index, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
                 settled = count[inverse] > 1                   # repeated within the slice
                 later = settled & (index[inverse] != np.arange(at.size))
-                key = np.where(later, keyed.spread(doc, place[at]), key) >> np.uint64(16)
+                key = np.where(later, keyed.spread(doc, place[at]), key) & ~np.uint64(0xFFFF)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(doc), pa.array(place[at] << 1 | settled)],
-                    ["key", "doc_id", "at"])
+                    [pa.array(key.view(np.int64)), pa.array(place[at] << 1 | settled), pa.array(doc)],
+                    ["key", "at", "doc_id"])
     return run
 
 
 def _repeated(batches):
     """(doc_id, at) of anchors whose hash occurs more than once."""
-    key, doc, at = keyed.collected(batches, 0, 1, 2)
+    key, at, doc = keyed.collected(batches, 0, 1, 2)
     order = np.argsort(key)
     key = key[order]
     same = np.zeros(key.size, bool)
@@ -176,7 +176,7 @@ def _runs(params: CoverParams):
 def _verdicts(batches):
     """(doc_id, at, covered) of each run: whether it also stands at an earlier place."""
     table = list(batches)
-    key, key2, doc, at = (np.concatenate([keyed.ids(b.column(c)) for b in table]) if table else np.zeros(0, np.int64)
+    key, key2, at, doc = (np.concatenate([keyed.ids(b.column(c)) for b in table]) if table else np.zeros(0, np.int64)
                           for c in range(4))
     settled = np.concatenate([b.column(4).to_numpy(zero_copy_only=False) for b in table]) if table else np.zeros(0, bool)
     covered = settled.astype(bool)
@@ -250,7 +250,7 @@ def remove_repeats(docs: DataFrame, params: CoverParams = CoverParams()) -> Data
     shipped(docs.sparkSession)
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     placed = texts.filter("doc_id IS NOT NULL")        # one shuffle by doc_id serves the joins below
-    anchors = placed.mapInArrow(_anchors(params), "key long, doc_id long, at long")
+    anchors = placed.mapInArrow(_anchors(params), "key long, at long, doc_id long")
     repeated = anchors.repartition("key").mapInArrow(_repeated, "doc_id long, at long")
     lists = repeated.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
     runs = placed.join(lists, "doc_id").select("doc_id", "text", "ats").mapInArrow(_runs(params), _ROWS)

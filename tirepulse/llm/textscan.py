@@ -5,10 +5,17 @@ pieces of a few megabytes (whole documents only), so the memory of a task is
 bounded by ``SLICE_BYTES`` or by its longest document. ``runs`` finds words
 as maximal runs of member bytes, ``Prefix`` gives the 64-bit polynomial hash of
 any byte or word range in constant time.
+
+``Prefix`` works modulo 2^64, where some long sequences of two values (Thue-Morse
+words of 1,024 letters) meet whatever the values. Where equal hashes decide a
+result, words are told by ``word_keys`` (their very bytes, or a cryptographic
+digest of long ones) and sequences also by ``Ring``, modulo the prime 2^61 - 1.
 """
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,6 +127,98 @@ class Prefix:
         return mix((self.sums[end] - self.sums[start]) * _INVERSES[start] + (end - start).astype(np.uint64))
 
 
+# ---------------------------------------------------------------- words told exactly
+
+PACKED = 16                                # longest word whose bytes fit two 64-bit numbers
+
+
+def packed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first 16 bytes of each word as two 64-bit numbers; shorter words are filled up with zeros."""
+    room = np.concatenate([data, np.zeros(PACKED, np.uint8)])
+    eight = np.ndarray((room.size - 7,), "<u8", room, strides=(1,))      # the 8 bytes from every place on
+    keep = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    size = end - start
+    return eight[start] & keep[np.minimum(size, 8)], eight[np.minimum(start + 8, room.size - 8)] & keep[np.clip(size - 8, 0, 8)]
+
+
+def word_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit keys of each word: mixed bytes of short words, digests of longer ones."""
+    one, two = packed(data, start, end)
+    size = (end - start).astype(np.uint64)
+    first = mix(one ^ mix(two + size * np.uint64(_BASE)))
+    second = mix(two ^ mix(one * np.uint64(0xD6E8FEB86659FD93) + ~size))
+    raw = None
+    for k in np.flatnonzero(end - start > PACKED).tolist():
+        raw = data.tobytes() if raw is None else raw
+        digest = hashlib.blake2b(raw[start[k]:end[k]], digest_size=16).digest()
+        first[k], second[k] = np.frombuffer(digest, "<u8")
+    return first, second
+
+
+# ---------------------------------------------------------------- sequences modulo 2**61 - 1
+
+_PRIME = (1 << 61) - 1
+_RING_BASE = 0x0B4E13F7A9C26D58
+_RING_INVERSE = pow(_RING_BASE, _PRIME - 2, _PRIME)
+_RING_POWERS = np.ones(1, np.uint64)
+_RING_INVERSES = np.ones(1, np.uint64)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x >> np.uint64(61)) + (x & np.uint64(_PRIME))
+    return np.where(x >= np.uint64(_PRIME), x - np.uint64(_PRIME), x)
+
+
+def ring_product(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
+    """a * b modulo 2**61 - 1 of numbers below it, by halves of 31 bits."""
+    half, low = np.uint64(31), np.uint64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    middle = a0 * b1 + a1 * b0
+    return _reduced(a1 * b1 * np.uint64(2) + (middle >> np.uint64(30)) + ((middle & np.uint64((1 << 30) - 1)) << half) + a0 * b0)
+
+
+def _ring_grow(n: int) -> None:
+    while _RING_POWERS.size < n:
+        for name, base in (("_RING_POWERS", _RING_BASE), ("_RING_INVERSES", _RING_INVERSE)):
+            have = globals()[name]
+            globals()[name] = np.concatenate([have, ring_product(have, np.uint64(pow(base, have.size, _PRIME)))])
+
+
+class Ring:
+    """Polynomial hashes of any range of a sequence of 64-bit values, modulo 2**61 - 1."""
+
+    def __init__(self, values: np.ndarray):
+        n = values.size
+        _ring_grow(n + 1)
+        terms = ring_product(_reduced(values), _RING_POWERS[:n])
+        low = np.cumsum(terms & np.uint64(0xFFFFFFFF), dtype=np.uint64)
+        high = np.cumsum(terms >> np.uint64(32), dtype=np.uint64)
+        self.sums = np.zeros(n + 1, np.uint64)
+        self.sums[1:] = _reduced(ring_product(_reduced(high), np.uint64(1 << 32)) + _reduced(low))
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of each range; equal content gives equal hashes wherever it stands."""
+        own = _reduced(self.sums[end] + np.uint64(_PRIME) - self.sums[start])
+        return mix(ring_product(own, _RING_INVERSES[start]) + (end - start).astype(np.uint64) * np.uint64(_BASE))
+
+
+# ---------------------------------------------------------------- memory between tasks
+
+def released(run):
+    """An Arrow function that gives freed memory back to the system when its task ends, so
+    that idle workers stay small while other stages need the executor's memory."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):        # another C library
+                pass
+    return task
+
+
 _VALUES = {s: byte_values(s) for s in (1, 2)}
 
 

@@ -4,8 +4,9 @@ The tokenizer drops white space and never merges across it, so a text's ids are
 the ids of its pieces in a row. Pieces are white-space separated chunks, cut
 further where that is certain not to change a thing: between letters, single
 digits and punctuation of a chunk of plain characters. Each distinct piece is
-encoded once per worker (``cache_pieces`` are kept) and looked up by a 128-bit
-hash afterwards. Chunks with an apostrophe, '<', or a character outside ASCII
+encoded once per worker (``cache_pieces`` are kept) and looked up afterwards by a
+hash of its bytes, which are compared with those of the piece found; pieces over 16
+bytes are looked up as they are. Chunks with an apostrophe, '<', or a character outside ASCII
 and the Latin-1 letters are encoded as a whole.
 """
 
@@ -80,8 +81,11 @@ class PieceEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.known = np.zeros(0, np.uint64)
+        self.one, self.two, self.size = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.at, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.others: dict[bytes, tuple[int, int]] = {}
+        self.others_bytes = 0
         self.pool = np.zeros(0, np.uint32)
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,38 +117,61 @@ class PieceEncoder:
         at[order] = np.cumsum(length[order]) - length[order]
         return np.concatenate(ids) if ids else np.zeros(0, np.uint32), at, length
 
-    def _find(self, h: np.ndarray, check: np.ndarray):
-        place = np.minimum(np.searchsorted(self.known, h), max(0, self.known.size - 1))
-        if not self.known.size:
-            return place, np.zeros(h.size, bool)
-        return place, (self.known[place] == h) & (self.check[place] == check)
+    def _add(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes pieces into the pool: where each one's ids begin and how many they are."""
+        ids, at, length = self._encode(words)
+        at += self.pool.size
+        self.pool = np.concatenate([self.pool, ids])
+        return at, length
+
+    def _short(self, text: bytes, h, one, two, start, end):
+        """Place and number of ids of each piece of up to 16 bytes, and where a hash met other bytes."""
+        distinct, index, inverse = np.unique(h, return_index=True, return_inverse=True)     # sorted
+        size = end - start
+        own = (one[index], two[index], size[index])
+        place = np.minimum(np.searchsorted(self.known, distinct), max(0, self.known.size - 1))
+        there = self.known[place] == distinct if self.known.size else np.zeros(distinct.size, bool)
+        missing = index[~there]
+        if missing.size:
+            at, length = self._add([text[s:e].decode() for s, e in zip(start[missing].tolist(), end[missing].tolist())])
+            to = np.searchsorted(self.known, h[missing])
+            for name, new in (("known", h[missing]), ("one", one[missing]), ("two", two[missing]), ("size", size[missing]),
+                              ("at", at), ("length", length)):
+                setattr(self, name, np.insert(getattr(self, name), to, new))
+            place = np.searchsorted(self.known, distinct)
+        same = (self.one[place] == own[0]) & (self.two[place] == own[1]) & (self.size[place] == own[2])
+        odd = ~same[inverse] | (one != own[0][inverse]) | (two != own[1][inverse]) | (size != own[2][inverse])
+        return self.at[place][inverse], self.length[place][inverse], odd
+
+    def _other(self, text: bytes, start, end):
+        """Place and number of ids of each of some pieces, looked up by their bytes."""
+        words = [text[s:e] for s, e in zip(start.tolist(), end.tolist())]
+        fresh = [w for w in dict.fromkeys(words) if w not in self.others]
+        if fresh:
+            at, length = self._add([w.decode() for w in fresh])
+            self.others |= dict(zip(fresh, zip(at.tolist(), length.tolist())))
+            self.others_bytes += sum(map(len, fresh))
+        return np.array([self.others[w] for w in words], np.int64).reshape(-1, 2).T
 
     def encode(self, data: np.ndarray, cut: np.ndarray, last_id: int):
         """Ids of all documents in a row, each closed by ``last_id``; each
         document's first id (and the end); ends of sentences among the ids."""
         low, start, end = pieces(data, cut)
         first = np.searchsorted(start, cut)
-        h1, h2 = ts.word_hashes(low, start, end, 1), ts.word_hashes(low, start, end, 2)
-        distinct, index, inverse = np.unique(h1, return_index=True, return_inverse=True)     # sorted
-        check = h2[index]
-        if self.known.size > self.limit:
+        if self.known.size + len(self.others) > self.limit or self.others_bytes > self.limit * 64:
             self._clear()
-        _, have = self._find(distinct, check)
-        missing = index[~have]
-        if missing.size:
-            text = low.tobytes()
-            ids, at, length = self._encode([text[s:e].decode() for s, e in zip(start[missing].tolist(), end[missing].tolist())])
-            at += self.pool.size
-            self.pool = np.concatenate([self.pool, ids])
-            new = h1[missing]                          # sorted, as ``distinct`` is
-            to = np.searchsorted(self.known, new)
-            self.known, self.check = np.insert(self.known, to, new), np.insert(self.check, to, h2[missing])
-            self.at, self.length = np.insert(self.at, to, at), np.insert(self.length, to, length)
-        place, _ = self._find(distinct, check)
-        place = place[inverse]
+        text = low.tobytes()
+        one, two = ts.packed(low, start, end)
+        h = ts.mix(one ^ ts.mix(two + (end - start).astype(np.uint64)))
+        at, length = np.zeros(start.size, np.int64), np.zeros(start.size, np.int64)
+        odd = end - start > ts.PACKED
+        short = np.flatnonzero(~odd)
+        at[short], length[short], odd[short] = self._short(text, h[short], one[short], two[short], start[short], end[short])
+        rest = np.flatnonzero(odd)
+        at[rest], length[rest] = self._other(text, start[rest], end[rest])
         # a closing piece after each document's last one
-        length = np.insert(self.length[place], first[1:], 1)
-        source = np.insert(self.at[place], first[1:], -1)
+        length = np.insert(length, first[1:], 1)
+        source = np.insert(at, first[1:], -1)
         closes = np.insert(np.isin(data[end - 1], np.frombuffer(b".!?", np.uint8)) if end.size else np.zeros(0, bool),
                            first[1:], True)
         stop = np.cumsum(length)
