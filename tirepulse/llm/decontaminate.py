@@ -7,9 +7,9 @@ Everything is DataFrame functions; there is no Python on the executors.
 2. Each window picks its ``rarest`` corpus words. A second pass stores the
    postings (term, doc_id, pos) of the picked terms as a table in the shared
    folder; a reserved term holds each document's length.
-3. For each window the posting lists of its picked terms, moved by their
-   offsets in the window, are intersected per document. What remains are places
-   where the window may start.
+3. For each window the posting list of its rarest term, moved by the term's offset
+   in the window, gives places where the window may start; the lists of its next
+   picked terms are only met for the documents that are left, and what doesn't fit is dropped.
 4. Only documents with such places are read again; a place counts if all words
    of the window stand there (phrase), or, for ``proximity``, if all of them
    stand near the rarest one in any order.
@@ -108,7 +108,7 @@ def build_index(docs: DataFrame, terms: DataFrame, params: DecontaminationParams
     return written(postings, "decontamination-index")
 
 
-def _starts(picks: DataFrame, postings: DataFrame, near: int | None) -> DataFrame:
+def _starts(picks: DataFrame, postings: DataFrame, near: int | None, rarest_terms: int) -> DataFrame:
     """(phrase, doc_id, places) after intersecting the picked terms' lists.
 
     ``near`` None: places are starts at which all picked terms fit. Otherwise
@@ -116,21 +116,18 @@ def _starts(picks: DataFrame, postings: DataFrame, near: int | None) -> DataFram
     """
     lists = (postings.filter((F.col("term") != _LENGTH) & F.col("doc_id").isNotNull())
              .groupBy("term", "doc_id").agg(F.sort_array(F.collect_set("pos")).alias("list")))
-    asked = picks.select("phrase", F.size("picked").alias("need"), F.posexplode("picked").alias("rank", "p"))
-    moved = (asked.select("phrase", "need", "rank", "p.offset", "p.term").join(lists, "term")
-             .select("phrase", "need", "rank", "doc_id",
-                     F.transform("list", lambda x: x - F.col("offset")).alias("moved") if near is None
-                     else F.col("list").alias("moved")))
-    met = (moved.groupBy("phrase", "need", "doc_id")
-           .agg(F.sort_array(F.collect_list(F.struct("rank", "moved"))).alias("lists"))
-           .filter(F.size("lists") == F.col("need")))
-    rest, first = F.slice("lists", 2, 1 << 20), F.col("lists")[0]["moved"]
-    if near is None:
-        places = F.aggregate(rest, first, lambda have, other: F.array_intersect(have, other["moved"]))
-    else:
-        places = F.filter(first, lambda x: F.forall(rest, lambda other: F.exists(
-            other["moved"], lambda y: F.abs(x - y) <= near)))
-    return met.select("phrase", "doc_id", places.alias("places")).filter(F.size("places") > 0)
+    rarest = picks.select("phrase", "picked", F.col("picked")[0]["term"].alias("term"))
+    moved = lambda k: F.transform("list", lambda x: x - F.col("picked")[k]["offset"]) if near is None else F.col("list")
+    left = rarest.join(lists, "term").select("phrase", "picked", "doc_id", moved(0).alias("places"))
+    for k in range(1, rarest_terms):
+        asked = left.withColumn("term", F.get("picked", F.lit(k))["term"])     # null if the window has no such word
+        met = asked.join(lists, ["term", "doc_id"], "left")
+        other = F.coalesce(moved(k), F.array().cast("array<int>"))
+        fits = F.array_intersect("places", other) if near is None else F.filter(
+            "places", lambda x: F.exists(other, lambda y: F.abs(x - y) <= near))
+        left = (met.select("phrase", "picked", "doc_id", F.when(F.size("picked") <= k, F.col("places")).otherwise(fits).alias("places"))
+                .filter(F.size("places") > 0))
+    return left.select("phrase", "doc_id", "places")
 
 
 def _candidate_docs(docs: DataFrame, candidates: DataFrame, params: DecontaminationParams) -> DataFrame:
@@ -153,14 +150,17 @@ def phrase_matches(docs: DataFrame, items: DataFrame, params: DecontaminationPar
                    prepared=None) -> DataFrame:
     """(doc_id, start, size, phrase) of every occurrence of a window, words counted from 0."""
     windows, picks, postings = prepared or _prepared(docs, items, params)
-    candidates = written(_starts(picks, postings, None), "decontamination-candidates")
-    held = (_candidate_docs(docs, candidates, params)
-            .select("doc_id", "w", F.explode("asked").alias("a"))
-            .select("doc_id", "a.phrase", F.size(F.split("a.phrase", " ")).alias("size"), "w", "a.places"))
-    real = F.filter("places", lambda p: (p >= 0) & (
-        F.array_join(F.slice(F.col("w"), F.greatest(p + 1, F.lit(1)), F.col("size")), " ") == F.col("phrase")))
-    return (held.select("doc_id", "phrase", "size", F.explode(real).alias("start"))
-            .select("doc_id", "start", "size", "phrase").distinct())
+    candidates = written(_starts(picks, postings, None, params.rarest), "decontamination-candidates")
+    def real(a: Column) -> Column:
+        """The window's places at which all its words stand; tested in the document's own row."""
+        size = F.size(F.split(a["phrase"], " "))
+        there = F.filter(a["places"], lambda p: (p >= 0) & (
+            F.array_join(F.slice(F.col("w"), F.greatest(p + 1, F.lit(1)), size), " ") == a["phrase"]))
+        return F.struct(a["phrase"].alias("phrase"), size.alias("size"), there.alias("starts"))
+
+    return (_candidate_docs(docs, candidates, params)
+            .select("doc_id", F.explode(F.transform("asked", real)).alias("a"))
+            .select("doc_id", F.explode("a.starts").alias("start"), "a.size", "a.phrase").distinct())
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, slop: int = 5,
@@ -169,7 +169,7 @@ def proximity_matches(docs: DataFrame, items: DataFrame, slop: int = 5,
     its size plus ``slop`` words to either side, all words of the window stand in any order."""
     windows, picks, postings = _prepared(docs, items, params)
     reach = params.window - 1 + slop
-    candidates = written(_starts(picks, postings, reach), "decontamination-candidates")
+    candidates = written(_starts(picks, postings, reach, params.rarest), "decontamination-candidates")
     held = (_candidate_docs(docs, candidates, params)
             .select("doc_id", "w", F.explode("asked").alias("a")).select("doc_id", "w", "a.phrase", "a.places"))
     around = lambda p: F.slice(F.col("w"), F.greatest(p - reach + 1, F.lit(1)),
@@ -199,5 +199,5 @@ def contamination(docs: DataFrame, items: DataFrame,
 def keep_clean(docs: DataFrame, items: DataFrame,
                params: DecontaminationParams = DecontaminationParams()) -> DataFrame:
     """The rows of ``docs`` in which no window of a benchmark item occurs."""
-    hit = contamination(docs, items, params).filter("n_hit > 0").select("doc_id").distinct()
+    hit = phrase_matches(docs, items, params).select("doc_id").distinct()
     return docs.join(_bounded(written(hit, "decontamination-hit"), params.broadcast_rows), "doc_id", "left_anti").select(*docs.columns)

@@ -135,7 +135,7 @@ def heavy_leads(placed: DataFrame, params: SuffixParams) -> np.ndarray:
     """Sorted hashes of the leading bytes that more than about ``bucket_rows`` elected
     positions share (the most frequent 2^20 of them; the others stay in their buckets)."""
     rate = max(1, params.bucket_rows >> 9)
-    counts = (placed.select("doc_id", "text").mapInArrow(_sampled_leads(params, rate), "key long")
+    counts = (placed.select("doc_id", "text").mapInArrow(ts.released(_sampled_leads(params, rate)), "key long")
               .groupBy("key").count().filter(F.col("count") * rate > params.bucket_rows))
     top = counts.orderBy(F.desc("count"), "key").limit(_HEAVY).select("key").collect()
     return np.sort(np.array([r["key"] for r in top], np.int64).view(np.uint64))
@@ -476,17 +476,17 @@ def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), carry
     placed = texts.filter("doc_id IS NOT NULL")       # one shuffle by doc_id serves both joins below
     firsts = (placed.groupBy(F.sha2("text", 256).alias("digest"))
               .agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
-    elected = placed.select("doc_id", "text").mapInArrow(_elected_rows(params), "key long, doc_id long, at long")
-    repeated = elected.repartition("key").mapInArrow(_repeated_rows, "doc_id long, at long")
+    elected = placed.select("doc_id", "text").mapInArrow(ts.released(_elected_rows(params)), "key long, doc_id long, at long")
+    repeated = elected.repartition("key").mapInArrow(ts.released(_repeated_rows), "doc_id long, at long")
     lists = (repeated.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
              .join(firsts, "doc_id", "left_semi"))    # a copy of an earlier text is covered already
     heavy = heavy_leads(placed, params)
     suffixes = (placed.join(lists, "doc_id").select("doc_id", "text", "ats", "row")
-                .mapInArrow(_suffix_rows(params, heavy), "lead binary, context binary, doc_id long, at long, kind byte"))
+                .mapInArrow(ts.released(_suffix_rows(params, heavy)), "lead binary, context binary, doc_id long, at long, kind byte"))
     found = suffixes.repartitionByRange("lead").mapInArrow(
-        _spans(params), "key long, key2 long, doc_id long, start long, end long, settled boolean")
+        ts.released(_spans(params)), "key long, key2 long, doc_id long, start long, end long, settled boolean")
     if heavy.size:
-        found = found.repartition("key").mapInArrow(_verdicts, "doc_id long, start long, end long")
+        found = found.repartition("key").mapInArrow(ts.released(_verdicts), "doc_id long, start long, end long")
     spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     ready = (placed.join(firsts.withColumn("first", F.lit(True)), "doc_id", "left").join(spans, "doc_id", "left")
@@ -494,7 +494,7 @@ def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), carry
     unplaced = (texts.filter("doc_id IS NULL")
                 .select("doc_id", "text", F.lit(False).alias("copy"), none.alias("spans"), "row"))
     schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, row {texts.schema['row'].dataType.simpleString()}"
-    return ready.union(unplaced).mapInArrow(_removed(params.window), schema)
+    return ready.union(unplaced).mapInArrow(ts.released(_removed(params.window)), schema)
 
 
 def keep_first_text(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
