@@ -259,6 +259,38 @@ def test_nearest_awkward_rows(spark):
     assert collision_ann.nearest(df.limit(0), F.lit(True)).collect() == []
 
 
+def test_nearest_of_vectors_whose_squares_vanish_or_overflow(spark):
+    rows = [(20 * k, [x * 1e-200, 1e-200], 0) for k, x in enumerate((1.0, 2.0, 3.0))] + [(1, [-1e-200, 0.0], 0)]
+    schema = "vec_id long, embedding array<double>, label int"
+    out = collision_ann.nearest(spark.createDataFrame(rows, schema), F.col("vec_id") % 20 == 0).collect()
+    assert len(out) == 9 and {r.score for r in out} == {0.0, -0.0}            # all products vanish: ties by id
+    huge = [(v, [x * 1e200 for x in e], lab) for v, e, lab in rows]
+    out = collision_ann.nearest(spark.createDataFrame(huge, schema), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in out] == [(40, 4.0), (20, 3.0), (1, -1.0)]
+    big = [(v, [x * 1e300 for x in e], lab) for v, e, lab in huge[:3]] + [(1, [1.0, 0.0], 0)]
+    assert collision_ann.nearest(spark.createDataFrame(big, schema), F.col("vec_id") == 0).count() == 3
+
+
+def test_windows_expand_over_blocks_of_any_size():
+    """Candidates collide on enough lines, no other vector does; one path for small and large blocks."""
+    rng = np.random.default_rng(8)
+    for n in (30, 500, 3000):
+        vectors = rng.normal(size=(n, 16))
+        longest = float(np.sqrt((vectors ** 2).sum(axis=1).max()))
+        p = collision_ann.CollisionParams(k=2, verified=0.1)
+        index = collision_ann.BlockIndex(vectors, longest, p)
+        compared = 0
+        for q, rows in index.candidates(vectors[:20]):
+            assert min(n, 20 + n // 10) <= rows.size <= n
+            compared += rows.size
+            centre, gap = index._centres(vectors[q:q + 1])[0], np.sqrt(np.maximum(longest ** 2 - (vectors ** 2).sum(axis=1), 0))
+            away = np.abs(vectors @ index.lines[:-1] + gap[:, None] * index.lines[-1] - centre)
+            # the windows' half width at which this many vectors collide on enough lines
+            reach = np.sort(away, axis=1)[:, int(np.ceil(p.threshold * p.lines)) - 1]
+            assert set(rows.tolist()) == set(np.argsort(reach, kind="stable")[:rows.size].tolist())
+        assert n < 500 or compared < 0.4 * 20 * n
+
+
 # ---------------------------------------------------------------- the pipeline
 
 

@@ -3,10 +3,11 @@
 Each of ``lines`` random projections keeps one sorted array of the vectors'
 values. A query's window on a line is centred at the query's own value; virtual
 rehashing widens the windows by a factor at a time over the same arrays, so
-there are no buckets to rebuild. A vector collides on a line once its value
-lies in the window. Vectors that collide on at least ``threshold`` of the lines
-are candidates; windows stop widening when a query has ``verified`` of the
-block's vectors as candidates, and only these are compared with it exactly.
+there are no buckets to rebuild. Only the vectors that a window newly reaches, on
+either side, are counted in a round. A vector that was met on at least
+``threshold`` of the lines is a candidate; windows stop widening when a query
+has 10 ``k`` and a share ``verified`` of the block's vectors as candidates, and
+only these are compared with it exactly. This holds for blocks of any size.
 
 The measure is the inner product. Every vector gets one more component that
 brings it to the largest norm, which turns nearest by distance into largest by
@@ -15,7 +16,9 @@ the original ones.
 
 Vectors are dealt to blocks by a hash of their id, and queries to chunks; a
 task handles one block against one chunk, both of bounded size. The best of
-each block are merged. Every vector is indexed, every block is asked.
+each block are merged. Every vector is indexed, every block is asked. For the
+lines, all components are divided by the table's largest one, so that
+their squares neither overflow nor vanish together.
 
 Edge cases: vectors that are null, empty or zero, or hold a null or a
 non-finite component, take no part, nor do rows without vec_id; shorter
@@ -42,55 +45,65 @@ class CollisionParams:
     k: int = 20
     lines: int = 64
     threshold: float = 0.6            # share of the lines on which a candidate collides
-    verified: float = 0.3            # share of a block's vectors, 50 k at least, that are compared exactly
-    first_width: float = 0.5          # half of the first window, in standard deviations of the projections
-    widen: float = 1.15
+    verified: float = 0.25           # share of a block's vectors that is compared exactly, beside 10 k of them
+    first_width: float = 0.65         # half of the first window, in standard deviations of the projections
+    widen: float = 1.08
     block_rows: int = 16384
-    chunk_rows: int = 4096
+    chunk_rows: int = 32768
     seed: int = 11
 
 
 class BlockIndex:
-    """Sorted projections of one block of vectors."""
-
-    def __init__(self, vectors: np.ndarray, longest: float, params: CollisionParams):
-        self.params, self.vectors = params, vectors
-        lines = np.random.default_rng(params.seed).standard_normal((vectors.shape[1] + 1, params.lines))
-        self.lines = lines
-        gap = np.sqrt(np.maximum(longest ** 2 - (vectors ** 2).sum(axis=1), 0))
-        values = vectors @ lines[:-1] + gap[:, None] * lines[-1]
-        order = np.argsort(values, axis=0, kind="stable").T
-        self.values = np.ascontiguousarray(np.sort(values, axis=0).T)
-        kind = np.uint16 if len(vectors) < 1 << 16 else np.uint32
-        self.rank = np.empty(order.shape, kind)       # place of each vector in each sorted array
-        np.put_along_axis(self.rank, order, np.arange(len(vectors), dtype=kind)[None, :], axis=1)
-        self.longest = longest
+    """Sorted projections of one block of vectors; ``longest`` and ``peak`` are the largest
+    norm and component of the whole table, the norm that of components divided by ``peak``."""
+
+    def __init__(self, vectors: np.ndarray, longest: float, params: CollisionParams, peak: float = 1.0):
+        self.params, self.vectors, self.longest, self.peak = params, vectors, longest, peak
+        self.lines = np.random.default_rng(params.seed).standard_normal((vectors.shape[1] + 1, params.lines))
+        own = vectors / peak
+        gap = np.sqrt(np.maximum(longest ** 2 - (own ** 2).sum(axis=1), 0))
+        values = own @ self.lines[:-1] + gap[:, None] * self.lines[-1]
+        self.order = np.ascontiguousarray(np.argsort(values, axis=0, kind="stable").T)       # rows by value, a line each
+        self.values = np.ascontiguousarray(np.take_along_axis(values, self.order.T, axis=0).T)
+
+    def _centres(self, queries: np.ndarray) -> np.ndarray:
+        """Values of the queries on the lines, brought to the largest norm."""
+        own = queries / np.abs(queries).max(axis=1, keepdims=True)
+        return (own * (self.longest / np.sqrt((own ** 2).sum(axis=1)))[:, None]) @ self.lines[:-1]
 
     def candidates(self, queries: np.ndarray):
         """Yields (query, candidate rows) of each query."""
+        for lo in range(0, queries.shape[0], 1024):
+            for q, rows in self._some_candidates(queries[lo:lo + 1024]):
+                yield lo + q, rows
+
+    def _some_candidates(self, queries: np.ndarray):
         p, n = self.params, self.vectors.shape[0]
-        need = min(n, max(50 * p.k, int(p.verified * n)) + 1)
+        need = min(n, 10 * p.k + int(p.verified * n))
         least = max(1, int(np.ceil(p.threshold * p.lines)))
-        norms = np.sqrt((queries ** 2).sum(axis=1))
-        centre = (queries * (self.longest / norms)[:, None]) @ self.lines[:-1]
+        centre = self._centres(queries)
         half = p.first_width * (float(np.std(self.values)) or 1.0)
-        kind, waiting = self.rank.dtype, np.arange(queries.shape[0])
+        waiting = np.arange(queries.shape[0])
+        met = np.zeros((queries.shape[0], n), np.uint8 if p.lines < 256 else np.uint16)
+        low = high = None
         while waiting.size:
-            low, high = (np.stack([np.searchsorted(v, c + edge, side=side) for v, c in zip(self.values, centre[waiting].T)])
-                         for edge, side in ((-half, "left"), (half, "right")))
-            # a rank from low to below high: the unsigned difference is below the width
-            width = np.minimum(high - low, np.iinfo(kind).max).astype(kind)
-            whole = (low == 0).all(axis=0) & (high == n).all(axis=0)
-            low = low.astype(kind)
+            edges = [np.stack([np.searchsorted(v, c + edge, side=side) for v, c in zip(self.values, centre[waiting].T)])
+                     for edge, side in ((-half, "left"), (half, "right"))]
+            start = [edges[0], edges[0]] if low is None else [low, high]                     # nothing reached so far
             again = []
             for i, q in enumerate(waiting.tolist()):
-                met = (self.rank - low[:, i, None]) < width[:, i, None]
-                rows = np.flatnonzero(np.add.reduce(met.view(np.uint8), axis=0, dtype=np.uint8) >= least)
-                if rows.size >= need or whole[i]:
+                a, b = edges[0][:, i].tolist(), edges[1][:, i].tolist()
+                was, till = start[0][:, i].tolist(), start[1][:, i].tolist()
+                fresh = np.concatenate([part for line, x, y, u, v in zip(self.order, a, b, was, till)
+                                        for part in (line[x:u], line[v:y])])
+                met[q] += np.bincount(fresh, minlength=n).astype(met.dtype)
+                rows = np.flatnonzero(met[q] >= least)
+                if rows.size >= need or fresh.size == 0 and not any(a) and min(b) == n:
                     yield q, rows
                 else:
-                    again.append(q)
-            waiting = np.array(again, np.int64)
+                    again.append(i)
+            low, high = edges[0][:, again], edges[1][:, again]
+            waiting = waiting[again]
             half *= p.widen
 
     def search(self, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray):
@@ -98,6 +111,10 @@ class BlockIndex:
         out = []
         for q, rows in self.candidates(queries):
             rows = rows[ids[rows] != query_ids[q]]
+            near = np.einsum("ij,j->i", self.vectors[rows], queries[q])
+            if rows.size > 2 * self.params.k:          # those that can be among the best whatever the order of summation
+                cut = np.partition(near, -2 * self.params.k)[-2 * self.params.k]
+                rows = rows[near >= cut - 1e-9 * np.abs(near).max()]
             score = (self.vectors[rows] * queries[q]).sum(axis=1)
             best = np.lexsort((ids[rows], -score))[:self.params.k]
             out.append((np.full(best.size, query_ids[q]), ids[rows[best]], score[best]))
@@ -128,8 +145,10 @@ def nearest(table: DataFrame, queries: Column, column: str = "embedding",
     shipped(table.sparkSession)
     vectors = _vectors(table, column)
     asked = vectors.filter(queries)
-    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    n, dim, longest = vectors.agg(F.count(F.lit(1)), F.max(F.size("vector")), F.sqrt(F.max(square))).first()
+    n, dim, peak = vectors.agg(F.count(F.lit(1)), F.max(F.size("vector")),
+                               F.max(F.array_max(F.transform("vector", F.abs)))).first()
+    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / F.lit(peak)) * (x / F.lit(peak)))
+    longest = vectors.agg(F.sqrt(F.max(square))).first()[0]
     n_asked = asked.count()
     blocks, chunks = max(1, -(-n // params.block_rows)), max(1, -(-n_asked // params.chunk_rows))
     dealt = lambda parts, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(parts)).cast("int")
@@ -143,7 +162,7 @@ def nearest(table: DataFrame, queries: Column, column: str = "embedding",
         found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         if asks.any() and not asks.all():
             order = np.argsort(ids[~asks], kind="stable")
-            index = BlockIndex(matrix[~asks][order], longest, params)
+            index = BlockIndex(matrix[~asks][order], longest, params, peak)
             found = index.search(ids[~asks][order], matrix[asks], ids[asks])
         return pa.table({"query_id": found[0], "vec_id": found[1], "score": found[2]})
 
