@@ -250,17 +250,17 @@ def remove_repeats(docs: DataFrame, params: CoverParams = CoverParams()) -> Data
     shipped(docs.sparkSession)
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     placed = texts.filter("doc_id IS NOT NULL")        # one shuffle by doc_id serves the joins below
-    anchors = placed.mapInArrow(_anchors(params), "key long, at long, doc_id long")
-    repeated = anchors.repartition("key").mapInArrow(_repeated, "doc_id long, at long")
+    anchors = placed.mapInArrow(ts.released(_anchors(params)), "key long, at long, doc_id long")
+    repeated = anchors.repartition("key").mapInArrow(ts.released(_repeated), "doc_id long, at long")
     lists = repeated.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
-    runs = placed.join(lists, "doc_id").select("doc_id", "text", "ats").mapInArrow(_runs(params), _ROWS)
-    verdicts = runs.repartition("key").mapInArrow(_verdicts, "doc_id long, at long, covered boolean")
+    runs = placed.join(lists, "doc_id").select("doc_id", "text", "ats").mapInArrow(ts.released(_runs(params)), _ROWS)
+    verdicts = runs.repartition("key").mapInArrow(ts.released(_verdicts), "doc_id long, at long, covered boolean")
     judged = (verdicts.select("doc_id", (F.col("at") * 2 + F.col("covered").cast("long")).alias("at"))
               .groupBy("doc_id").agg(F.collect_list("at").alias("ats")))
-    windows = placed.join(judged, "doc_id").select("doc_id", "text", "ats").mapInArrow(_windows(params), _ROWS)
-    covered = (windows.repartition("key").mapInArrow(_verdicts, "doc_id long, at long, covered boolean")
+    windows = placed.join(judged, "doc_id").select("doc_id", "text", "ats").mapInArrow(ts.released(_windows(params)), _ROWS)
+    covered = (windows.repartition("key").mapInArrow(ts.released(_verdicts), "doc_id long, at long, covered boolean")
                .filter("covered").groupBy("doc_id").agg(F.collect_list("at").alias("ats")))
     none = F.array().cast("array<bigint>")
     ready = placed.join(covered, "doc_id", "left").select("doc_id", "text", F.coalesce("ats", none).alias("ats"))
     unplaced = texts.filter("doc_id IS NULL").select("doc_id", "text", none.alias("ats"))
-    return ready.union(unplaced).mapInArrow(_kept(params.window), "doc_id long, n_words long, n_removed long, kept binary")
+    return ready.union(unplaced).mapInArrow(ts.released(_kept(params.window)), "doc_id long, n_words long, n_removed long, kept binary")
