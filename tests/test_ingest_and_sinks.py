@@ -62,6 +62,27 @@ def test_malformed_rows_are_rejected_with_their_columns(spark):
     assert good.schema == DEVICE_SCHEMA and sorted(r.id for r in good.collect()) == [1, 4]
 
 
+def test_fields_are_counted_with_quotes(spark):
+    lines = {"a,b,c": 3, '"a,b",c': 2, 'a,"b, ""x"", y",c': 3, 'a,"b\\",c",d': 3, "": 1, 'a, "b,c" ,d': 3, 'say "a,b",c': 3,
+             '"a","b","c,d"': 3, '"never closed,b,c': 3, ',"",,': 4, '"two\nlines, one field",b': 2}
+    df = spark.createDataFrame([(k,) for k in lines], "line string")
+    got = {r.line: r.n for r in df.select("line", ingest.field_count(df.line).alias("n")).collect()}
+    assert got == lines
+
+
+def test_quoted_separators_and_newlines(spark):
+    folder = tempfile.mkdtemp(prefix="tp-quoted-")
+    desc = _write(folder, "desc.csv", "column_name|type\n" + "\n".join(f"{f.name}|x" for f in DEVICE_SCHEMA.fields) + "\nnote|x\n")
+    good = '1,10,20,0,1,100,86300,2,2024-01-01,2024-01-01,"left, ""rear"" axle"'
+    long = '2,10,20,0,1,100,86300,2,2024-01-01,2024-01-01,"left, rear",extra'
+    short = '3,10,20,0,1,100,86300,2,2024-01-01,"2024-01-01"'
+    data = _write(folder, "data.csv", "\n".join(["h", good, long, short]) + "\n")
+    assert {r.id: list(r.bad_columns) for r in ingest.rejected_reports(spark, desc, data, DEVICE_SCHEMA).collect()} == {"2": ["_line"]}
+    broken = _write(folder, "lines.csv", "h\n" + '4,10,20,0,1,100,86300,2,2024-01-01,2024-01-01,"two\nlines"\n' + good + "\n")
+    rows = {r.id: r.note for r in ingest.load_reports(spark, desc, broken, DEVICE_SCHEMA, quoted_newlines=True).collect()}
+    assert rows[4] == "two\nlines" and set(rows) == {1, 4}
+
+
 def test_partitioned_parquet_prunes_months(spark):
     from tests.helpers import device_df
     folder = tempfile.mkdtemp(prefix="tp-parquet-")

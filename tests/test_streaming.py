@@ -4,7 +4,8 @@ import os
 import tempfile
 
 from tirepulse.sources.schema import DEVICE_SCHEMA
-from tirepulse.streaming.ingest_stream import ingest_stream
+from tirepulse.sources import ingest
+from tirepulse.streaming.ingest_stream import ingest_stream, reject_stream
 
 
 def test_ingest_stream_appends_new_files_once(spark):
@@ -30,3 +31,25 @@ def test_ingest_stream_appends_new_files_once(spark):
     back = spark.read.parquet(out)
     assert sorted(r.id for r in back.collect()) == [1, 2, 3]
     assert sorted(r[0] for r in back.select("report_month").distinct().collect()) == ["2024-01", "2024-02"]
+
+
+def test_stream_and_loader_reject_the_same_rows(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    desc = tmp_path / "desc.csv"
+    desc.write_text("column_name\n" + "\n".join(f.name for f in DEVICE_SCHEMA.fields) + "\n")
+    lines = ["1,10,20,0,0,100,86300,1,2024-01-01,2024-01-01", "2,10,20,0,0,abc,86300,1,2024-01-01,2024-01-01",
+             "3,10,20,0,0,100,86300,1,2024-01-01,2024-01-01,extra", "4,None,1.0,0,0,100,NaN,1,2024-02-01,"]
+    (inbox / "day1.csv").write_text("header\n" + "\n".join(lines[:3]) + "\n")
+    out, bad = str(tmp_path / "table"), str(tmp_path / "rejects")
+    for name in ("day1.csv", "day2.csv"):
+        if name == "day2.csv":
+            (inbox / name).write_text("header\n" + lines[3] + "\n" + lines[1] + "\n")
+        ingest_stream(spark, str(desc), str(inbox), out, str(tmp_path / "c1"), DEVICE_SCHEMA).awaitTermination()
+        reject_stream(spark, str(desc), str(inbox), bad, str(tmp_path / "c2"), DEVICE_SCHEMA).awaitTermination()
+    key = lambda rows: sorted((r.id, list(r.bad_columns)) for r in rows)
+    want = ingest.rejected_reports(spark, str(desc), str(inbox), DEVICE_SCHEMA).collect()
+    assert key(spark.read.parquet(bad).collect()) == key(want) and len(want) == 3
+    loaded = ingest.load_device_reports(spark, str(desc), str(inbox), on_malformed="skip")
+    back = spark.read.parquet(out).select(*loaded.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, loaded.collect())) and back.count() == 2

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tirepulse.operators import explore, forest, kpis, rules, window_state
+from tirepulse.operators import calendar, explore, forest, kpis, presence, rules, window_state
 from tirepulse.operators import features as feat
 from tirepulse.plans import reports
 from tirepulse.session import discard, discard_at_exit, shared_folder, stored
@@ -127,6 +127,48 @@ def _q_vas_monthly(sensors, devices):
     return kpis.vehicle_active_sensor_pct(sensors, S, E, "month")
 
 
+# ----------------------------- calendar and bitmaps -----------------------------
+
+@register("communication_calendar_daily")
+def _q_comm_calendar(sensors, devices):
+    return calendar.communication_calendar(devices, S, E, "day")
+
+
+@register("communication_calendar_monthly")
+def _q_comm_calendar_monthly(sensors, devices):
+    return calendar.communication_calendar(devices, S, E, "month")
+
+
+@register("active_sensor_calendar")
+def _q_active_calendar(sensors, devices):
+    return calendar.active_sensor_calendar(sensors, S, E)
+
+
+@register("sensor_coverage")
+def _q_coverage(sensors, devices):
+    return calendar.sensor_coverage(sensors, S, E)
+
+
+def _presence(sensors, name):
+    """The bitmap table of two deliveries, of which the second has rows of days that the first has too."""
+    first = F.col("id") % 3 > 0
+    table, path = stored(presence.merged(presence.presence(sensors.filter(first)), presence.presence(sensors.filter(~first))), name)
+    discard_at_exit(sensors.sparkSession, path)
+    return table
+
+
+@register("bitmap_availability_daily")
+def _q_bitmap_daily(sensors, devices):
+    """Daily availability from the bitmaps alone."""
+    return presence.availability_daily(_presence(sensors, "presence-daily"), S, E)
+
+
+@register("bitmap_sensors_monthly")
+def _q_bitmap_monthly(sensors, devices):
+    """Distinct sensors of each month, rolled up from the bitmaps of its days."""
+    return presence.sensors_monthly(_presence(sensors, "presence-monthly"), S, E)
+
+
 # ----------------------------- report tables -----------------------------
 
 @register("sensor_reports")
@@ -405,16 +447,32 @@ def _q_stored_model(sensors, devices):
     return scores.select("id", "ml_anomaly_score", "ml_anomaly_pred")
 
 
+# Values of the raw file by id: missing-value tokens, "1.0" for an integer, spaces, and text that doesn't fit.
+NO_SENSOR, NO_DURATION, NO_READING, BAD_WHEEL, BAD_DAY = 5, 7, 3, 13, 29
+
+
 @register("ingest_typed")
 def _q_ingest_typed(sensors, devices):
-    """Report columns written as raw text, with missing-value tokens, and typed again by the loader."""
-    raw = sensors.select(
-        F.col("id").cast("string").alias("id"),
-        F.when(F.col("id") % 5 == 0, "None").otherwise(F.concat(F.col("sensor_id").cast("string"), F.lit(".0"))).alias("sensor_id"),
-        F.when(F.col("id") % 7 == 0, "N/A").otherwise(F.concat(F.lit(" "), F.col("transmitting_dur").cast("string"))).alias("transmitting_dur"),
-        F.when(F.col("id") % 3 == 0, "NaN").otherwise(F.col("temperature_avg").cast("string")).alias("temperature_avg"),
-        F.col("report_start_at").cast("string").alias("report_start_at"))
-    return ingest.typed(raw, SENSOR_SCHEMA)
+    """All report columns written as a raw CSV file with a description, and loaded again, with each row's malformed columns."""
+    spark = sensors.sparkSession
+    folder = shared_folder(spark, "raw-reports")
+    discard_at_exit(spark, folder)
+    every = lambda n: F.col("id") % n == 0
+    text = {c: F.col(c).cast("string") for c in sensors.columns}
+    text["sensor_id"] = F.when(every(NO_SENSOR), "None").otherwise(F.concat(text["sensor_id"], F.lit(".0")))
+    text["transmitting_dur"] = F.when(every(NO_DURATION), "N/A").otherwise(F.concat(F.lit(" "), text["transmitting_dur"]))
+    text["temperature_avg"] = F.when(every(NO_READING), "NaN").otherwise(text["temperature_avg"])
+    text["wheel_id"] = F.when(every(BAD_WHEEL), F.lit('left, "rear"')).otherwise(text["wheel_id"])
+    text["updated_at"] = F.when(every(BAD_DAY), F.lit("yesterday")).otherwise(text["updated_at"])
+    names = spark.createDataFrame([(c,) for c in sensors.columns], "column_name string")
+    names.coalesce(1).write.option("sep", "|").option("header", True).csv(f"{folder}/desc")
+    # the file's own header is ignored
+    raw = sensors.select(*[c.alias(f"c{k}") for k, c in enumerate(text.values())])
+    raw.write.option("header", True).option("escape", '"').csv(f"{folder}/data")
+    loaded = ingest.raw_reports(spark, f"{folder}/desc", f"{folder}/data")
+    return (loaded.withColumn("bad_columns", F.array_join(ingest.malformed(loaded, SENSOR_SCHEMA), ","))
+            .select(*ingest.typed(loaded, SENSOR_SCHEMA).columns, "bad_columns")
+            .transform(lambda df: ingest.typed(df, SENSOR_SCHEMA)))
 
 
 # Deliveries after the first one, by id: corrections (a later update), stale versions

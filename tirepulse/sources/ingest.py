@@ -57,12 +57,30 @@ def typed_column(raw: Column, dtype: T.DataType) -> Column:
 LINE = "_line"
 
 
-def raw_reports(spark: SparkSession, desc_path: str, data_path: str) -> DataFrame:
-    """The data file as text columns, plus ``_line`` for rows of another length."""
-    names = description_columns(spark, desc_path)
-    raw_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, LINE]])
-    return (spark.read.schema(raw_schema).option("header", True).option("enforceSchema", True)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE).csv(data_path))
+def raw_schema(names: list[str]) -> T.StructType:
+    """All columns as text, and the line itself where its fields are too few or too many."""
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, LINE]])
+
+
+#: Reader options of a data file; its own header row is ignored.
+CSV_OPTIONS = {"header": "true", "enforceSchema": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": LINE}
+
+
+def raw_reports(spark: SparkSession, desc_path: str, data_path: str, quoted_newlines: bool = False) -> DataFrame:
+    """The data file as text columns, plus ``_line`` for rows of another length.
+
+    ``quoted_newlines``: a field in quotes may hold line feeds; such files are read whole, not in splits."""
+    return (spark.read.schema(raw_schema(description_columns(spark, desc_path))).options(**CSV_OPTIONS)
+            .option("multiLine", quoted_newlines).csv(data_path))
+
+
+#: A quoted field: the quote opens a field; doubled or escaped quotes are part of it.
+QUOTED = r'(^|,)\s*"(?:[^"\\]|\\.|"")*"'
+
+
+def field_count(line: Column) -> Column:
+    """Number of fields of a CSV line; separators inside quoted fields don't count."""
+    return F.size(F.split(F.regexp_replace(line, QUOTED, "$1"), ","))
 
 
 def malformed(raw: DataFrame, schema: T.StructType) -> Column:
@@ -74,7 +92,7 @@ def malformed(raw: DataFrame, schema: T.StructType) -> Column:
                      & ~(F.lower(F.trim(F.col(n))) == "nan"), F.lit(n))
               for n in raw.columns if n in types]
     if LINE in raw.columns:
-        checks.append(F.when(F.size(F.split(F.col(LINE), ",")) > len(raw.columns) - 1, F.lit(LINE)))
+        checks.append(F.when(field_count(F.col(LINE)) > len(raw.columns) - 1, F.lit(LINE)))
     return F.array_compact(F.array(*checks))
 
 
@@ -85,20 +103,15 @@ def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
                         for n in raw.columns if n != LINE])
 
 
-def load_reports(spark: SparkSession, desc_path: str, data_path: str, schema: T.StructType,
-                 on_malformed: str = "fail") -> DataFrame:
-    """Read one report table: names from the description file, types from ``schema``.
+def accepted(raw: DataFrame, schema: T.StructType, on_malformed: str = "fail") -> DataFrame:
+    """Raw rows, of a batch or a stream, as typed reports.
 
-    Columns named in the description but absent from ``schema`` stay strings;
-    schema columns missing from the file are added as NULL of their type.
     ``on_malformed``: a value that doesn't fit its column's type, or a line
     with too many fields, fails the job that reads it (``fail``, as the source
-    loader does), drops the row (``skip``; see ``rejected_reports`` for those
-    rows) or becomes NULL (``null``).
+    loader does), drops the row (``skip``; see ``rejected``) or becomes NULL (``null``).
     """
     if on_malformed not in ("fail", "skip", "null"):
         raise ValueError(f"on_malformed: {on_malformed}")
-    raw = raw_reports(spark, desc_path, data_path)
     bad = malformed(raw, schema)
     if on_malformed == "skip":
         raw = raw.filter(F.size(bad) == 0)
@@ -110,13 +123,29 @@ def load_reports(spark: SparkSession, desc_path: str, data_path: str, schema: T.
     return out.select("*", *missing)
 
 
-def rejected_reports(spark: SparkSession, desc_path: str, data_path: str, schema: T.StructType) -> DataFrame:
-    """The raw rows that ``load_reports`` skips or fails on, with the names of the
-    malformed columns in ``bad_columns``; count them for a reject count."""
-    raw = raw_reports(spark, desc_path, data_path)
+def rejected(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """The raw rows that ``accepted`` skips or fails on, with the names of the
+    malformed columns in ``bad_columns``."""
     return raw.withColumn("bad_columns", malformed(raw, schema)).filter(F.size("bad_columns") > 0)
 
 
+def load_reports(spark: SparkSession, desc_path: str, data_path: str, schema: T.StructType,
+                 on_malformed: str = "fail", quoted_newlines: bool = False) -> DataFrame:
+    """Read one report table: names from the description file, types from ``schema``.
+
+    Columns named in the description but absent from ``schema`` stay strings;
+    schema columns missing from the file are added as NULL of their type. For
+    ``on_malformed`` see ``accepted``.
+    """
+    return accepted(raw_reports(spark, desc_path, data_path, quoted_newlines), schema, on_malformed)
+
+
+def rejected_reports(spark: SparkSession, desc_path: str, data_path: str, schema: T.StructType,
+                     quoted_newlines: bool = False) -> DataFrame:
+    """The raw rows that ``load_reports`` skips or fails on; count them for a reject count."""
+    return rejected(raw_reports(spark, desc_path, data_path, quoted_newlines), schema)
+
+
 def load_sensor_reports(spark: SparkSession, desc_path: str, data_path: str, on_malformed: str = "fail") -> DataFrame:
     return load_reports(spark, desc_path, data_path, SENSOR_SCHEMA, on_malformed)
 

@@ -1,8 +1,10 @@
 """Incremental ingestion of daily report files with Structured Streaming.
 
-The same typed loader as ``sources.ingest`` (description file for the column
-order, strings typed with ``try_cast``) applied to files as they land in a
-folder, appended to the month-partitioned Parquet table the reports read.
+The typed loader of ``sources.ingest`` (its reader options, types and test for malformed
+rows) applied to files as they land in a folder, appended to the month-partitioned
+Parquet table the reports read. Malformed rows are skipped by default, and a second
+stream (``reject_stream``) writes them with the names of their malformed columns;
+each has its own checkpoint, so both see every file once.
 The streaming checkpoint records which files were processed, so a restarted
 or failed run neither skips nor duplicates a file. ``availableNow`` processes
 what is there and stops, which suits a daily schedule.
@@ -10,27 +12,35 @@ what is there and stops, which suits a daily schedule.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tirepulse.operators.common import MONTH_PARTITION
-from tirepulse.sources.ingest import description_columns, typed_column
-
-
-def ingest_stream(spark: SparkSession, desc_path: str, input_dir: str, output_path: str,
-                  checkpoint: str, schema: T.StructType, available_now: bool = True) -> StreamingQuery:
-    """Start the stream; returns the running query (``awaitTermination`` to wait)."""
-    names = description_columns(spark, desc_path)
-    raw_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    raw = (spark.readStream.schema(raw_schema).option("header", True).option("enforceSchema", True)
-           .csv(input_dir))
-    types = {f.name: f.dataType for f in schema.fields}
-    cols = [typed_column(F.col(n), types[n]).alias(n) if n in types else F.col(n) for n in names]
-    cols += [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in names]
-    typed = raw.select(*cols).withColumn(MONTH_PARTITION, F.date_format("report_start_at", "yyyy-MM"))
-    writer = (typed.writeStream.format("parquet").option("path", output_path)
-              .option("checkpointLocation", checkpoint).partitionBy(MONTH_PARTITION).outputMode("append"))
+from tirepulse.sources.ingest import CSV_OPTIONS, accepted, description_columns, raw_schema, rejected
+
+
+def _raw(spark: SparkSession, desc_path: str, input_dir: str) -> DataFrame:
+    return spark.readStream.schema(raw_schema(description_columns(spark, desc_path))).options(**CSV_OPTIONS).csv(input_dir)
+
+
+def _started(rows: DataFrame, path: str, checkpoint: str, available_now: bool, *partitions: str) -> StreamingQuery:
+    writer = (rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+              .partitionBy(*partitions).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def ingest_stream(spark: SparkSession, desc_path: str, input_dir: str, output_path: str, checkpoint: str,
+                  schema: T.StructType, available_now: bool = True, on_malformed: str = "skip") -> StreamingQuery:
+    """Start the stream; returns the running query (``awaitTermination`` to wait). ``on_malformed`` as in the loader."""
+    reports = accepted(_raw(spark, desc_path, input_dir), schema, on_malformed)
+    return _started(reports.withColumn(MONTH_PARTITION, F.date_format("report_start_at", "yyyy-MM")), output_path,
+                    checkpoint, available_now, MONTH_PARTITION)
+
+
+def reject_stream(spark: SparkSession, desc_path: str, input_dir: str, rejects_path: str, checkpoint: str,
+                  schema: T.StructType, available_now: bool = True) -> StreamingQuery:
+    """Start the stream of the rows that ``ingest_stream`` skips: their text columns, line and ``bad_columns``."""
+    return _started(rejected(_raw(spark, desc_path, input_dir), schema), rejects_path, checkpoint, available_now)
