@@ -111,6 +111,37 @@ def test_mechanical_report_writes_five_outputs(spark):
         assert back.columns == df.columns
 
 
+def _counted(spark, df):
+    """``df`` with a counter of the rows that jobs read of it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+def test_each_report_table_is_read_once_for_all_outputs(spark, tmp_path):
+    from tirepulse.plans.reports import MechanicalPaths, generate_fleet_health_report, generate_mechanical_failure_report
+    from tirepulse.sources.fixtures import load_reports
+    from tirepulse.session import stored
+    sensors, devices = (stored(df, "reports")[0] for df in load_reports(spark, "/root/testdata/sf0.001"))
+    plain = generate_mechanical_failure_report(sensors, devices, "2024-01-01", "2024-01-31")
+    (s, s_read), (d, d_read) = _counted(spark, sensors), _counted(spark, devices)
+    paths = MechanicalPaths(**{k: f"{tmp_path}/{k}" for k in MechanicalPaths.__dataclass_fields__})
+    outs = generate_mechanical_failure_report(s, d, "2024-01-01", "2024-01-31", paths)
+    assert d_read.value == devices.count()
+    assert s_read.value == 2 * sensors.count()           # the reports, and the day origin over the whole table
+    for name, df in outs.items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, plain[name].collect())), name
+    assert s_read.value == 2 * sensors.count()           # nor do the returned outputs read the tables
+    s, s_read = _counted(spark, sensors)
+    out = generate_fleet_health_report(s, "2024-01-01", "2024-01-31", str(tmp_path))
+    assert s_read.value == 2 * sensors.count() and 0 < out["overall_availability"] <= 1      # all history, and the range
+
+
 def test_device_health_report_worst_device(spark):
     from tirepulse.plans.reports import generate_device_health_report
     from tirepulse.sources.fixtures import load_reports

@@ -143,8 +143,10 @@ def sensor_statistics(sensors: DataFrame, start: str, end: str) -> DataFrame:
     return report_window(sensors, start, end).select("id", report_date().alias("report_date"), "transmitting_dur")
 
 
-def device_features(devices: DataFrame, sensors: DataFrame, start: str, end: str) -> DataFrame:
-    """Per hub report: uptime fraction and the vehicle's active sensors that day.
+def device_features(devices: DataFrame, sensors: DataFrame, start: str, end: str,
+                    counts: DataFrame | None = None) -> DataFrame:
+    """Per hub report: uptime fraction and the vehicle's active sensors that day
+    (``counts``: these per vehicle and day, if they are known already).
 
     Sensors are pre-aggregated to one row per (vehicle, day) before the left
     join, so the join never multiplies hub rows and both sides shuffle on the
@@ -156,7 +158,8 @@ def device_features(devices: DataFrame, sensors: DataFrame, start: str, end: str
         "transmitting_dur", "not_transmitting_dur",
         ratio(t, t + s).alias("connectivity_efficiency"),
         "vehicle_maintenance", "vehicle_out_of_service")
-    counts = active_sensors_per_vehicle(sensors, start, end)
+    if counts is None:
+        counts = active_sensors_per_vehicle(sensors, start, end)
     dd, cc = d.alias("d"), counts.alias("s")
     joined = dd.join(cc, (F.col("d.vehicle_id") == F.col("s.vehicle_id"))
                      & (F.col("d.report_date") == F.col("s.report_date")), "left")

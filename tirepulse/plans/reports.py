@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tirepulse.operators import explore, features, forest, forest_model, kpis, rules
-from tirepulse.session import discard, stored
-from tirepulse.sources.sinks import export
+from tirepulse.operators.windows import rolling
+from tirepulse.session import discard, discard_at_exit, stored
+from tirepulse.sources.sinks import export, export_counted
 
 log = logging.getLogger(__name__)
 
@@ -106,7 +107,8 @@ def anomaly_total(anomalies: DataFrame) -> DataFrame:
 def generate_fleet_health_report(sensors: DataFrame, start: str, end: str,
                                  output_folder: str | None = None) -> dict:
     """Daily and monthly sensor availability; returns the overall mean."""
-    daily = kpis.sensor_availability_daily(sensors, start, end)
+    # one row a day; the monthly and the overall figures read these
+    daily = _kept_until_exit(kpis.sensor_availability_daily(sensors, start, end), "availability-daily")
     monthly = kpis.sensor_availability_monthly(daily)
     if output_folder:
         export(daily, f"{output_folder}/report_sensor_availability_daily", order=["report_date"])
@@ -146,17 +148,29 @@ class MechanicalPaths:
 def generate_mechanical_failure_report(sensors: DataFrame, devices: DataFrame, start: str, end: str,
                                        paths: MechanicalPaths | None = None,
                                        thresholds: rules.IssueThresholds = rules.DEFAULT) -> dict:
-    """Sensor and hub issue classification with risk scores; five outputs."""
+    """Sensor and hub issue classification with risk scores; five outputs.
+
+    With ``paths``, the sensor reports of the range are stored once, in the columns that the
+    outputs read, and so is the classified hub join: all five outputs, the windows and the
+    active sensors of the hub side come from these two frames. (The day origin is the minimum of
+    one column of the whole sensor table.) Returned are the outputs, which read the frames."""
+    daily = features.sensor_daily(sensors, start, end, features.day_origin(sensors))
+    if paths:
+        daily = _kept_until_exit(daily, "mechanical-sensors")
     sensor = rules.classify_sensor_issues(
-        features.sensor_features(sensors, start, end, rows=thresholds.slope_window_days), thresholds)
-    device = rules.classify_device_issues(features.device_features(devices, sensors, start, end), thresholds)
+        features.trend_features(rolling(daily, features.trend_spec(thresholds.slope_window_days))), thresholds)
+    active = (daily.filter(F.col("transmitting_dur") > 0).groupBy("vehicle_id", "report_date")
+              .agg(F.count_distinct("sensor_id").alias("active_sensors")))
+    device = rules.classify_device_issues(features.device_features(devices, sensors, start, end, active), thresholds)
+    if paths:
+        device = _kept_until_exit(device, "mechanical-hubs")
     outputs = {
         "sensor_issues": sensor.select("id", "report_date", "vehicle_id", "sensor_id", "wheel_position",
                                        "wheel_id", "issue_category", "risk_score"),
         "device_issues": device.select("id", "report_date", "vehicle_id", "device_id", "issue_category",
                                        "risk_score"),
-        "sensor_variables": features.sensor_variables(sensors, start, end),
-        "sensor_statistics": features.sensor_statistics(sensors, start, end),
+        "sensor_variables": daily.select("id", "report_date", "temperature_avg", "cold_pressure_avg", "hot_pressure_avg"),
+        "sensor_statistics": daily.select("id", "report_date", "transmitting_dur"),
         "device_statistics": device.select("id", "report_date", "transmitting_dur", "not_transmitting_dur",
                                            "connectivity_efficiency", "active_sensors"),
     }
@@ -164,10 +178,17 @@ def generate_mechanical_failure_report(sensors: DataFrame, devices: DataFrame, s
         for name, df in outputs.items():
             key = "sensor_id" if name.startswith("sensor") else "vehicle_id"
             order = [key, "report_date"] if "issues" in name else None
-            export(df, getattr(paths, name), order=order)
+            export_counted(df, getattr(paths, name), order=order)       # logs the rows written
     return outputs
 
 
+def _kept_until_exit(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored in the shared folder until the driver ends."""
+    kept, path = stored(df, name)
+    discard_at_exit(df.sparkSession, path)
+    return kept
+
+
 def exploration_exports(sensors: DataFrame, devices: DataFrame, vehicle_id: int | None,
                         output_folder: str | None = None) -> dict:
     """Per-metric level excursions and silent hubs, as the exploration exports them."""
