@@ -20,7 +20,7 @@ from tirepulse.operators import calendar, explore, forest, kpis, presence, rules
 from tirepulse.operators import features as feat
 from tirepulse.plans import reports
 from tirepulse.session import discard, discard_at_exit, shared_folder, stored
-from tirepulse.sources import ingest, upsert
+from tirepulse.sources import ingest, layout, upsert
 from tirepulse.sources.fixtures import REPORT_END, REPORT_START, load_reports
 from tirepulse.sources.schema import METRICS, SENSOR_SCHEMA
 
@@ -500,6 +500,29 @@ def _q_upserted(sensors, devices):
     return spark.read.parquet(path).select("id", "sensor_id", "vehicle_id", "temperature_avg", "report_start_at", "updated_at", "report_month")
 
 
+BUCKETS = 8
+
+
+def _bucketed(df, name, key):
+    """The reports as a bucketed table below the shared folder, under a name of its own."""
+    path = shared_folder(df.sparkSession, name)
+    discard_at_exit(df.sparkSession, path)
+    return layout.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, key, BUCKETS)
+
+
+@register("bucketed_rolling_stats")
+def _q_bucketed_stats(sensors, devices):
+    """The moving means and deviations over a table bucketed by sensor: no shuffle below the windows."""
+    r = feat.rolling_stats(_bucketed(sensors, "wheels-by-sensor", "sensor_id"), S, E)
+    return r.select(*ZKEYS, *[c for c in r.columns if c[:3] in ("ma_", "sd_")])
+
+
+@register("bucketed_device_features")
+def _q_bucketed_hubs(sensors, devices):
+    """The hub join over tables bucketed by vehicle: the grouped counts need no shuffle."""
+    return feat.device_features(_bucketed(devices, "hubs-by-vehicle", "vehicle_id"), _bucketed(sensors, "wheels-by-vehicle", "vehicle_id"), S, E)
+
+
 @register("isolation_scores")
 def _q_isolation(sensors, devices):
     """Isolation-forest score and -1/1 verdict per report."""
