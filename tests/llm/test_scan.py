@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections import Counter, defaultdict
 
 import pytest
@@ -106,6 +107,59 @@ def test_a_text_with_a_third_of_the_rows_is_split(spark):
     assert max(sizes.values()) < 1.05 * mean and min(sizes.values()) > 0.95 * mean
 
 
+def test_every_overfull_range_is_subdivided(spark):
+    """A poor first sample leaves ranges of many light keys; none stays over 1.5 shares."""
+    params = sharding.ShardingParams(shards=4, ranges_per_shard=16, sample_per_range=1)
+    rows = [(k, f"text {k} " + "x" * (k * 37 % 90)) for k in range(4000)] + [(9000 + k, "hot text " * 8) for k in range(1500)]
+    records = sharding._records(table(spark, rows), params)
+    total, ranges = records.agg({"size": "sum"}).first()[0], 64
+    share = total / ranges
+
+    def light(cuts):
+        sums, keys = Counter(), Counter()
+        for r in records.collect():
+            keys[r.key] += r.size
+        for key, n in keys.items():
+            if n <= 0.5 * share:
+                sums[bisect_right(cuts, key)] += n
+        return max(sums.values()) / share
+
+    first = sharding.splitters(records, total, ranges, params)
+    assert light(first) > 2
+    cuts = sharding.refined(records, first, total, ranges, params)
+    assert set(first) <= set(cuts) and light(cuts) <= 1.5
+    sizes = _check_shards(sharding.shard(table(spark, rows), params).collect(), rows, 4)
+    assert max(sizes.values()) - min(sizes.values()) < 2 * share
+
+
+def test_repeated_rows_of_one_document_are_dealt_over_cells(spark):
+    params = sharding.ShardingParams(shards=4, ranges_per_shard=8)
+    rows = [(7, "hot text " * 8)] * 1500 + [(k, f"cold {k} " * 6) for k in range(100, 1600)]
+    records = sharding._records(table(spark, rows), params)
+    total = records.agg({"size": "sum"}).first()[0]
+    ranged = sharding._with_ranges(records, sharding.splitters(records, total, 32, params), params)
+    cells = sharding._subdivide(ranged, total, 32).filter("heavy IS NOT NULL").groupBy("part").count().collect()
+    assert len(cells) > 20 and max(r["count"] for r in cells) < 150
+    sizes = _check_shards(sharding.shard(table(spark, rows), params).collect(), rows, 4)
+    assert max(sizes.values()) < 1.05 * min(sizes.values())
+
+
+def test_one_very_long_text_beside_short_ones(spark):
+    rows = [(1, "long " * 400_000)] + [(k, f"short {k}") for k in range(2, 400)]
+    _check_shards(sharding.shard(table(spark, rows)).collect(), rows, 24)
+
+
+def test_op2_query_equals_its_tables_rows(spark):
+    from tests.conftest import SF_SMALL
+    from tirepulse.llm.catalog import op2_sharding
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = op2_sharding(spark, SF_SMALL).collect()
+    sizes = _check_shards(out, [(r.doc_id, r.text) for r in docs.collect()], 24)
+    mean = sum(sizes.values()) / 24
+    assert max(abs(n - mean) for n in sizes.values()) < max(mean / 16, 2 * max(r.size for r in out))
+    assert {r.grown_shard for r in out} == {None}
+
+
 def test_sharding_of_small_tables(spark):
     _check_shards(sharding.shard(table(spark, [(1, "a"), (1, "a"), (2, None)])).collect(), [(1, "a"), (1, "a"), (2, None)], 24)
     assert sharding.shard(spark.createDataFrame([], SCHEMA)).collect() == []
