@@ -134,16 +134,51 @@ def test_close_pairs_are_all_pairs(seed, bits):
     base = rng.integers(0, 2 ** 63, 6, dtype=np.uint64)
     points = np.unique(np.concatenate([base, *[base ^ np.uint64(1 << int(k)) ^ np.uint64(1 << int(j))
                                               for k, j in rng.integers(0, 63, (8, 2))]]))
-    got = {(int(a), int(b)) for x, y in simhash_near_dup.close_pairs(points, points, bits, 3) for a, b in zip(x, y)}
-    want = {(int(a), int(b)) for a in points for b in points if a < b and (int(a) ^ int(b)).bit_count() <= bits}
-    assert got == want
-    tree = simhash_near_dup.grow_upper(points, 3)
-    own_row, own = simhash_near_dup.route(points, tree, 3, 0)
-    assert sorted(own_row.tolist()) == list(range(points.size))        # each point has one shard
-    home = dict(zip(own_row.tolist(), own.tolist()))
-    reach = set(zip(*(x.tolist() for x in simhash_near_dup.route(points, tree, 3, bits))))
+    want = {(int(a), int(b)) for a in points for b in points if a != b and (int(a) ^ int(b)).bit_count() <= bits}
+
+    def pairs(ordered):
+        return {(int(a), int(b)) for x, y in simhash_near_dup.close_pairs(points, points, bits, 3, ordered) for a, b in zip(x, y)}
+
+    assert pairs(False) == want and pairs(True) == {(a, b) for a, b in want if a < b}
+    row, shard, asks = simhash_near_dup.route(points, simhash_near_dup.grow_upper(points, 3), bits)
+    assert sorted(row[~asks].tolist()) == list(range(points.size))     # each point has one shard
+    assert len(set(zip(row.tolist(), shard.tolist()))) == row.size     # and asks no shard twice
+    home = dict(zip(row[~asks].tolist(), shard[~asks].tolist()))
+    reach = set(zip(row.tolist(), shard.tolist()))
     place = {int(p): k for k, p in enumerate(points)}
-    assert all((place[a], home[place[b]]) in reach for a, b in want)
+    assert all((place[a], home[place[b]]) in reach or (place[b], home[place[a]]) in reach for a, b in want)
+
+
+def test_shards_grow_with_the_table_and_queries_stay_few():
+    params = simhash_near_dup.SimHashParams()
+    depth = [simhash_near_dup.upper_depth(n, params) for n in (0, 1, 4096, 4097, 10 ** 6, 10 ** 7, 10 ** 8, 10 ** 10)]
+    assert depth == [0, 0, 0, 1, 8, 8, 10, 17]
+    points = np.random.default_rng(3).integers(0, 2 ** 64, 20_000, dtype=np.uint64)
+    sent = []
+    for levels in (4, 8):
+        tree = simhash_near_dup.grow_upper(points[:2 ** levels * params.sample_per_shard], levels)
+        row, _, _ = simhash_near_dup.route(points, tree, 2)
+        sent.append(row.size / points.size)
+    assert sent[0] < 3 and sent[1] < 4 * sent[0]   # 16 times the shards: under four times the rows
+
+
+def test_keep_first_drops_unnamed_copies_of_named_rows(spark):
+    rows = [(None, "a b c"), (4, "a b c"), (9, "a b c"), (None, "q w e r"), (None, "q w e r"), (5, "other words stand here")]
+    df = table(spark, rows)
+    out = simhash_near_dup.keep_first(df)
+    assert out.columns == df.columns
+    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == [
+        ("4", "a b c"), ("5", "other words stand here"), ("None", "q w e r"), ("None", "q w e r")]
+
+
+def test_simhash_of_a_very_long_text_and_the_query(spark):
+    from tests.conftest import SF_SMALL
+    from tirepulse.llm.catalog import op6_simhash_near_dup
+    rows = [(1, "some words again " * 60_000 + "end"), (2, "some words again " * 60_000 + "fin"), (3, "x")]
+    assert _simhash(table(spark, rows))[0] == brute.simhash_groups(rows)
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in op6_simhash_near_dup(spark, SF_SMALL).collect()}
+    assert got == brute.simhash_groups(docs)
 
 
 def test_components_of_a_long_chain(spark):

@@ -4,24 +4,34 @@ distance, found exactly with vantage-point trees.
 1. Fingerprints are computed in Arrow batches; equal ones are one node.
 2. The upper levels of one vantage-point tree are grown from a bounded sample
    of fingerprints. Each leaf is a shard. Every fingerprint is stored in the
-   one shard where it falls, and is sent as a query to every shard that its
-   ball of ``max_bits`` reaches: a branch is left out only where the triangle
-   inequality excludes it.
-3. Each shard grows its own vantage-point tree and answers its queries. What
-   it has found is reduced to a spanning forest before it leaves the task.
+   one shard where it falls. One that lies inside a vantage point's radius by
+   less than ``max_bits`` is also sent outside as a query, and from there to
+   every shard that its ball of ``max_bits`` reaches: a branch is left out only
+   where the triangle inequality excludes it. Of two close fingerprints that a
+   radius parts, the inner one is always sent, so one side's queries suffice.
+3. Each shard grows its own vantage-point tree, compares its fingerprints and
+   answers its queries. What it has found is reduced to a spanning forest
+   before it leaves the task.
 4. Components of the links come from alternating star steps.
 
+Fingerprints of unlike texts are spread like random ones, whose distances to
+any point crowd around 32: each level sends on about two in five queries. So
+shards grow with the table (from ``shard_rows`` to ``full_shard_rows``), which
+keeps the upper tree low.
+
 Edge cases: a null or empty text or one without words has the fingerprint zero
 and links like any other; a document of fewer words than a shingle is one
-shingle; repeated rows and equal texts share a node, each row is returned; a
-row whose doc_id is null is returned with its fingerprint, gives no component
-its name and gets the smallest doc_id that it reaches, or null; an empty table
-gives an empty result.
+shingle; all words of a very long text count; repeated rows and equal texts
+share a node, each row is returned; a row whose doc_id is null is returned with
+its fingerprint, gives no component its name and gets the smallest doc_id that
+it reaches, or null; extra columns are ignored; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +50,11 @@ class SimHashParams:
     shingle_words: int = 3
     max_bits: int = 2
     seed: int = 42
-    shard_rows: int = 4096          # distinct fingerprints a shard should hold
-    sample_rows: int = 16384        # fingerprints from which the upper tree is grown
-    max_depth: int = 14
+    shard_rows: int = 4096          # distinct fingerprints a shard should hold at least,
+    full_shard_rows: int = 131072   # and at most; between them, a table has this many shards:
+    shards: int = 256
+    sample_per_shard: int = 32      # fingerprints a shard from which the upper tree is grown
+    max_depth: int = 20             # the driver holds 2**20 vantage points at most; then shards grow on
     leaf_rows: int = 96             # leaf size of the trees inside shards
 
 
@@ -102,20 +114,23 @@ def _distance(a, b) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
-def grow_upper(sample: np.ndarray, depth: int) -> list[tuple[int, int] | None]:
-    """Upper tree as a heap: node k splits by distance <= radius to its vantage point."""
-    tree: list[tuple[int, int] | None] = [None] * (2 ** depth - 1)
+#: A radius that no distance passes: the node isn't split.
+WHOLE = 127
+
+
+def grow_upper(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Upper tree as a heap: node k splits by distance <= radius[k] to vantage[k]."""
+    vantage, radius = np.zeros(2 ** depth - 1, np.uint64), np.full(2 ** depth - 1, WHOLE, np.int64)
     parts = {0: sample}
-    for k in range(len(tree)):
+    for k in range(vantage.size):
         points = parts.pop(k, np.zeros(0, np.uint64))
         if points.size >= 2:
-            vantage = points[0]
-            d = _distance(points, vantage)
-            radius = _even_radius(d)
-            tree[k] = (int(vantage), radius)
-            near = d <= radius
+            vantage[k] = points[0]
+            d = _distance(points, points[0])
+            radius[k] = _even_radius(d)
+            near = d <= radius[k]
             parts[2 * k + 1], parts[2 * k + 2] = points[near], points[~near]
-    return tree
+    return vantage, radius
 
 
 def _even_radius(d: np.ndarray) -> int:
@@ -124,29 +139,26 @@ def _even_radius(d: np.ndarray) -> int:
     return int(np.argmin(np.abs(below - d.size / 2)))
 
 
-def route(points: np.ndarray, tree: list, depth: int, slack: int):
-    """(row, shard) pairs: with slack 0 each point's own shard, else every shard within its ball."""
-    level = [(0, np.arange(points.size))]
-    for _ in range(depth):
-        deeper = []
-        for k, rows in level:
-            if tree[k] is None:                       # too few samples to split
-                deeper.append((2 * k + 1, rows))
-                continue
-            vantage, radius = tree[k]
-            d = _distance(points[rows], np.uint64(vantage)).astype(np.int64)
-            deeper.append((2 * k + 1, rows[d <= radius + slack]))
-            deeper.append((2 * k + 2, rows[d > radius - slack]))
-        level = [(k, rows) for k, rows in deeper if rows.size]
-    base = 2 ** depth - 1
-    if not level:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return (np.concatenate([rows for _, rows in level]),
-            np.concatenate([np.full(rows.size, k - base) for k, rows in level]))
-
-
-def close_pairs(points: np.ndarray, queries: np.ndarray, max_bits: int, leaf: int):
-    """Yields arrays (a, b) of all pairs a < b with a in queries, b in points, within max_bits."""
+def route(points: np.ndarray, tree: tuple[np.ndarray, np.ndarray], slack: int):
+    """Arrays (row, shard, asks): each point's own shard once, and as a query every other shard where
+    a point within ``slack`` may lie that doesn't itself ask in a shard of this one."""
+    vantage, radius = tree
+    row, node = np.arange(points.size), np.zeros(points.size, np.int64)
+    asks = np.zeros(points.size, bool)
+    for _ in range((vantage.size + 1).bit_length() - 1):
+        d, r = _distance(points[row], vantage[node]).astype(np.int64), radius[node]
+        near = d <= np.where(asks, r + slack, r)
+        far = d > r - slack
+        asked = asks | (d <= r)                       # outside, what falls inside only asks
+        row = np.concatenate([row[near], row[far]])
+        node = np.concatenate([2 * node[near] + 1, 2 * node[far] + 2])
+        asks = np.concatenate([asks[near], asked[far]])
+    return row, node - vantage.size, asks
+
+
+def close_pairs(points: np.ndarray, queries: np.ndarray, max_bits: int, leaf: int, ordered: bool):
+    """Yields arrays (a, b) of all pairs with a in queries, b in points, within max_bits: of those
+    with a < b, or of all but a = b."""
     stack = [(points, queries)]
     while stack:
         own, asked = stack.pop()
@@ -165,7 +177,7 @@ def close_pairs(points: np.ndarray, queries: np.ndarray, max_bits: int, leaf: in
         for k in range(0, asked.size, step):
             block = asked[k:k + step]
             i, j = np.nonzero(_distance(block[:, None], own[None, :]) <= max_bits)
-            keep = block[i] < own[j]
+            keep = block[i] < own[j] if ordered else block[i] != own[j]
             if keep.any():
                 yield block[i[keep]], own[j[keep]]
 
@@ -188,30 +200,43 @@ def _forest(pairs) -> list[tuple[int, int]]:
     return [(x, find(x)) for x in parent if find(x) != x]
 
 
+def _unsigned(fp) -> np.ndarray:
+    """A column of longs as unsigned numbers."""
+    return np.asarray(fp.to_numpy(**({} if isinstance(fp, pa.ChunkedArray) else {"zero_copy_only": False}))).astype(np.int64).view(np.uint64)
+
+
+def upper_depth(count: int, params: SimHashParams) -> int:
+    """Levels of the upper tree: shards of ``shard_rows`` while there are at most ``shards``, then larger ones."""
+    rows = min(max(count / params.shards, params.shard_rows), max(params.shard_rows, params.full_shard_rows))
+    return min(params.max_depth, max(0, int(np.ceil(np.log2(max(1, count) / rows)))))
+
+
 def link_forest(nodes: DataFrame, params: SimHashParams) -> DataFrame:
     """(a, b) links that connect exactly the distinct fingerprints (column fp) within ``max_bits``."""
     spark = nodes.sparkSession
     count = nodes.count()
-    depth = min(params.max_depth, max(0, int(np.ceil(np.log2(max(1, count / params.shard_rows))))))
-    # at most sample_rows fingerprints come to the driver
-    sample = nodes.orderBy(F.xxhash64("fp"), "fp").limit(params.sample_rows).select("fp").toArrow()
-    points = sample["fp"].to_numpy().astype(np.int64).view(np.uint64)
-    tree = spark.sparkContext.broadcast(grow_upper(points, depth))     # 2**max_depth pairs at most
+    depth = upper_depth(count, params)
+    # a draw of sample_per_shard fingerprints a shard comes to the driver
+    draw = F.pmod(F.xxhash64("fp"), F.lit(1 << 52)) / float(1 << 52)
+    sample = nodes.filter(draw < 2 ** depth * params.sample_per_shard / max(1, count)).select("fp").toArrow()
+    points = np.random.default_rng(params.seed).permutation(np.sort(_unsigned(sample["fp"])))
+    tree = spark.sparkContext.broadcast(grow_upper(points, depth))
     max_bits, leaf = params.max_bits, params.leaf_rows
 
     def send(batches):
         for batch in batches:
-            own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for asks, slack in ((False, 0), (True, max_bits)):
-                rows, shard = route(own, tree.value, depth, slack)
+            own = _unsigned(batch.column(0))
+            for lo in range(0, own.size, 4096):
+                rows, shard, asks = route(own[lo:lo + 4096], tree.value, max_bits)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard.astype(np.int32)), pa.array(own[rows].view(np.int64)),
-                     pa.array(np.full(rows.size, asks))], ["shard", "fp", "asks"])
+                    [pa.array(shard.astype(np.int32)), pa.array(own[lo + rows].view(np.int64)), pa.array(asks)],
+                    ["shard", "fp", "asks"])
 
     def answer(table: pa.Table) -> pa.Table:
-        fp = table["fp"].to_numpy().astype(np.int64).view(np.uint64)
-        asks = table["asks"].to_numpy()
-        links = np.array(_forest(close_pairs(fp[~asks], fp[asks], max_bits, leaf)), np.uint64).reshape(-1, 2)
+        fp, asks = _unsigned(table["fp"]), table["asks"].to_numpy()
+        own = fp[~asks]
+        pairs = chain(close_pairs(own, own, max_bits, leaf, True), close_pairs(own, fp[asks], max_bits, leaf, False))
+        links = np.array(_forest(pairs), np.uint64).reshape(-1, 2)
         return pa.table({"a": links[:, 0].copy().view(np.int64), "b": links[:, 1].copy().view(np.int64)})
 
     return (nodes.select("fp").mapInArrow(send, "shard int, fp long, asks boolean")
@@ -236,9 +261,18 @@ def near_duplicates(docs: DataFrame, params: SimHashParams = SimHashParams()) ->
 def keep_first(docs: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their component: one document of each group stays.
 
-    A component without any doc_id keeps its rows, as nothing tells them apart,
-    and so do rows that share the doc_id that stays.
+    A row without a doc_id goes if its component has one. A component without
+    any doc_id keeps its rows, as nothing tells them apart, and so do rows that
+    share the doc_id that stays.
     """
-    classes = near_duplicates(docs, params)
+    classes = written(near_duplicates(docs, params), "simhash-classes")
     gone = classes.filter("doc_id != component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    unnamed = classes.filter("doc_id IS NULL AND component_id IS NOT NULL").select("fingerprint").distinct()
+    named = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    if unnamed.isEmpty():
+        return named
+    # the rows without a doc_id once more, told by their fingerprints
+    own = F.lpad(F.lower(F.hex(fingerprint("text", params))), 16, "0")
+    rest = (docs.filter("doc_id IS NULL").select(F.struct(docs.columns).alias("_row"), own.alias("fingerprint"))
+            .join(unnamed, "fingerprint", "left_anti").select("_row.*"))
+    return named.filter("doc_id IS NOT NULL").unionByName(rest)
