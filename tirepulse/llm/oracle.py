@@ -24,6 +24,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)""",
+    # every 100-byte string by its MD5; a document's repeats make runs, what lies between them is kept
+    "op3_suffix_dedup": """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+blocks AS (
+    SELECT doc_id, b, substr(h, 2 * b + 1, 2 * 611) AS part
+    FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 99, 0), 512)) AS b FROM texts)),
+places AS (
+    SELECT doc_id, b + i AS pos, md5_number(substr(part, 2 * i + 1, 200)) AS mark
+    FROM (SELECT doc_id, b, part, unnest(range(0, len(part) // 2 - 99)) AS i FROM blocks)),
+firsts AS (SELECT mark, min((doc_id, pos)) AS first FROM places GROUP BY mark HAVING count(*) > 1),
+again AS (
+    SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS last
+    FROM places JOIN firsts USING (mark) WHERE (doc_id, pos) <> first),
+numbered AS (
+    SELECT doc_id, pos, sum(CASE WHEN last IS NULL OR pos > last + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM again),
+spans AS (SELECT doc_id, k, min(pos) AS lo, max(pos) + 100 AS hi FROM numbered GROUP BY doc_id, k),
+edges AS (
+    SELECT doc_id, lo, hi, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS before FROM spans
+    UNION ALL SELECT doc_id, len(h) // 2, len(h) // 2, coalesce((SELECT max(hi) FROM spans s WHERE s.doc_id = t.doc_id), 0) FROM texts t),
+kept AS (
+    SELECT doc_id, sum(hi - lo) AS n_removed, count(*) - 1 AS n_spans,
+           string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo, hi) AS rest
+    FROM edges JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+       sha256(unhex(rest)) AS kept_sha256
+FROM texts JOIN kept USING (doc_id)""",
+    "op5_substring_dedup": r"""
+WITH texts AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(list_slice(w, i + 1, i + 20), ' ') AS phrase
+    FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 19, 0))) AS i FROM texts)),
+firsts AS (SELECT phrase, min((doc_id, i)) AS first FROM windows GROUP BY phrase HAVING count(*) > 1),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j
+    FROM windows JOIN firsts USING (phrase) WHERE (doc_id, i) <> first),
+kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS rest
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS j FROM texts) ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)""",
     "op11_filter_audit": """
 WITH marked AS (
     SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
