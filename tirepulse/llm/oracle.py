@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
+from tirepulse.llm.license_scan import MARKS, PHRASES, TEMPLATES
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rows)
+
+
+#: For each template, what its marks ask of a block's words ``s`` (one space around each).
+_MARKED = " ".join(
+    f"WHEN {t} THEN " + " AND ".join("(" + " OR ".join(f"contains(s, ' {run} ')" for run in mark.split("|")) + ")" for mark in marks)
+    for t, marks in enumerate(MARKS) if marks)
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": f"""
 WITH item_words AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
@@ -24,6 +36,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)""",
+    # every block against every template, no filters
+    "op4_license_scan": f"""
+WITH templates AS (
+    SELECT t, label, list_distinct({_WORDS}) AS tw
+    FROM (VALUES {_values((t, label, text) for t, (text, label) in enumerate(TEMPLATES))}) v(t, label, text)),
+phrases AS (SELECT * FROM (VALUES {_values((p, len(p.split()), label) for p, label in PHRASES)}) v(phrase, n, label)),
+texts AS (SELECT row_number() OVER () AS r, doc_id, text, coalesce({_WORDS}, []) AS w FROM documents),
+parts AS (
+    SELECT r, w FROM texts
+    UNION ALL SELECT r, {_WORDS} AS w FROM (SELECT r, unnest(string_split(text, chr(10))) AS text FROM texts)),
+blocks AS (
+    SELECT r, list_slice(w, j + 1, j + 64) AS b
+    FROM (SELECT r, w, unnest(range(0, CASE WHEN len(w) <= 64 THEN least(len(w), 1) ELSE len(w) END, 32)) AS j FROM parts)),
+matched AS (
+    SELECT r, t, label, len(list_intersect(list_distinct(b), tw)) AS n, len(tw) AS m, ' ' || array_to_string(b, ' ') || ' ' AS s
+    FROM blocks CROSS JOIN templates),
+found AS (SELECT r, label, n / m AS score FROM matched WHERE n >= ceil(0.8 * m - 1e-9) AND CASE t {_MARKED} ELSE true END),
+places AS (
+    SELECT r, label, i
+    FROM (SELECT r, w, unnest(range(0, len(w))) AS i FROM texts) CROSS JOIN phrases
+    WHERE array_to_string(list_slice(w, i + 1, i + n), ' ') = phrase),
+base AS (SELECT r, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY r),
+every AS (
+    SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+    FROM (SELECT * FROM found UNION ALL SELECT r, label, 1.0 FROM places) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, base.lo AS first_word, base.hi AS last_word,
+       coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels, CAST(coalesce(every.score, 0) AS DOUBLE) AS score
+FROM texts LEFT JOIN base USING (r) LEFT JOIN every USING (r)""",
     # every 100-byte string by its MD5; a document's repeats make runs, what lies between them is kept
     "op3_suffix_dedup": """
 WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
