@@ -9,11 +9,14 @@ its embedding. A temperature and a rejection threshold are fitted on a part of
 the sample that the descent does not see.
 
 Training texts are a bounded sample: about ``max_rows_per_lang`` rows of each
-language, chosen by a hash of the id; everything else runs over all rows. More
+language, chosen by a hash of the id, and ``max_train_bytes`` of text in all
+(every language gives way alike); everything else runs over all rows. More
 than ``max_langs`` languages are an error: the model has a row of logits for
 each, and none is left out silently.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0;
+very long texts are judged whole, and don't train if they take over a 16th of
+``max_train_bytes``;
 rows with a null language or a null id do not train; a language that the sample
 has never seen is not predicted; without any training row all are ``und``;
 repeated rows are scored one by one; extra columns are ignored; an empty table
@@ -30,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tirepulse.llm import textscan as ts
+from tirepulse.llm.sample import bounded
 from tirepulse.llm.ship import shipped
 
 UNDETERMINED = "und"
@@ -46,6 +50,7 @@ class LanguageParams:
     dim: int = 16
     max_rows_per_lang: int = 800
     max_langs: int = 400
+    max_train_bytes: int = 32 << 20
     epochs: int = 5
     rate: float = 0.5
     calibration_share: float = 0.2
@@ -194,8 +199,9 @@ def fit(docs: DataFrame, usable: Column, params: LanguageParams = LanguageParams
         return LanguageModel([], np.zeros((0, 1 << params.buckets_log2), np.float32), np.zeros(0), 1.0, 1.0, params)
     chance = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, params.max_rows_per_lang / r["n"]))])
     draw = F.pmod(F.xxhash64("doc_id", F.lit(params.seed)), F.lit(1 << 52)) / float(1 << 52)
-    sample = (known.filter(draw < chance[F.col("lang")]).select("doc_id", "lang", F.col("text").cast("string").alias("text"))
-              .orderBy("doc_id", "lang", "text").limit(2 * params.max_rows_per_lang * len(langs)).toArrow())
+    drawn = known.filter(draw < chance[F.col("lang")]).select("doc_id", "lang", F.col("text").cast("string").alias("text"))
+    sample = (bounded(drawn, draw / chance[F.col("lang")], 2 * params.max_rows_per_lang * len(langs), params.max_train_bytes)
+              .orderBy("doc_id", "lang", "text").toArrow())
     rows = [r for chunk in sample["text"].chunks for r in _sparse_rows(chunk, params)]
     labels = np.array([langs.index(x) for x in sample["lang"].to_pylist()], np.int64)
     return train(rows, labels, langs, params)

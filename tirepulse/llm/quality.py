@@ -9,13 +9,17 @@ word before it, and keeps punctuation as it is; it carries what invented or
 rare words can't. A feature's value is its share of the document's n-grams, so
 the score is one mean of gathered weights and does not depend on the length.
 
-Training rows are a bounded sample (``max_train_rows``, smallest hash of the
-id first) of the labelled rows; everything else runs over all rows.
-
-Edge cases: null and empty texts have no n-gram and get the bias alone; rows
-with a null label or a doc_id that labels don't name do not train; repeated
-rows are scored one by one; with no usable label, or one class only, every
-score is the smoothed share of label 1 (0.5 without any row).
+Training rows are a bounded sample (``max_train_rows`` and ``max_train_bytes``,
+smallest hash of the id first) of the labelled rows; everything else runs over
+all rows.
+
+Edge cases: null and empty texts have no n-gram and get the bias alone; very
+long texts are scored whole, and don't train if they take over a 16th of
+``max_train_bytes``; rows with a null label or a doc_id that labels don't name
+do not train; repeated rows are scored one by one; with no usable label, or one
+class only, every score is the smoothed share of label 1 (0.5 without any row);
+an empty table gives an empty result; extra columns are ignored by ``classify``
+and kept by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tirepulse.llm import textscan as ts
+from tirepulse.llm.sample import bounded
 from tirepulse.llm.ship import shipped
 
 PUNCTUATION = ~ts.WORD_BYTES & ts.SOLID_BYTES
@@ -37,6 +42,7 @@ PUNCTUATION = ~ts.WORD_BYTES & ts.SOLID_BYTES
 class QualityParams:
     buckets_log2: int = 18
     max_train_rows: int = 6000
+    max_train_bytes: int = 32 << 20
     epochs: int = 4
     alpha: float = 0.5
     beta: float = 1.0
@@ -159,13 +165,14 @@ def held_out(doc_id: str = "doc_id", folds: int = 3) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams(),
         label: str = "quality") -> tuple[np.ndarray, float]:
-    """Trains on at most ``max_train_rows`` labelled rows outside the held-out fold."""
+    """Trains on at most ``max_train_rows`` labelled rows, and ``max_train_bytes`` of
+    their texts, outside the held-out fold."""
     chosen = (labels.select("doc_id", F.col(label).cast("double").alias("_label"))
               .filter(F.col("_label").isin(0.0, 1.0) & F.col("doc_id").isNotNull() & ~held_out())
               .orderBy(F.xxhash64("doc_id"), "doc_id", "_label").limit(params.max_train_rows))
     # the side that is broadcast holds max_train_rows rows of two numbers at most
-    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "_label", "text").limit(params.max_train_rows)
+    labelled = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    sample = (bounded(labelled, F.xxhash64("doc_id"), params.max_train_rows, params.max_train_bytes)
               .select("text", "_label").toArrow())
     rows = [r for chunk in sample["text"].chunks for r in features(chunk, params.buckets_log2)]
     return train(rows, sample["_label"].to_numpy(), params)
