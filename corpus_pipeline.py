@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 it has kept; its result is written as Parquet in the shared folder and read
-again, so a lost executor never repeats an earlier stage. All stages but the
+again, so a lost executor never repeats an earlier stage; its input and what it
+was made from are deleted then. All stages but the
 last return the columns of ``documents``. The operators' own modules say how
 nulls, empty and repeated rows are treated.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tirepulse.llm import decontaminate, packing, quality, simhash_near_dup, suffix_dedup
-from tirepulse.llm.store import written
+from tirepulse.llm.store import discard_all, recorded, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +55,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; the result of the last one."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        with recorded() as made:
+            docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        discard_all(spark, before + made[:-1])
+        before = made[-1:]
     return docs
