@@ -174,4 +174,4 @@ def pack(docs: DataFrame, params: PackingParams = PackingParams()) -> DataFrame:
             yield out
 
     shipped(docs.sparkSession)
-    return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(run, SCHEMA)
+    return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(ts.released(run), SCHEMA)
