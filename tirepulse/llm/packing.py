@@ -51,13 +51,18 @@ def candidates(stop: int, documents: np.ndarray, sentences: np.ndarray, params:
 
     All document and sentence ends; every ``stride`` ids between two that are further apart.
     """
-    marks = np.unique(np.concatenate([[0], documents, sentences, [stop]]))
+    worth = np.full(stop + 1, params.word_penalty, np.int32)
+    worth[sentences] = params.sentence_penalty
+    worth[documents] = 0
+    chosen = np.zeros(stop + 1, bool)
+    chosen[sentences] = chosen[documents] = True
+    chosen[[0, stop]] = True
+    marks = np.flatnonzero(chosen)
     inner = (np.diff(marks) - 1) // params.stride
     step = np.arange(int(inner.sum())) - np.repeat(np.cumsum(inner) - inner, inner) + 1
-    ends = np.sort(np.concatenate([marks, np.repeat(marks[:-1], inner) + step * params.stride]))
-    penalty = np.full(ends.size, params.word_penalty)
-    penalty[np.searchsorted(ends, sentences)] = params.sentence_penalty
-    penalty[np.searchsorted(ends, documents)] = 0
+    chosen[np.repeat(marks[:-1], inner) + step * params.stride] = True
+    ends = np.flatnonzero(chosen)
+    penalty = worth[ends]
     return ends, penalty
 
 
@@ -67,18 +72,20 @@ def window_cuts(ends: np.ndarray, penalty: np.ndarray, size: int) -> list[int]:
     cost(j) = penalty(j) + size - end(j) + min of cost(i) + end(i) over the
     candidates i at most ``size`` ids before j.
     """
-    at, fine = ends.tolist(), penalty.tolist()
-    value, back, queue, head = [0] * len(at), [0] * len(at), [0], 0
+    at, fine = ends.tolist(), (penalty + size).tolist()
+    back = [0] * len(at)
+    # the queue: index, position and cost + end of the candidates from head to tail
+    which, where, value, head, tail = [0] * len(at), [0] * len(at), [0] * len(at), 0, 0
     for j in range(1, len(at)):
-        limit = at[j] - size
-        while at[queue[head]] < limit:
+        end = at[j]
+        while where[head] < end - size:
             head += 1
-        i = queue[head]
-        back[j] = i
-        v = value[j] = value[i] + size + fine[j]      # cost(j) + end(j)
-        while len(queue) > head and value[queue[-1]] >= v:
-            queue.pop()
-        queue.append(j)
+        back[j] = which[head]
+        v = value[head] + fine[j]                     # cost(j) + end(j)
+        while tail >= head and value[tail] >= v:
+            tail -= 1
+        tail += 1
+        which[tail], where[tail], value[tail] = j, end, v
     cuts, j = [], len(at) - 1
     while j > 0:
         cuts.append(at[j])

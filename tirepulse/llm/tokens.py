@@ -92,7 +92,7 @@ class PieceEncoder:
         """Ids of all pieces, and where each piece's ids begin and how many they are. Plain
         pieces, one word to the tokenizer, are encoded together and parted at the word ends."""
         ids, length, alone = [], np.zeros(len(words), np.int64), []
-        plain = [k for k, w in enumerate(words) if w.isalpha() and max(w) < "\u0100"
+        plain = [k for k, w in enumerate(words) if w.isalpha() and (w.isascii() or max(w) < "\u0100")
                  or w.isascii() and not any(c.isalnum() or c in "'<" for c in w)]
         order = []
         for lo in range(0, len(plain), 2048):
@@ -134,10 +134,14 @@ class PieceEncoder:
         missing = index[~there]
         if missing.size:
             at, length = self._add([text[s:e].decode() for s, e in zip(start[missing].tolist(), end[missing].tolist())])
-            to = np.searchsorted(self.known, h[missing])
+            fresh = np.zeros(self.known.size + missing.size, bool)
+            fresh[np.searchsorted(self.known, h[missing]) + np.arange(missing.size)] = True
+            old = ~fresh
             for name, new in (("known", h[missing]), ("one", one[missing]), ("two", two[missing]), ("size", size[missing]),
                               ("at", at), ("length", length)):
-                setattr(self, name, np.insert(getattr(self, name), to, new))
+                merged = np.empty(fresh.size, new.dtype)
+                merged[fresh], merged[old] = new, getattr(self, name)
+                setattr(self, name, merged)
             place = np.searchsorted(self.known, distinct)
         same = (self.one[place] == own[0]) & (self.two[place] == own[1]) & (self.size[place] == own[2])
         odd = ~same[inverse] | (one != own[0][inverse]) | (two != own[1][inverse]) | (size != own[2][inverse])
